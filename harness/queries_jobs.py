@@ -321,12 +321,12 @@ _RAW_COLUMNS = ["time", "sensor", "streamcode", "price"]
 
 
 def _write_raw_files(t: Inputs, root: str) -> None:
-    """Orders as small stream files: two per status and month, some times missing, each with a repeated header."""
+    """Orders as small stream files: two per month, some times missing, each with a repeated header."""
     rows = t("x_row").select(
         F.when(F.col("bda_sensor") != "5-LOW", F.date_format("bda_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("time"),
         F.col("bda_sensor").alias("sensor"), F.col("bda_streamcode").alias("streamcode"),
         F.col("o_totalprice").cast("string").alias("price"),
-        F.col("bda_streamcode").alias("code"),
+        F.lit("orders").alias("code"),
         id_from_time(F.date_trunc("month", "bda_time"), (F.col("bda_sensor") < "3").cast("int")).alias("oid"),
     )
     headers = rows.select("code", "oid").distinct().select(*[F.lit(c).alias(c) for c in _RAW_COLUMNS], "code", "oid")
@@ -335,7 +335,7 @@ def _write_raw_files(t: Inputs, root: str) -> None:
     stored = file_sizes(t.spark, stage, "*.csv").select(
         "path", F.regexp_extract("path", "/code=([^/]+)/", 1).alias("code"), F.regexp_extract("path", "/oid=([^/]+)/", 1).alias("oid")
     )
-    name = export_file_name(F.col("oid"), F.lit(1), F.concat(F.lit("ds-"), "code"), F.lit(1))
+    name = export_file_name(F.col("oid"), F.lit(1), F.concat(F.lit("ds-"), F.col("code")), F.lit(1))
     disk = Files(t.spark)
     for row in stored.select("path", F.concat_ws("/", F.lit(root), "code", name).alias("target")).toLocalIterator():
         disk.rename(row["path"], row["target"])
@@ -345,10 +345,10 @@ def _write_raw_files(t: Inputs, root: str) -> None:
     "csv_compaction",
     """SELECT CASE bda_sensor WHEN '5-LOW' THEN NULL ELSE strftime(bda_time, '%Y-%m-%dT%H:%M:%S.%gZ') END AS time,
          bda_sensor AS sensor, bda_streamcode AS streamcode, CAST(o_totalprice AS string) AS price,
-         concat('ds-', bda_streamcode) AS datasetcode, 1 AS datasetversion,
+         'ds-orders' AS datasetcode, 1 AS datasetversion,
          lpad(printf('%x', CAST(epoch(date_trunc('month', bda_time)) AS bigint)), 8, '0') ||
-           lpad(CAST(max(CASE WHEN bda_sensor < '3' THEN 1 ELSE 0 END) OVER (PARTITION BY bda_streamcode, date_trunc('month', bda_time)) AS string), 16, '0') AS oid,
-         count(*) OVER (PARTITION BY bda_streamcode, date_trunc('month', bda_time)) AS file_rows
+           lpad(CAST(max(CASE WHEN bda_sensor < '3' THEN 1 ELSE 0 END) OVER (PARTITION BY date_trunc('month', bda_time)) AS string), 16, '0') AS oid,
+         count(*) OVER (PARTITION BY date_trunc('month', bda_time)) AS file_rows
        FROM {x_row}""",
 )
 def csv_compaction(t: Inputs) -> DataFrame:

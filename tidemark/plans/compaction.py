@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.files import Files
 from tidemark.functions.objectid import id_month, id_year
 from tidemark.session import materialize, scratch_path
-from tidemark.sinks.csv_out import csv_writer, publish_files, written_files
+from tidemark.sinks.csv_out import csv_writer, publish_files, write_tasks, written_files
 from tidemark.sources.csv_files import read_raw_csv
 from tidemark.sources.listing import name_parts, raw_csv_files
 
@@ -53,11 +53,11 @@ def compact(
     The new files are written and counted first; then the sources move to ``archive`` and the new files take
     their places. ``marker`` names the column that betrays repeated headers (None for bulk and binary data).
     """
-    files = materialize(with_month(raw_csv_files(spark, root), time_zone), "rawfiles")
-    groups = materialize(file_groups(files, bytes_per_file).withColumn("group_id", F.xxhash64(*GROUP)), "groups")
+    found = materialize(with_month(raw_csv_files(spark, root), time_zone), "rawfiles")
+    groups = materialize(file_groups(found, bytes_per_file).withColumn("group_id", F.xxhash64(*GROUP)), "groups")
     if groups.count() != groups.select("group_id").distinct().count():
         raise CompactionMismatch("two months share a group number")
-    sources = files.join(groups.select(*GROUP, "group_id"), GROUP).select("path", "file_name", "group_id")
+    sources = found.join(groups.select(*GROUP, "group_id"), GROUP).select("path", "file_name", "group_id")
     sources = materialize(sources, "sources")
     paths = [row["path"] for row in sources.select("path").toLocalIterator()]
     if not paths:
@@ -72,12 +72,14 @@ def compact(
     large = groups.where(F.col("parts") > 1).select("group_id", "parts")
     dealt = rows.join(large, "group_id", "left")
     dealt = dealt.withColumn("part", F.pmod("_turn", F.coalesce("parts", F.lit(1)))).select(*columns, "group_id", "part")
-    csv_writer(dealt.repartition("group_id", "part")).partitionBy("group_id", "part").csv(stage)
+    files, size = groups.agg(F.sum("parts"), F.sum("byte")).first()
+    tasks = write_tasks(spark, files, size / bytes_per_file)
+    csv_writer(dealt.repartition(tasks, "group_id", "part")).partitionBy("group_id", "part").csv(stage)
 
     written = materialize(written_files(spark, stage, ["group_id"], columns), "compacted")
     expected = rows.groupBy("group_id").agg(F.count("*").alias("expected"))
-    found = written.groupBy("group_id").agg(F.sum("rows").alias("found"))
-    wrong = expected.join(found, "group_id", "left").where(~F.col("expected").eqNullSafe(F.col("found"))).take(5)
+    arrived = written.groupBy("group_id").agg(F.sum("rows").alias("found"))
+    wrong = expected.join(arrived, "group_id", "left").where(~F.col("expected").eqNullSafe(F.col("found"))).take(5)
     if wrong:
         raise CompactionMismatch(f"rows read and compacted differ: {wrong}")
 

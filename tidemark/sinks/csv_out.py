@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -32,9 +33,16 @@ def write_in_files(
     """
     wanted = F.greatest(F.ceil(F.col("rows") / rows_per_file), F.lit(1)).cast("bigint")
     parts = sizes.select(*keys, wanted.alias("_parts"))
-    dealt = rows.join(parts, list(keys), "inner").withColumn("part", F.pmod(F.col(turn), "_parts"))
-    placed = dealt.drop(turn, "_parts").repartition(*keys, "part")
-    csv_writer(placed).partitionBy(*keys, "part").csv(path)
+    dealt = rows.join(parts, list(keys), "inner").withColumn("part", F.pmod(F.col(turn), "_parts")).drop(turn, "_parts")
+    total, files = parts.join(sizes, list(keys)).agg(F.sum("rows"), F.sum("_parts")).first()
+    tasks = write_tasks(rows.sparkSession, files or 0, (total or 0) / rows_per_file)
+    csv_writer(dealt.repartition(tasks, *keys, "part")).partitionBy(*keys, "part").csv(path)
+
+
+def write_tasks(spark: SparkSession, files: int, full_files: float) -> int:
+    """Tasks of a keyed write: the session's shuffle parallelism, more for more full files, never more than files."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(files, max(usual, math.ceil(full_files))))
 
 
 def written_files(spark: SparkSession, path: str, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
