@@ -43,7 +43,7 @@ FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey JOIN {{region}} O
 
 # dataset versions: one dataset per order, one version per line number
 VIEWS["x_dataset"] = """
-SELECT DISTINCT o_orderkey AS iddataset, l_linenumber AS datasetversion,
+SELECT o_orderkey AS iddataset, l_linenumber AS datasetversion,
   concat('ds_', CAST(o_orderkey AS string)) AS datasetcode, concat('T', CAST(o_custkey AS string)) AS tenantcode,
   CASE o_orderstatus WHEN 'F' THEN 'inst' ELSE 'req' END AS datasetstatus,
   CASE o_orderkey % 4 WHEN 0 THEN 'bulkDataset' WHEN 1 THEN 'streamDataset' WHEN 2 THEN 'socialDataset'
@@ -56,7 +56,7 @@ SELECT DISTINCT o_orderkey AS iddataset, l_linenumber AS datasetversion,
   CASE o_orderstatus WHEN 'O' THEN 'public' ELSE 'private' END AS visibility,
   concat('tag_', lower(o_orderstatus)) AS elencotag,
   concat('db_', lower(o_orderstatus)) AS dbhiveschema, concat('tb_', CAST(o_orderkey AS string)) AS dbhivetable
-FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey
+FROM {orders} JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM {lineitem}) l ON l_orderkey = o_orderkey
 """
 
 VIEWS["x_dim_dataset"] = f"""
@@ -94,7 +94,7 @@ FROM {part} GROUP BY p_type
 """
 
 VIEWS["x_stream"] = """
-SELECT DISTINCT concat('T', CAST(o_custkey AS string)) AS tenantcode, l_suppkey AS idvirtualentity, l_partkey AS idstream
+SELECT concat('T', CAST(o_custkey AS string)) AS tenantcode, l_suppkey AS idvirtualentity, l_partkey AS idstream
 FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey
 """
 
@@ -262,12 +262,13 @@ FROM {x_tenant}
 """
 VIEWS["m_tenant_bundle"] = "SELECT idtenant AS id_tenant, tenanttype AS id_bundles FROM {x_tenant}"
 VIEWS["m_data_source"] = """
-SELECT l_orderkey AS id_data_source, l_linenumber AS datasourceversion, max(c_nationkey) AS id_organization,
-  max(l_linestatus) AS id_status, max(o_orderpriority) AS id_subdomain,
-  CASE max(o_orderstatus) WHEN 'P' THEN NULL ELSE max(o_orderstatus) END AS id_license,
-  CASE max(o_orderstatus) WHEN 'O' THEN 'public' ELSE 'private' END AS visibility, max(o_custkey) AS id_manager
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
-GROUP BY l_orderkey, l_linenumber
+SELECT l_orderkey AS id_data_source, l_linenumber AS datasourceversion, c_nationkey AS id_organization,
+  CASE open_lines WHEN 0 THEN 'F' ELSE 'O' END AS id_status, o_orderpriority AS id_subdomain,
+  CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderstatus END AS id_license,
+  CASE o_orderstatus WHEN 'O' THEN 'public' ELSE 'private' END AS visibility, o_custkey AS id_manager
+FROM (SELECT l_orderkey, l_linenumber, max(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) AS open_lines
+      FROM {lineitem} GROUP BY l_orderkey, l_linenumber) l
+JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
 """
 VIEWS["m_status"] = "SELECT DISTINCT l_linestatus AS id_status, CASE l_linestatus WHEN 'F' THEN 'inst' ELSE 'req' END AS statuscode FROM {lineitem}"
 VIEWS["m_subdomain"] = "SELECT DISTINCT o_orderpriority AS id_subdomain, lower(o_orderpriority) AS subdomaincode, substring(o_orderpriority, 1, 1) AS id_domain FROM {orders}"
@@ -276,7 +277,7 @@ VIEWS["m_license"] = "SELECT DISTINCT o_orderstatus AS id_license, concat('CC ',
 VIEWS["m_tenant_data_source"] = """
 SELECT id_data_source, datasourceversion, id_manager AS id_tenant, 1 AS ismanager, 1 AS isactive FROM {m_data_source}
 UNION ALL
-SELECT l_orderkey, l_linenumber, 1000000000 + l_suppkey, 0, CASE max(l_returnflag) WHEN 'R' THEN 1 ELSE 0 END
+SELECT l_orderkey, l_linenumber, 1000000000 + l_suppkey, 0, max(CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END)
 FROM {lineitem} GROUP BY l_orderkey, l_linenumber, l_suppkey
 """
 VIEWS["m_dataset"] = """
@@ -342,15 +343,15 @@ VIEWS["x_member"] = """
 SELECT DISTINCT l_suppkey AS idgroup, l_linenumber AS groupversion, l_orderkey AS iddataset FROM {lineitem}
 """
 VIEWS["x_component"] = """
-SELECT DISTINCT l_orderkey AS iddataset, l_linenumber AS datasetversion, l_partkey AS position,
+SELECT l_orderkey AS iddataset, l_linenumber AS datasetversion, l_partkey AS position,
   concat('Field_', CAST(l_partkey AS string)) AS name,
   CASE p_type WHEN 'ECONOMY' THEN 'string' WHEN 'SMALL' THEN 'double' WHEN 'LARGE' THEN 'dateTime'
     WHEN 'MEDIUM' THEN 'int' ELSE 'float' END AS datatype
-FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM {lineitem}) l JOIN {part} ON l_partkey = p_partkey
 """
 VIEWS["x_dataset_stream"] = """
 SELECT l_orderkey AS iddataset, l_linenumber AS datasetversion, concat('str_', CAST(l_orderkey AS string)) AS streamcode,
-  concat('so ', CAST(max(l_suppkey) AS string), '/', max(l_returnflag)) AS slug
+  concat('so ', CAST(max(l_suppkey) AS string), '/x') AS slug
 FROM {lineitem} GROUP BY l_orderkey, l_linenumber
 """
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 def latest_versions(df: DataFrame, key: str, version: str) -> DataFrame:
     """Rows that carry the highest version of their key.
 
-    The highest versions are aggregated first (combined before the shuffle) and joined back: the aggregated side
-    has one row per key, so an uneven key can be split on the other side.
+    The highest versions are aggregated (combined before the shuffle) and joined back. The join runs on key and
+    version as one value: it gets its own shuffle on both sides, which lets Spark split an uneven key.
     """
-    newest = df.groupBy(key).agg(F.max(version).alias(version)).where(F.col(version).isNotNull())
-    return df.join(newest, [key, version], "inner").select(*df.columns)
+    newest = df.groupBy(key).agg(F.max(version).alias("_version")).where(F.col("_version").isNotNull())
+    wanted = newest.select(F.struct(F.col(key).alias("key"), F.col("_version").alias("version")).alias("_newest"))
+    mine = df.withColumn("_mine", F.struct(F.col(key).alias("key"), F.col(version).alias("version")))
+    return mine.join(wanted, F.col("_mine") == F.col("_newest"), "inner").select(*df.columns)
 
 
 def newest_per_key(df: DataFrame, key: list[str], order: list) -> DataFrame:

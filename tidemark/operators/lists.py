@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 def comma_list(df: DataFrame, key: Sequence[str], value: str, name: str) -> DataFrame:
     """Sorted, comma separated list of the distinct values of each key.
 
-    Duplicates are removed before anything is collected, so a key gathers its distinct names only.
+    Duplicates are dropped by the map-side combine, so a key gathers its distinct names only: the text it returns.
     """
-    names = df.select(*key, value).where(F.col(value).isNotNull()).distinct()
-    return names.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list(value)), ",").alias(name))
+    return df.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(value)), ",").alias(name))
 
 
 def pivot_params(df: DataFrame, key: str, param: str, value: str, wanted: Sequence[str]) -> DataFrame:

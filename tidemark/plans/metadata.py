@@ -43,31 +43,32 @@ def mart_tenant(src: Tables) -> DataFrame:
     )
 
 
-def _managed_sources(src: Tables) -> DataFrame:
-    """Data sources with managing tenant, status, domain and, where set, licence."""
-    managers = src["tenant_data_source"].where((F.col("ismanager") == 1) & (F.col("isactive") == 1))
-    tenants = src["tenant"].select(F.col("id_tenant").alias("idtenant"), "tenantcode")
+def _managed_sources(src: Tables, components: str) -> DataFrame:
+    """Data sources with their managing tenant's id and the comma lists of component names, tags and sharing tenants.
+
+    Everything here is keyed by data source and version, so one partitioning serves all the joins.
+    """
+    relations = src["tenant_data_source"].where(F.col("isactive") == 1)
+    managers = relations.where(F.col("ismanager") == 1).select(*SOURCE, F.col("id_tenant").alias("idtenant"))
+    tags = src["source_tag"].join(src["tag"], "id_tag")
+    shares = relations.join(src["tenant"].select("id_tenant", "tenantcode"), "id_tenant")
     return (
         src["data_source"]
-        .join(managers.select(*SOURCE, F.col("id_tenant").alias("idtenant")), SOURCE)
-        .join(tenants, "idtenant")
-        .join(src["status"], "id_status")
-        .join(src["subdomain"], "id_subdomain")
-        .join(src["domain"], "id_domain")
-        .join(src["license"], "id_license", "left")
+        .join(managers, SOURCE)
+        .join(comma_list(src["component"], SOURCE, "name", components), SOURCE, "left")
+        .join(comma_list(tags, SOURCE, "tagcode", "elencotag"), SOURCE, "left")
+        .join(comma_list(shares, SOURCE, "tenantcode", "elencoshare"), SOURCE, "left")
     )
 
 
-def _with_lists(sources: DataFrame, src: Tables, components: str) -> DataFrame:
-    """Add the comma lists of component names, tags and sharing tenants."""
-    tags = src["source_tag"].join(src["tag"], "id_tag")
-    shares = src["tenant_data_source"].where(F.col("isactive") == 1).join(
-        src["tenant"].select("id_tenant", "tenantcode"), "id_tenant"
-    )
+def _described(sources: DataFrame, src: Tables) -> DataFrame:
+    """Add tenant, status, domain and, where set, licence."""
     return (
-        sources.join(comma_list(src["component"], SOURCE, "name", components), SOURCE, "left")
-        .join(comma_list(tags, SOURCE, "tagcode", "elencotag"), SOURCE, "left")
-        .join(comma_list(shares, SOURCE, "tenantcode", "elencoshare"), SOURCE, "left")
+        sources.join(src["tenant"].select(F.col("id_tenant").alias("idtenant"), "tenantcode"), "idtenant")
+        .join(src["status"], "id_status")
+        .join(src["subdomain"], "id_subdomain")
+        .join(src["domain"], "id_domain")
+        .join(src["license"], "id_license", "left")
     )
 
 
@@ -76,12 +77,10 @@ def mart_stream(src: Tables) -> DataFrame:
         src["smart_object"].join(src["so_type"], "id_so_type").join(src["so_category"], "id_so_category")
         .withColumnsRenamed({"name": "so_name", "description": "so_description"})
     )
-    full = (
-        _with_lists(_managed_sources(src), src, "elencocomponent")
-        .join(src["dataset"].select(*SOURCE, "iddataset"), SOURCE, "left")
-        .join(src["stream"], SOURCE)
-        .join(objects, "id_smart_object")
+    keyed = _managed_sources(src, "elencocomponent").join(src["stream"], SOURCE).join(
+        src["dataset"].select(*SOURCE, "iddataset"), SOURCE, "left"
     )
+    full = _described(keyed, src).join(objects, "id_smart_object")
     return full.select(
         "idstream", "streamcode", "streamname", "idtenant", "tenantcode", "iddataset",
         F.when(F.col("iddataset").isNotNull(), F.col("datasourceversion")).alias("datasetversion"),
@@ -101,13 +100,12 @@ def _datasets(src: Tables) -> DataFrame:
     binaries = src["dataset"].groupBy(F.col("id_data_source").alias("id_data_source_binary")).agg(
         F.max("iddataset").alias("binaryiddataset")
     )
-    own = src["dataset"].withColumnsRenamed({"description": "descrds"})
+    own = src["dataset"].withColumnRenamed("description", "descrds")
+    keyed = _managed_sources(src, "elencocampi").join(own, SOURCE).join(newest, "id_data_source")
     return (
-        _with_lists(_managed_sources(src), src, "elencocampi")
-        .join(own, SOURCE)
+        _described(keyed, src)
         .join(src["dataset_type"], "id_dataset_type")
         .join(src["dataset_subtype"], "id_dataset_subtype")
-        .join(newest, "id_data_source")
         .join(binaries, "id_data_source_binary", "left")
     )
 
