@@ -321,15 +321,20 @@ _RAW_COLUMNS = ["time", "sensor", "streamcode", "price"]
 
 
 def _write_raw_files(t: Inputs, root: str) -> None:
-    """Orders as small stream files: two per month, some times missing, each with a repeated header."""
+    """Orders as small stream files: up to two per month, some times missing, and one with nothing in it.
+
+    Every file holds a repeated header.
+    """
     rows = t("x_row").select(
         F.when(F.col("bda_sensor") != "5-LOW", F.date_format("bda_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("time"),
         F.col("bda_sensor").alias("sensor"), F.col("bda_streamcode").alias("streamcode"),
         F.col("o_totalprice").cast("string").alias("price"),
         F.lit("orders").alias("code"),
-        id_from_time(F.date_trunc("month", "bda_time"), (F.col("bda_sensor") < "3").cast("int")).alias("oid"),
+        id_from_time(F.date_trunc("month", "bda_time"), (F.col("bda_sensor") < "3").cast("int") + 1).alias("oid"),
     )
-    headers = rows.select("code", "oid").distinct().select(*[F.lit(c).alias(c) for c in _RAW_COLUMNS], "code", "oid")
+    files = rows.select("code", "oid").distinct()
+    files = files.unionByName(files.select("code", F.concat(F.substring("oid", 1, 8), F.lit("0" * 16)).alias("oid")).distinct())
+    headers = files.select(*[F.lit(c).alias(c) for c in _RAW_COLUMNS], "code", "oid")
     stage = scratch_path(t.spark, "raw")
     csv_writer(rows.unionByName(headers).repartition("code", "oid")).partitionBy("code", "oid").csv(stage)
     stored = file_sizes(t.spark, stage, "*.csv").select(
@@ -347,7 +352,7 @@ def _write_raw_files(t: Inputs, root: str) -> None:
          bda_sensor AS sensor, bda_streamcode AS streamcode, CAST(o_totalprice AS string) AS price,
          'ds-orders' AS datasetcode, 1 AS datasetversion,
          lpad(printf('%x', CAST(epoch(date_trunc('month', bda_time)) AS bigint)), 8, '0') ||
-           lpad(CAST(max(CASE WHEN bda_sensor < '3' THEN 1 ELSE 0 END) OVER (PARTITION BY date_trunc('month', bda_time)) AS string), 16, '0') AS oid,
+           lpad(CAST(max(CASE WHEN bda_sensor < '3' THEN 2 ELSE 1 END) OVER (PARTITION BY date_trunc('month', bda_time)) AS string), 16, '0') AS oid,
          count(*) OVER (PARTITION BY date_trunc('month', bda_time)) AS file_rows
        FROM {x_row}""",
 )
