@@ -152,10 +152,16 @@ concat('/datalake/', upper(organizationcode), '/rawdata/', upper(datadomain), '/
 """
 
 
-@query("dataset_paths", f"SELECT iddataset, datasetversion, {_PATH_COLUMNS} FROM ({_CHOICE_WITH_STREAM}) r")
+@query(
+    "dataset_paths",
+    f"""SELECT iddataset, datasetversion, {_PATH_COLUMNS}, concat(CASE sottotipo WHEN 'bulkDataset' THEN 'data_'
+          WHEN 'socialDataset' THEN 'social_' ELSE 'measures_' END, organizationcode) AS collection FROM ({_CHOICE_WITH_STREAM}) r""",
+)
 def dataset_paths(t: Inputs) -> DataFrame:
     full = descriptors.with_paths(t.sql(_CHOICE_WITH_STREAM))
-    return full.select("iddataset", "datasetversion", "family", "codsubdomain", "slug", "folder")
+    own = [F.concat(F.lit(f"{kind}_"), "organizationcode") for kind in ("data", "measures", "social", "media")]
+    collection = paths.default_collection(F.col("family"), *own).alias("collection")
+    return full.select("iddataset", "datasetversion", "family", "codsubdomain", "slug", "folder", collection)
 
 
 @query(

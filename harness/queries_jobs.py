@@ -127,8 +127,7 @@ def _publish(t: Inputs) -> tuple[str, DataFrame]:
 )
 def publish_dataset(t: Inputs) -> DataFrame:
     path, _ = _publish(t)
-    schema = t.sql(_EARLIER).limit(0).unionByName(_published(t).limit(0), allowMissingColumns=True).schema
-    return plain_types(read_collection(t.spark, path, schema)).select(
+    return plain_types(read_collection(t.spark, path)).select(
         "id", "iddataset_l", "datasetversion_l", "origin_s", "kind_s", "time_dt", "seen_dt", "reading_d", "level_f", "note_s"
     )
 
@@ -156,14 +155,15 @@ def publish_blocks(t: Inputs) -> DataFrame:
 
 @query(
     "promote_dataset",
-    """SELECT o_orderkey, o_totalprice, bda_sensor, lpad(printf('%x', 1538352000), 8, '0') || lpad(printf('%x', n), 16, '0') AS bda_id,
+    """SELECT o_orderkey, o_totalprice, bda_sensor, lpad(printf('%x', 1538352000), 8, '0') || lpad(printf('%x', 42 * 1099511627776 + n), 16, '0') AS bda_id,
          'datalake' AS bda_origin, n AS sparkuniqueid
        FROM (SELECT *, row_number() OVER (ORDER BY rowkey) AS n FROM {x_row}) r""",
 )
 def promote_dataset(t: Inputs) -> DataFrame:
     rows = t("x_row")
     return promote.promoted_rows(
-        rows, ["o_orderkey", "o_totalprice", "bda_sensor"], "2018-10-01 00:00:00", order_by=["o_orderkey"]
+        rows, ["o_orderkey", "o_totalprice", "bda_sensor"], "2018-10-01 00:00:00", order_by=["o_orderkey"],
+        id_space=42,
     )
 
 

@@ -42,6 +42,22 @@ def test_upsert_removes_an_emptied_partition(spark, rows, collection):
     assert not Files(spark).exists(f"{collection}/iddataset_l=1/datasetversion_l=2")
 
 
+def test_datasets_with_different_columns_share_a_collection(spark, rows, collection):
+    other = spark.createDataFrame([("z1", 9, 1, "datalake", "x")], "id string, iddataset_l int, datasetversion_l int, origin_s string, name_s string")
+    merge_documents(spark, collection, other)
+    merge_documents(spark, collection, spark.createDataFrame([("z2", 9, 1, "datalake", 5.0)], DOC))
+    stored = read_collection(spark, collection)
+    assert rows(stored.where("iddataset_l = 9"), "id", "name_s", "value_d") == [("z1", "x", None), ("z2", None, 5.0)]
+    assert dict(stored.dtypes)["iddataset_l"] == "bigint" and stored.count() == 6
+    Files(spark).delete(f"{collection}/_schema.json")
+    assert set(read_collection(spark, collection).columns) == set(stored.columns)
+
+
+def test_documents_need_a_dataset(spark, collection):
+    with pytest.raises(ValueError, match="without a dataset"):
+        merge_documents(spark, collection, spark.createDataFrame([("z1", None, 1, "datalake", 1.0)], DOC))
+
+
 def test_upsert_leaves_other_partitions_alone(spark, collection):
     files = Files(spark)
     before = files.names(f"{collection}/iddataset_l=2/datasetversion_l=1")

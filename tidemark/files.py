@@ -1,4 +1,4 @@
-"""Thin driver-side helper over the Hadoop file system: names and renames only, never file contents."""
+"""Thin driver-side helper over the Hadoop file system: names, renames and small metadata texts, never data."""
 
 from __future__ import annotations
 
@@ -44,6 +44,26 @@ class Files:
         if not fs.rename(old, new):
             raise OSError(f"cannot rename {source} to {target}")
 
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small text; readers see the old one or the new one."""
+        fs, target = self._at(f"{path}.new")
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(text, "utf-8"))
+        finally:
+            out.close()
+        self.rename(f"{path}.new", path)
+
+    def read_text(self, path: str) -> str | None:
+        fs, target = self._at(path)
+        if not fs.exists(target):
+            return None
+        stream = fs.open(target)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def delete(self, path: str) -> None:
         fs, target = self._at(path)
         if fs.exists(target) and not fs.delete(target, True):

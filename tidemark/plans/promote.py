@@ -12,22 +12,31 @@ from tidemark.operators.rowid import with_dense_row_id
 from tidemark.sinks.tables import replace_table
 
 
+# layout of the low digits of an object id: the id space above, the row number below
+_ROW_BITS = 40
+_SPACES = 1 << 23
+
+
 def promoted_rows(
     source: DataFrame, columns: Sequence[str], load_time: str, add_ids: bool = True, add_row_number: bool = True,
-    order_by: list[str | Column] | None = None,
+    order_by: list[str | Column] | None = None, id_space: int = 0,
 ) -> DataFrame:
     """The dataset's columns plus ``bda_id``, ``bda_origin`` and ``sparkuniqueid``.
 
-    The object id joins the load time and the row number: unique in the table, and the same for the same load.
+    The object id joins the load time, the id space and the row number, so that the same load gives the same ids.
+    Tables loaded in the same second need different id spaces; the dataset's number serves for that.
     """
+    if not 0 <= id_space < _SPACES:
+        raise ValueError(f"id_space must be below {_SPACES}")
     rows = source.select(*columns)
     if not (add_ids or add_row_number):
         return rows
     numbered = with_dense_row_id(rows, order_by=order_by)
     out = [F.col(f"`{c}`") for c in columns]
     if add_ids:
+        low = F.col("sparkuniqueid") + F.lit(id_space << _ROW_BITS)
         moment = F.lit(load_time).cast("timestamp")
-        out += [id_from_time(moment, F.col("sparkuniqueid")).alias("bda_id"), F.lit("datalake").alias("bda_origin")]
+        out += [id_from_time(moment, low).alias("bda_id"), F.lit("datalake").alias("bda_origin")]
     if add_row_number:
         out.append(F.col("sparkuniqueid"))
     return numbered.select(*out)

@@ -29,7 +29,9 @@ def row_blocks(rows: DataFrame, size: int, start: int = 0, row_number: str = "sp
     return rows.where(F.col(row_number) >= start).groupBy(block.alias("block")).agg(F.count("*").alias("rows"))
 
 
-def publish(spark: SparkSession, path: str, docs: DataFrame, mode: str = "overwrite") -> DataFrame:
+def publish(
+    spark: SparkSession, path: str, docs: DataFrame, mode: str = "overwrite", ids_may_move: bool = True
+) -> DataFrame:
     """Write documents of any number of datasets in one pass and reconcile the counts.
 
     ``overwrite`` first deletes what the lake published earlier for the same datasets, ``append`` only replaces
@@ -42,7 +44,8 @@ def publish(spark: SparkSession, path: str, docs: DataFrame, mode: str = "overwr
         return _report(read, _counts(spark, path), _counts(spark, path), None)
     before = _counts(spark, path)
     read, before = _hold(read), _hold(before)
-    incoming = merge_documents(spark, path, docs, replace_origin=LAKE_ORIGIN if mode == "overwrite" else None)
+    replaced = LAKE_ORIGIN if mode == "overwrite" else None
+    incoming = merge_documents(spark, path, docs, replace_origin=replaced, ids_may_move=ids_may_move)
     stored = read_collection(spark, path)
     arrived = stored.join(incoming.select("id", *PARTITIONS), ["id", *PARTITIONS], "left_semi")
     report = _hold(_report(read, before, count_by_version(stored), count_by_version(arrived)))

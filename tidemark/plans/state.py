@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,20 +22,25 @@ STATE_SCHEMA = T.StructType(
 )
 
 
-def state_table(spark: SparkSession, path: str) -> StateTable:
-    return StateTable(spark, path, STATE_SCHEMA)
+# state kept per tenant by older jobs
+TENANT_KEYS = ["tenantcode"]
+TENANT_SCHEMA = T.StructType([T.StructField("tenantcode", T.StringType()), T.StructField("last_id", T.StringType())])
+
+
+def state_table(spark: SparkSession, path: str, schema: T.StructType = STATE_SCHEMA) -> StateTable:
+    return StateTable(spark, path, schema)
 
 
-def last_ids(datasets: DataFrame, state: DataFrame) -> DataFrame:
-    """The datasets with their last exported id, all zeros for those never exported."""
-    one = state.groupBy(*STATE_KEYS).agg(F.max("last_id").alias("last_id"))
-    joined = datasets.join(one, STATE_KEYS, "left")
+def last_ids(wanted: DataFrame, state: DataFrame, keys: Sequence[str] = STATE_KEYS) -> DataFrame:
+    """The datasets (or tenants) with their last exported id, all zeros for those never exported."""
+    one = state.groupBy(*keys).agg(F.max("last_id").alias("last_id"))
+    joined = wanted.join(one, list(keys), "left")
     return joined.withColumn("last_id", F.coalesce("last_id", F.lit(FIRST_ID)))
 
 
-def merge_state(state: DataFrame, updates: DataFrame) -> DataFrame:
+def merge_state(state: DataFrame, updates: DataFrame, keys: Sequence[str] = STATE_KEYS) -> DataFrame:
     """New ids replace the stored ones, datasets seen for the first time are added."""
-    return replace_by_key(state, updates.select(*STATE_KEYS, "last_id"), STATE_KEYS)
+    return replace_by_key(state, updates.select(*keys, "last_id"), keys)
 
 
 def stop_incremental(datasets: DataFrame) -> DataFrame:

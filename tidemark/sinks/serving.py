@@ -10,7 +10,7 @@ from tidemark.files import Files
 from tidemark.operators.latest import newest_per_key
 from tidemark.operators.merge import delete_where
 from tidemark.session import materialize
-from tidemark.sources.serving import PARTITIONS, read_collection
+from tidemark.sources.serving import PARTITIONS, SCHEMA_FILE, collection_schema, read_collection
 
 WRITE_MODES = ("nowrite", "append", "overwrite")
 
@@ -40,18 +40,30 @@ def to_documents(df: DataFrame) -> DataFrame:
 
 def write_partitions(docs: DataFrame, path: str) -> None:
     """Replace the partitions present in the frame. Rebalancing splits a large dataset over many tasks and files."""
-    arranged = docs.hint("rebalance", *PARTITIONS)
+    _add_columns(docs, path)
+    arranged = docs.withColumns({name: F.col(name).cast("bigint") for name in PARTITIONS}).hint("rebalance", *PARTITIONS)
     writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTITIONS).parquet(path)
 
 
+def _add_columns(docs: DataFrame, path: str) -> None:
+    """Note new columns in the collection's schema file before any row has them."""
+    files = Files(docs.sparkSession)
+    known = collection_schema(docs.sparkSession, path).fields if files.names(path) else []
+    names = {field.name for field in known}
+    new = [T.StructField(f.name, T.LongType() if f.name in PARTITIONS else f.dataType) for f in docs.schema if f.name not in names]
+    if new:
+        files.write_text(f"{path}/{SCHEMA_FILE}", T.StructType([*known, *new]).json())
+
+
 def _distinct_documents(docs: DataFrame, newest_first: list | None) -> DataFrame:
     docs = to_documents(docs)
     return newest_per_key(docs, ["id"], newest_first) if newest_first else docs.dropDuplicates(["id"])
 
 
 def merge_documents(
-    spark: SparkSession, path: str, source: DataFrame, newest_first: list | None = None, replace_origin: str | None = None
+    spark: SparkSession, path: str, source: DataFrame, newest_first: list | None = None,
+    replace_origin: str | None = None, ids_may_move: bool = True,
 ) -> DataFrame:
     """Upsert by ``id`` over the whole collection, rewriting only the partitions that change.
 
@@ -59,8 +71,12 @@ def merge_documents(
     by a scan of the id and partition columns) and, with ``replace_origin``, those holding documents of that
     origin of the same datasets, which are deleted in all versions. The new rows are written down first: made-up
     ids and the choice among repeated ids must not change between the passes. Returns the new documents.
+
+    ``ids_may_move=False`` promises that an id never changes its dataset or version and saves the scan for them.
     """
     incoming = materialize(_distinct_documents(source, newest_first), "incoming")
+    if incoming.where(F.col(PARTITIONS[0]).isNull() | F.col(PARTITIONS[1]).isNull()).take(1):
+        raise ValueError("documents without a dataset or version cannot be stored")
     if not Files(spark).names(path):
         write_partitions(incoming, path)
         return incoming
@@ -68,10 +84,10 @@ def merge_documents(
     types = {f.name: f.dataType for f in stored.schema}
     incoming = incoming.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in incoming.columns])
 
-    placed = stored.select("id", *PARTITIONS)
-    touched = incoming.select(*PARTITIONS).unionByName(
-        placed.join(incoming.select("id"), "id", "left_semi").select(*PARTITIONS)
-    )
+    touched = incoming.select(*PARTITIONS)
+    if ids_may_move:
+        placed = stored.select("id", *PARTITIONS).join(incoming.select("id"), "id", "left_semi")
+        touched = touched.unionByName(placed.select(*PARTITIONS))
     if replace_origin is not None:
         datasets = incoming.select("iddataset_l").distinct()
         outdated = stored.where(F.col("origin_s") == replace_origin).join(datasets, "iddataset_l", "left_semi")
@@ -109,10 +125,10 @@ def delete_matching(spark: SparkSession, path: str, predicate: Column, partition
 def _rewrite(spark: SparkSession, path: str, survivors: DataFrame, touched: DataFrame) -> None:
     """Swap the touched partitions for their surviving rows and drop the folders of those left empty.
 
-    Spark's dynamic overwrite stages the survivors and moves them into place once every task is done.
-    A partition without survivors gets no new file and is removed by name (one name per emptied partition).
+    Spark's dynamic overwrite stages the survivors and moves them into place once every task is done, so the plan
+    may read the partitions it replaces. A partition without survivors gets no new file: those are found beforehand,
+    from the key columns alone, and removed by name.
     """
-    survivors = materialize(survivors, "survivors")
     emptied = touched.join(survivors.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
     folders = ["/".join(f"{name}={row[name]}" for name in PARTITIONS) for row in emptied.toLocalIterator()]
     write_partitions(survivors, path)

@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import Files
+
 PARTITIONS = ["iddataset_l", "datasetversion_l"]
 
 
-def read_collection(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+# the collection's columns, kept next to its data: datasets fill different ones, so no single file shows them all
+SCHEMA_FILE = "_schema.json"
+
+
+def collection_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Columns of a collection, from its schema file or else merged from all its files."""
+    text = Files(spark).read_text(f"{path}/{SCHEMA_FILE}")
+    if text:
+        return T.StructType.fromJson(json.loads(text))
+    merged = spark.read.option("mergeSchema", True).parquet(path).schema
+    return T.StructType([T.StructField(f.name, T.LongType()) if f.name in PARTITIONS else f for f in merged])
+
+
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(collection_schema(spark, path)).parquet(path)
 
 
 def of_dataset(docs: DataFrame, dataset_id: int, version: int | None = None) -> DataFrame:
