@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, encode, ngram_join, packing, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, encode, line_dedup, ngram_join, packing, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,8 @@ def sharding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_join")
 def ngram_join_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "keep", "copy_1", "copy_2")
+
+
+@query("op2_line_dedup")
+def line_dedup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "removed")
