@@ -89,6 +89,32 @@ def need(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
 
 
+BLOOM_BITS = 24
+
+
+def bloom(keys: DataFrame, column: str) -> np.ndarray:
+    """
+    Which of 2^24 remainders the values of a bigint column have, as packed bits. Spark builds it in pieces of 4 KB; its size
+    is fixed, so it may be sent to every task. A full one lets everything pass, and the join behind it decides.
+    """
+    size = 1 << BLOOM_BITS
+    place = f"pmod(`{column}`, {size}) + 1"
+    pieces = keys.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits")).collect()
+    field = np.zeros(size, bool)
+    for row in pieces:
+        own = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        field[(row["bucket"] - 1) * len(own) : row["bucket"] * len(own)] = own
+    return np.packbits(field)
+
+
+def bloom_field(packed: np.ndarray) -> np.ndarray:
+    return np.unpackbits(packed).astype(bool)
+
+
+def in_bloom(field: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return field[values.view(np.int64) & ((1 << BLOOM_BITS) - 1)]
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row bounds of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -13,7 +13,6 @@ THRESHOLD = 0.8
 MIN_WORDS = 5  # lines of fewer distinct words are too short to tell a copy from chance; they stay
 BUCKET_BITS, HASH_BITS = 20, 42
 BLOCK = 2000  # members of a token's block
-BLOOM_BITS = 24
 
 
 def buckets(hashes: np.ndarray) -> np.ndarray:
@@ -251,23 +250,17 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     met = met.join(once.select("g"), "g")
 
     wanted = met.select("d1").distinct()
-    bit = F.pmod("d1", F.lit(1 << BLOOM_BITS)) + 1
-    bloom = wanted.groupBy(F.expr(f"bitmap_bucket_number(pmod(d1, {1 << BLOOM_BITS}) + 1)").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    field = np.zeros(1 << BLOOM_BITS, bool)  # fixed size: at most 512 rows of 4 KB
-    for row in bloom:
-        own = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-        field[(row["bucket"] - 1) * len(own) : row["bucket"] * len(own)] = own
-    sent = spark.sparkContext.broadcast(np.packbits(field))
+    sent = spark.sparkContext.broadcast(common.bloom(wanted, "d1"))
 
     def fetch(batches):
-        field = np.unpackbits(sent.value)
+        field = common.bloom_field(sent.value)
         for batch in batches:
             data, bounds = common.text_buffer(batch.column("text"))
             for a, b in common.slices(bounds, words.SLICE):
                 tokens, begins, _, _ = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
                 d1, _ = digests(tokens, begins)
-                chosen = np.flatnonzero((n >= min_words) & (field[d1 & ((1 << BLOOM_BITS) - 1)] > 0))
+                chosen = np.flatnonzero((n >= min_words) & common.in_bloom(field, d1))
                 _, first = np.unique(d1[chosen], return_index=True)
                 chosen = chosen[first]
                 ends = np.cumsum(n[chosen])

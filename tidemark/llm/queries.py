@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, encode, line_dedup, ngram_join, packing, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, decontaminate, encode, line_dedup, ngram_join, packing, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,26 @@ def ngram_join_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_line_dedup")
 def line_dedup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "removed")
+
+
+LEAKS_SQL = """
+WITH both_texts AS (
+  SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents UNION ALL SELECT 'i', item_id, coalesce(text, '') FROM benchmark
+), w AS (
+  SELECT side, id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words
+  FROM both_texts
+), s AS (
+  SELECT DISTINCT side, id, array_to_string(words[i : i + 4], ' ') AS shingle FROM (SELECT side, id, words, unnest(range(1, len(words) - 3)) AS i FROM w)
+), n AS (
+  SELECT id AS item_id, count(*) AS n_shingles FROM s WHERE side = 'i' GROUP BY id
+), shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM s d JOIN s i ON d.shingle = i.shingle AND d.side = 'd' AND i.side = 'i' GROUP BY ALL
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM shared JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles
+"""
+
+
+@query("op3_decontamination", LEAKS_SQL)
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")

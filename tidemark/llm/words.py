@@ -67,12 +67,14 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 _WEIGHTS = [np.uint64(int(w)) for w in _RNG.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
 
 
-def shingles(hashes: np.ndarray, firsts: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def shingles(hashes: np.ndarray, firsts: np.ndarray, n: int = 5, short_rows: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """
     Hashes of the n-word shingles of each row and the bounds of the rows. A row of fewer words, but at least one, has one
-    shingle of all its words; a row without words has none.
+    shingle of all its words unless ``short_rows`` is false; a row without words has none.
     """
     counts = np.diff(firsts)
+    if not short_rows:
+        counts = np.where(counts < n, 0, counts)
     whole = np.maximum(counts - n + 1, 0)
     if len(hashes) >= n:
         all_ = np.zeros(len(hashes) - n + 1, np.uint64)
