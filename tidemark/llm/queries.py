@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate, encode, line_dedup, ngram_join, packing, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, decontaminate, encode, line_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,10 @@ SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containme
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
+@query("op5_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(pii.of_kind("base", k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("bigint").alias("n_added"))
