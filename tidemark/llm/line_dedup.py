@@ -215,8 +215,8 @@ def matched_sets(rows: DataFrame, threshold: float) -> DataFrame:
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """
-    One row for each document: doc_id, r1, r2 (hashes of the row), n_lines (lines with words), n_removed and removed (their
-    numbers from 0, ascending).
+    One row for each document: doc_id, r1, r2 (hashes of the row), n_lines (lines with words), n_long (those of at least
+    ``min_words`` distinct words), n_removed and removed (their numbers from 0, ascending).
 
     A line is removed if an earlier line, by (doc_id, row hash, line number) over all documents, has a set of words whose
     Jaccard similarity with its own is at least ``threshold``, whether or not that line is removed itself. Lines of fewer
@@ -277,21 +277,24 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     judged = lines.filter("line >= 0").select("doc_id", "r1", "r2", "line", "d1").join(
         firsts.join(matched.withColumn("matched", F.lit(True)), "d1", "left").select("d1", F.struct("doc_id", "r1", "r2", "line").alias("first"), "matched"), "d1"
     )
-    gone = judged.filter(F.col("matched").isNotNull() | ~F.struct("doc_id", "r1", "r2", "line").eqNullSafe(F.col("first")))
-    gone = gone.groupBy("r1", "r2").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    copied = F.col("matched").isNotNull() | ~F.struct("doc_id", "r1", "r2", "line").eqNullSafe(F.col("first"))
+    # Repeated rows repeat their lines; a set of line numbers holds each once.
+    gone = judged.groupBy("r1", "r2").agg(F.array_sort(F.collect_set(F.when(copied, F.col("line")))).alias("removed"), F.size(F.collect_set("line")).cast("bigint").alias("n_long"))
     empty = F.array().cast("array<int>")
     return lines.filter("line = -1").select("doc_id", "r1", "r2", F.col("n").cast("bigint").alias("n_lines")).join(gone, ["r1", "r2"], "left").select(
-        "doc_id", "r1", "r2", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
+        "doc_id", "r1", "r2", "n_lines", F.coalesce("n_long", F.lit(0)).alias("n_long"), F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
     )
 
 
 def without_copied_lines(docs: DataFrame) -> DataFrame:
-    """The columns of ``documents`` with the texts less their removed lines. A document that has no words left goes."""
+    """
+    The columns of ``documents`` with the texts less their removed lines. A document all of whose long lines are removed
+    is a copy of what came before and goes with the short lines that are left.
+    """
     own = common.need(docs, doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
     keyed = own.select("*", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("r2"))
-    gone = removed_lines(docs).filter("n_removed > 0").select("r1", "r2", "removed").dropDuplicates(["r1", "r2"])
+    gone = removed_lines(docs).filter("n_removed > 0").select("r1", "r2", "removed", (F.col("n_removed") == F.col("n_long")).alias("whole")).dropDuplicates(["r1", "r2"])
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest)
-    left = keyed.join(gone, ["r1", "r2"], "left").select("doc_id", text.alias("text"), "lang", "source", F.col("removed").isNotNull().alias("cut"), "n_chars")
-    left = left.filter(~F.col("cut") | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    left = keyed.join(gone, ["r1", "r2"], "left").filter(~F.coalesce("whole", F.lit(False)))
+    left = left.select("doc_id", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest).alias("text"), "lang", "source", F.col("removed").isNotNull().alias("cut"), "n_chars")
     return left.select("doc_id", "text", "lang", "source", F.when(F.col("cut"), F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars"))
