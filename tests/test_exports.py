@@ -5,7 +5,7 @@ from tidemark.files import Files
 from tidemark.functions.objectid import NEVER_ID
 from tidemark.plans import compaction
 from tidemark.plans.export import full_export
-from tidemark.plans.incremental import layouts, run_incremental_export
+from tidemark.plans.incremental import layouts, pending_documents, run_incremental_export
 from tidemark.plans.state import last_ids, state_table
 from tidemark.sinks.csv_out import write_report, write_tasks
 from tidemark.sources.csv_files import read_raw_csv
@@ -93,8 +93,50 @@ def test_switched_off_and_unknown_datasets_are_not_exported(spark, rows, docs, l
 
 
 def test_layouts(spark):
-    df = spark.sql("SELECT array(named_struct('fieldName','a','dataType','int')) AS campi FROM range(3)")
-    assert len(layouts(df)) == 1
+    df = spark.sql("SELECT array(named_struct('fieldName','a','dataType','int')) AS campi, 'data' AS family, id FROM range(3)")
+    (fields, family, group), = layouts(df)
+    assert fields == [("a", "int")] and family == "data" and group.columns == df.columns and group.count() == 3
+    assert [x[0] for x in layouts(df.drop("campi"))] == [None]
+
+
+def test_each_dataset_has_its_own_fields(spark, rows, lake):
+    """One collection, two field lists, names that the toolkit also uses, and one name with two types."""
+    root, described, state = lake
+    docs = spark.createDataFrame(
+        [(oid(5, 1), 0, 1, "a", None, 1, None, 7), (oid(5, 2), 1, 1, None, 2.5, None, "p", None), (oid(5, 3), 2, 1, None, 3.5, None, "q", None)],
+        "id string, iddataset_l bigint, datasetversion_l bigint, temp_s string, temp_d double, year_i int, part_s string, iddataset_i int",
+    )
+    first, second = [("Temp", "string"), ("year", "int"), ("iddataset", "int")], [("temp", "double"), ("part", "string"), ("path", "string")]
+    fields = spark.createDataFrame(
+        [(0, first, "data"), (1, second, "data"), (2, second, "data")],
+        "iddataset bigint, campi array<struct<fieldName:string,dataType:string>>, family string",
+    )
+    run_incremental_export(spark, docs, described.join(fields, "iddataset"), state, oid(9))
+    files = {name: Files(spark).names(f"{root}/{name}") for name in ("ds0", "ds1", "ds2")}
+    text = {name: (spark.read.text(f"{root}/{name}/{files[name][0]}").collect()) for name in files}
+    assert [r[0] for r in text["ds0"]] == ["temp,year,iddataset", "a,1,7"]
+    assert [r[0] for r in text["ds1"]] == ["temp,part,path", '2.5,p,""']
+    assert [r[0] for r in text["ds2"]] == ["temp,part,path", '3.5,q,""']
+    assert rows(state.read(), "last_id") == [(oid(5, i),) for i in (1, 2, 3)]
+
+
+def test_pending_scan_is_pruned(spark, docs, lake, tmp_path):
+    _, described, state = lake
+    docs.write.partitionBy("iddataset_l", "datasetversion_l").parquet(str(tmp_path / "coll"))
+    state.write(spark.createDataFrame([(0, 1, NEVER_ID), (1, 1, oid(1_700_000_030)), (2, 1, oid(1_700_000_010))], state.schema))
+    found = pending_documents(spark.read.schema(docs.schema).parquet(str(tmp_path / "coll")), described, state.read(), oid(1_800_000_000))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert f"GreaterThan(id,{oid(1_700_000_010)})" in plan and "iddataset_l#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert {r["iddataset_l"] for r in found.collect()} == {1, 2} and found.count() == 10 + 17
+
+
+def test_reserved_names_are_refused(spark, lake):
+    root, described, state = lake
+    docs = spark.createDataFrame([(oid(5), 0, 1, "x")], "id string, iddataset_l bigint, datasetversion_l bigint, __tm_part_s string")
+    with pytest.raises(ValueError, match="__tm_"):
+        run_incremental_export(spark, docs, described, state, oid(9))
 
 
 RAW = ["time", "sensor", "v"]
@@ -128,6 +170,37 @@ def test_compaction_keeps_the_rows_and_archives_the_sources(spark, rows, raw):
     assert compaction.compact(spark, str(base / "raw"), str(base / "archive"), RAW) == []
 
 
+def test_compaction_leaves_the_files_columns_alone(spark, rows, tmp_path):
+    names = ["time", "year", "path", "part", "group_id", "oid"]
+    folder = tmp_path / "raw" / "d"
+    folder.mkdir(parents=True)
+    for i in range(2):
+        (folder / f"{oid(1_520_000_000 + i)}_1-ds-1.csv").write_text(f"{','.join(names)}\nt{i},198{i},p{i},a,b,c\n")
+    done = compaction.compact(spark, str(tmp_path / "raw"), str(tmp_path / "archive"), names)
+    assert rows(read_raw_csv(spark, done, names)) == [(f"t{i}", f"198{i}", f"p{i}", "a", "b", "c") for i in range(2)]
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_broken_compaction_is_finished_by_the_next_run(spark, rows, raw, monkeypatch, moved):
+    base, root, newest = raw
+    real, count = Files.rename, []
+
+    def break_off(self, source, target):
+        if len(count) == moved:
+            raise OSError("broken off")
+        count.append(target)
+        real(self, source, target)
+
+    monkeypatch.setattr("tidemark.files.RENAMES_AT_ONCE", 1)
+    monkeypatch.setattr(Files, "rename", break_off)
+    with pytest.raises(OSError):
+        compaction.compact(spark, str(base / "raw"), str(base / "archive"), RAW)
+    monkeypatch.setattr(Files, "rename", real)
+    compaction.compact(spark, str(base / "raw"), str(base / "archive"), RAW)
+    assert sorted(p.name for p in root.glob(f"{oid(1_520_000_000)[:6]}*-ds-1.csv")) == [f"{newest}_4-ds-1.csv"]
+    assert read_raw_csv(spark, str(root), RAW, multi_line=True).count() == 7
+
+
 def test_compaction_of_a_large_month_makes_several_files(spark, rows, tmp_path):
     root = tmp_path / "raw" / "d"
     for i in range(8):

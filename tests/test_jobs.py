@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.objectid import NEVER_ID
-from tidemark.plans.jobs import export_datasets, promote_datasets, publish_datasets
+from tidemark.plans.jobs import export_datasets, incremental_datasets, promote_datasets, publish_datasets
 from tidemark.plans.state import TENANT_KEYS, TENANT_SCHEMA, last_ids, merge_state, state_table
 from tidemark.sources.csv_files import read_raw_csv
 from tidemark.sources.serving import read_collection
@@ -55,6 +55,38 @@ def test_promote_publish_and_export(spark, rows, chosen, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("tables", [1, 50])
+def test_result_does_not_depend_on_plans_versions_or_emptiness(spark, rows, chosen, tmp_path, tables):
+    """Two versions with different fields share a folder and a collection; one dataset has become empty."""
+    promote_datasets(spark, chosen, "2020-01-01 00:00:00")
+    one = chosen.where("iddataset = 1").withColumn("solrcollectionname", F.lit("c")).withColumn("folder", F.lit(f"{tmp_path}/out/ds1"))
+    again = chosen.where("iddataset = 2").select(F.lit(1).cast("bigint").alias("iddataset"), F.lit(2).cast("bigint").alias("datasetversion"), F.lit("ds1").alias("datasetcode"), *chosen.columns[3:7], F.lit("c").alias("solrcollectionname"), F.lit(f"{tmp_path}/out/ds1").alias("folder"), "jdbcdbhive", "jdbctablename")
+    gone = chosen.where("iddataset = 3").withColumn("solrcollectionname", F.lit("c"))
+    every = one.unionByName(again).unionByName(gone)
+    state, path = state_table(spark, str(tmp_path / "state")), lambda name: str(tmp_path / name)
+    for run in ("a" * 24, "b" * 24):
+        if run[0] == "b":
+            spark.table("lake.t3").limit(0).write.mode("overwrite").saveAsTable("lake.t3_empty")
+            every = every.withColumn("dbhivetable", F.when(F.col("iddataset") == 3, "t3_empty").otherwise(F.col("dbhivetable")))
+        reports = publish_datasets(spark, every, path, state=state, tables_per_plan=tables)
+        export_datasets(spark, every, state, "overwrite", run, tables_per_plan=tables)
+    assert rows(read_collection(spark, path("c")).groupBy("iddataset_l", "datasetversion_l").count()) == [(1, 1, 3), (1, 2, 5)]
+    found = [tuple(r) for report in reports for r in report.select("iddataset_l", "datasetversion_l", "record_read", "record_write").collect()]
+    assert sorted(found) == [(1, 1, 3, 3), (1, 2, 5, 5), (3, 1, 0, 0)]
+    assert sorted(p.name for p in (tmp_path / "out").rglob("*-ds*.csv")) == [f"{'b' * 24}_3-ds1-1.csv", f"{'b' * 24}_5-ds1-2.csv"]
+    assert rows(state.read(), "last_id") == [(NEVER_ID,)] * 3
+
+
+def test_incremental_job(spark, rows, chosen, tmp_path):
+    promote_datasets(spark, chosen, "2020-01-01 00:00:00")
+    publish_datasets(spark, chosen, lambda name: str(tmp_path / name))
+    state = state_table(spark, str(tmp_path / "state"))
+    files = incremental_datasets(spark, chosen, lambda name: str(tmp_path / name), state, "f" * 24)
+    assert sorted(f.rsplit("_", 1)[1] for f in files) == ["2-ds3-1.csv", "3-ds1-1.csv", "5-ds2-1.csv"]
+    assert read_raw_csv(spark, str(tmp_path / "out" / "ds2"), ["num", "seen", "extra"]).count() == 5
+    assert incremental_datasets(spark, chosen, lambda name: str(tmp_path / name), state, "f" * 24) == []
+
+
 def test_forced_collection_and_dry_run(spark, rows, chosen, tmp_path):
     promote_datasets(spark, chosen, "2020-01-01 00:00:00")
     reports = publish_datasets(spark, chosen, lambda name: str(tmp_path / name), "nowrite", "other")

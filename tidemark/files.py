@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import SparkSession
 
+RENAMES_AT_ONCE = 8
+
 
 class Files:
     def __init__(self, spark: SparkSession):
@@ -44,15 +50,37 @@ class Files:
         if not fs.rename(old, new):
             raise OSError(f"cannot rename {source} to {target}")
 
+    def rename_all(self, pairs: Iterable[tuple[str, str]]) -> list[str]:
+        """Rename many files, a few at a time, and return the targets in the given order."""
+        pairs, targets = iter(pairs), []
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            while block := list(islice(pairs, 1000)):
+                list(pool.map(lambda pair: self.rename(*pair), block))
+                targets += [target for _, target in block]
+        return targets
+
     def write_text(self, path: str, text: str) -> None:
-        """Write a small text; readers see the old one or the new one."""
+        """Write a small text; readers see the old one or the new one, where the file system can replace a file in one step."""
         fs, target = self._at(f"{path}.new")
         out = fs.create(target, True)
         try:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
-        self.rename(f"{path}.new", path)
+        self.replace(f"{path}.new", path)
+
+    def replace(self, source: str, target: str) -> None:
+        """Put a file in another's place in one step; a file system that cannot do so moves it in two."""
+        _, old = self._at(source)
+        _, new = self._at(target)
+        options = self._jvm.org.apache.hadoop.fs.Options
+        try:
+            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._at(target)[0].getUri(), self._conf)
+            modes = self._jvm.java.lang.reflect.Array.newInstance(options.Rename.OVERWRITE.getClass(), 1)
+            modes[0] = options.Rename.OVERWRITE
+            context.rename(old, new, modes)
+        except Exception:  # no FileContext for this scheme
+            self.rename(source, target)
 
     def read_text(self, path: str) -> str | None:
         fs, target = self._at(path)

@@ -72,6 +72,13 @@ def field_columns(fields: Iterable[tuple[str, str]]) -> list[Column]:
     return [F.col(f"`{name}`").alias(name + suffix_of(code)) for name, code in own]
 
 
+def document_fields(fields: Iterable[tuple[str, str]], family: str) -> list[tuple[str, T.DataType]]:
+    """Serving names and types of a dataset's own columns."""
+    names = ["time_dt", "sensor_s", "streamcode_s"] if family in STREAM_FAMILIES else []
+    names += [name.lower() + suffix_of(code) for name, code in fields if name.lower() not in TECHNICAL_FIELDS]
+    return [(name, SUFFIX_TYPES[suffix_in(name)]) for name in names]
+
+
 def document_columns(
     fields: Iterable[tuple[str, str]], dataset_id: int | Column, version: int | Column, family: str
 ) -> list[Column]:

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.files import Files
 from tidemark.functions.objectid import id_month, id_year
 from tidemark.session import materialize, scratch_path
-from tidemark.sinks.csv_out import csv_writer, publish_files, write_tasks, written_files
+from tidemark.sinks.csv_out import PART, RESERVED, TURN, csv_writer, final_names, refuse_reserved, write_tasks, written_files
 from tidemark.sources.csv_files import read_raw_csv
-from tidemark.sources.listing import name_parts, raw_csv_files
+from tidemark.sources.listing import raw_csv_files
 
 BYTES_PER_FILE = 1 << 30
 GROUP = ["folder", "datasetcode", "datasetversion", "year", "month"]
+MOVES = "_moves"
 
 
 class CompactionMismatch(RuntimeError):
@@ -50,9 +51,13 @@ def compact(
 ) -> list[str]:
     """Compact every crowded month of the datasets below ``root`` that share one column list, in one plan.
 
-    The new files are written and counted first; then the sources move to ``archive`` and the new files take
-    their places. ``marker`` names the column that betrays repeated headers (None for bulk and binary data).
+    The new files are written and counted first; then all moves are written down, the sources move to ``archive``
+    and the new files take their places. A run that breaks between them is finished by the next one. ``marker`` names
+    the column that betrays repeated headers (None for bulk and binary data). The files' own columns may have any name
+    that does not begin like the toolkit's.
     """
+    refuse_reserved(columns)
+    finish_moves(spark, archive)
     found = materialize(with_month(raw_csv_files(spark, root), time_zone), "rawfiles")
     groups = materialize(file_groups(found, bytes_per_file).withColumn("group_id", F.xxhash64(*GROUP)), "groups")
     if groups.count() != groups.select("group_id").distinct().count():
@@ -64,27 +69,49 @@ def compact(
         return []
 
     rows = read_raw_csv(spark, paths, columns, multi_line=True)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_turn"))
-    rows = with_month(name_parts(rows), time_zone).withColumn("group_id", F.xxhash64(*GROUP))
+    path, group, parts = f"{RESERVED}path", f"{RESERVED}group_id", f"{RESERVED}parts"
+    rows = rows.select(*[f"`{c}`" for c in columns], F.col("_metadata.file_path").alias(path), F.monotonically_increasing_id().alias(TURN))
     if marker:
         rows = drop_repeated_headers(rows, marker)
+    places = sources.join(groups.select("group_id", "parts"), "group_id")
+    rows = rows.join(places.select(F.col("path").alias(path), F.col("group_id").alias(group), F.col("parts").alias(parts)), path)
     stage = scratch_path(spark, "compact")
-    large = groups.where(F.col("parts") > 1).select("group_id", "parts")
-    dealt = rows.join(large, "group_id", "left")
-    dealt = dealt.withColumn("part", F.pmod("_turn", F.coalesce("parts", F.lit(1)))).select(*columns, "group_id", "part")
+    dealt = rows.withColumn(PART, F.pmod(TURN, parts)).select(*[f"`{c}`" for c in columns], group, PART)
     files, size = groups.agg(F.sum("parts"), F.sum("byte")).first()
     tasks = write_tasks(spark, files, size / bytes_per_file)
-    csv_writer(dealt.repartition(tasks, "group_id", "part")).partitionBy("group_id", "part").csv(stage)
+    csv_writer(dealt.repartition(tasks, group, PART)).partitionBy(group, PART).csv(stage)
 
     written = materialize(written_files(spark, stage, ["group_id"], columns), "compacted")
-    expected = rows.groupBy("group_id").agg(F.count("*").alias("expected"))
+    expected = rows.groupBy(F.col(group).alias("group_id")).agg(F.count("*").alias("expected"))
     arrived = written.groupBy("group_id").agg(F.sum("rows").alias("found"))
     wrong = expected.join(arrived, "group_id", "left").where(~F.col("expected").eqNullSafe(F.col("found"))).take(5)
     if wrong:
         raise CompactionMismatch(f"rows read and compacted differ: {wrong}")
 
-    disk = Files(spark)
-    for row in sources.select("path", "file_name", "group_id").toLocalIterator():
-        disk.rename(row["path"], f"{archive}/{row['group_id']}/{row['file_name']}")
     named = written.join(groups.select("group_id", "folder", "max_oid", "datasetcode", "datasetversion"), "group_id")
-    return publish_files(named, F.col("folder"), F.col("max_oid"), F.col("datasetcode"), F.col("datasetversion"))
+    named = final_names(named, F.col("folder"), F.col("max_oid"), F.col("datasetcode"), F.col("datasetversion"))
+    away = sources.select(F.col("path").alias("source"), F.concat_ws("/", F.lit(archive), F.col("group_id").cast("string"), "file_name").alias("target"))
+    write_moves(away, named, archive)
+    return finish_moves(spark, archive)
+
+
+def write_moves(away: DataFrame, into_place: DataFrame, archive: str) -> None:
+    """Write the moves down, sources first: from here on the next run can finish what this one leaves."""
+    moves = away.withColumn("turn", F.lit(0)).unionByName(into_place.withColumn("turn", F.lit(1)))
+    moves.write.mode("overwrite").json(f"{archive}/{MOVES}")
+
+
+def finish_moves(spark: SparkSession, archive: str) -> list[str]:
+    """Do the moves written down that are not done yet; the places of the new files."""
+    disk, path = Files(spark), f"{archive}/{MOVES}"
+    if not disk.exists(path):
+        return []
+    if not disk.is_complete(path):  # nothing has moved before the moves were complete
+        disk.delete(path)
+        return []
+    moves = spark.read.schema("source string, target string, turn int").json(path)
+    for turn in (0, 1):  # a file of the old name may be in the way of a new one
+        disk.rename_all((row["source"], row["target"]) for row in moves.where(F.col("turn") == turn).toLocalIterator() if disk.exists(row["source"]) and not (turn == 0 and disk.exists(row["target"])))
+    done = [row["target"] for row in moves.where("turn = 1").toLocalIterator()]
+    disk.delete(path)
+    return done

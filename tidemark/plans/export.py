@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.files import Files
+from tidemark.functions.paths import FILE_NAME
 from tidemark.plans.incremental import write_dataset_files
 from tidemark.plans.state import STATE_KEYS, merge_state, stop_incremental
 from tidemark.session import materialize
@@ -21,8 +24,9 @@ def full_export(
 ) -> list[str]:
     """Export whole datasets, given as documents, and switch their incremental export off.
 
-    ``overwrite`` removes the earlier files of the datasets once the new ones are in place, ``append`` keeps
-    them, ``nowrite`` has no effect at all.
+    ``overwrite`` removes the earlier files of the described dataset versions once the new ones are in place, also of
+    those that have no documents any more; files of other datasets or versions in the same folder stay. ``append``
+    keeps them all, ``nowrite`` has no effect at all.
     """
     mode = check_mode(mode)
     if mode == "nowrite":
@@ -31,16 +35,18 @@ def full_export(
     sizes = materialize(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), "sizes")
     published = write_dataset_files(docs, sizes, descriptors, F.lit(run_id), time_zone, rows_per_file)
     if mode == "overwrite":
-        _remove_other_files(spark, descriptors.join(sizes.select(*STATE_KEYS), STATE_KEYS, "left_semi"), published)
-    state.write(merge_state(state.read(), stop_incremental(sizes)))
+        _remove_older_files(spark, descriptors, published)
+    state.write(merge_state(state.read(), stop_incremental(descriptors)))
     return published
 
 
-def _remove_other_files(spark: SparkSession, descriptors: DataFrame, published: list[str]) -> None:
-    """Delete the CSV files in the datasets' folders that this export did not write (names only)."""
+def _remove_older_files(spark: SparkSession, descriptors: DataFrame, published: list[str]) -> None:
+    """Delete the files in the datasets' folders that carry a described code and version and are not new (names only)."""
     disk, keep = Files(spark), set(published)
-    for row in descriptors.select("folder").distinct().toLocalIterator():
+    codes = F.collect_set(F.struct("datasetcode", F.col("datasetversion").cast("string").alias("version"))).alias("codes")
+    for row in descriptors.groupBy("folder").agg(codes).toLocalIterator():
+        own = {(code["datasetcode"], code["version"]) for code in row["codes"]}
         for name in disk.names(row["folder"]):
-            path = f"{row['folder']}/{name}"
-            if name.endswith(".csv") and path not in keep:
-                disk.delete(path)
+            parts = re.match(FILE_NAME, name)
+            if parts and parts.group(3, 4) in own and f"{row['folder']}/{name}" not in keep:
+                disk.delete(f"{row['folder']}/{name}")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.fieldtypes import csv_header, csv_text_columns
+from tidemark.functions.fieldtypes import csv_header, csv_text_columns, document_fields
+from tidemark.functions.objectid import NEVER_ID
 from tidemark.plans.state import STATE_KEYS, last_ids, merge_state
 from tidemark.session import materialize, scratch_path
-from tidemark.sinks.csv_out import ROWS_PER_FILE, publish_files, write_in_files, written_files
+from tidemark.sinks.csv_out import RESERVED, ROWS_PER_FILE, TURN, publish_files, refuse_reserved, write_in_files, written_files
 from tidemark.sinks.tables import StateTable
 from tidemark.sources.serving import PARTITIONS, count_and_max
 
@@ -26,12 +28,35 @@ def as_document_keys(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(dict(zip(STATE_KEYS, PARTITIONS)))
 
 
+# partitions named one by one in a scan's filter; beyond that the range of their numbers is used
+NAMED_PARTITIONS = 1000
+
+
 def pending_documents(docs: DataFrame, datasets: DataFrame, state: DataFrame, upper_id: str | Column) -> DataFrame:
-    """Documents of the datasets in the range (last exported id, upper id]."""
+    """Documents of the datasets in the range (last exported id, upper id].
+
+    Switched-off datasets are left out first. The active ones' numbers and their least last id, a few values whatever
+    the number of documents, go into the scan's filters, so that other partitions and older row groups are skipped.
+    """
     upper = F.lit(upper_id) if isinstance(upper_id, str) else upper_id
-    targets = as_document_keys(last_ids(datasets.select(*STATE_KEYS).distinct(), state))
-    ready = docs.where(F.col("id") <= upper).join(targets, PARTITIONS, "inner")
-    return ready.where(F.col("id") > F.col("last_id")).select(*docs.columns)
+    targets = as_document_keys(last_ids(datasets.select(*STATE_KEYS).distinct(), state).where(F.col("last_id") != NEVER_ID))
+    dataset, version = PARTITIONS
+    span = targets.agg(F.min("last_id"), F.min(dataset), F.max(dataset), F.min(version), F.max(version), F.count("*")).first()
+    if not span[5]:
+        return docs.where(F.lit(False))
+    reach = docs.where((F.col("id") <= upper) & (F.col("id") > span[0]) & F.col(version).between(span[3], span[4]))
+    if span[5] <= NAMED_PARTITIONS:
+        reach = reach.where(F.col(dataset).isin([row[0] for row in targets.select(dataset).distinct().collect()]))
+    else:
+        reach = reach.where(F.col(dataset).between(span[1], span[2]))
+    return reach.join(targets, PARTITIONS, "inner").where(F.col("id") > F.col("last_id")).select(*docs.columns)
+
+
+def own_columns(docs: DataFrame, fields: list[tuple[str, str]], family: str) -> DataFrame:
+    """Documents with the columns of their dataset's field list only; a field no document has yet is null."""
+    present = set(docs.columns)
+    typed = document_fields(fields, family)
+    return docs.select("id", *PARTITIONS, *[F.col(f"`{n}`") if n in present else F.lit(None).cast(t).alias(n) for n, t in typed])
 
 
 def next_state(pending: DataFrame) -> DataFrame:
@@ -58,11 +83,12 @@ def write_dataset_files(
     spark = docs.sparkSession
     stage = scratch_path(spark, "export")
     body = csv_rows(docs, time_zone).columns
-    keyed = docs.select(*docs.columns, *[F.col(k).alias(f"_{k}") for k in PARTITIONS], F.xxhash64("id").alias("_turn"))
+    refuse_reserved(body)
+    keyed = docs.select(*docs.columns, *[F.col(k).alias(RESERVED + name) for k, name in zip(PARTITIONS, STATE_KEYS)], F.xxhash64("id").alias(TURN))
     text = csv_text_columns(keyed.drop(*DROPPED), time_zone)
-    rows = text.toDF(*body, *STATE_KEYS, "_turn")
+    rows = text.toDF(*body, *[RESERVED + name for name in STATE_KEYS], TURN)
     counts = sizes.select(*STATE_KEYS, F.col("documents").alias("rows"))
-    write_in_files(rows, counts, STATE_KEYS, stage, "_turn", rows_per_file)
+    write_in_files(rows, counts, STATE_KEYS, stage, rows_per_file)
 
     files = materialize(written_files(spark, stage, STATE_KEYS, body), "files")
     per_dataset = files.groupBy(*STATE_KEYS).agg(F.sum("rows").alias("written"))
@@ -80,16 +106,28 @@ def run_incremental_export(
 ) -> list[str]:
     """Export what is new since the last run and remember how far it went.
 
-    Files come first and the state last: a run that breaks in between is repeated from the old state, and with
-    the same upper id it writes the same file names.
+    Descriptors with ``campi`` and ``family`` are exported in groups of one field list, each with its own columns;
+    without them the collection's columns are those of every dataset. Files come first and the state last: a run that
+    breaks in between is repeated from the old state, and with the same upper id it writes the same file names.
     """
-    pending = pending_documents(docs, descriptors, state.read(), upper_id)
-    sizes = materialize(next_state(pending), "sizes")
-    published = write_dataset_files(pending, sizes, descriptors, F.lit(upper_id), time_zone, rows_per_file)
-    state.write(merge_state(state.read(), sizes))
+    before, published, found = state.read(), [], []
+    for fields, family, group in layouts(descriptors):
+        own = docs if fields is None else own_columns(docs, fields, family)
+        pending = pending_documents(own, group, before, upper_id)
+        sizes = materialize(next_state(pending), "sizes")
+        published += write_dataset_files(pending, sizes, group, F.lit(upper_id), time_zone, rows_per_file)
+        found.append(sizes)
+    if found:
+        state.write(merge_state(before, reduce(DataFrame.unionByName, found)))
     return published
 
 
-def layouts(descriptors: DataFrame) -> list[Sequence]:
-    """The distinct field lists among the datasets; datasets sharing one are exported together."""
-    return [row["campi"] for row in descriptors.select("campi").distinct().toLocalIterator()]
+def layouts(descriptors: DataFrame) -> Iterator[tuple[list[tuple[str, str]] | None, str | None, DataFrame]]:
+    """The distinct field lists among the datasets, each with its family and the descriptors that share it."""
+    if "campi" not in descriptors.columns:
+        yield None, None, descriptors
+        return
+    marked = descriptors.withColumn("_layout", F.xxhash64(F.to_json(F.struct("campi", "family"))))
+    for row in marked.groupBy("_layout").agg(F.first("campi").alias("campi"), F.first("family").alias("family")).toLocalIterator():
+        fields = [(field["fieldName"], field["dataType"]) for field in row["campi"] or []]
+        yield fields, row["family"], marked.where(F.col("_layout") == row["_layout"]).drop("_layout")

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.export import full_export
+from tidemark.plans.incremental import run_incremental_export
 from tidemark.plans.promote import promote
 from tidemark.plans.publish import publish, serving_documents
 from tidemark.plans.state import STATE_KEYS, merge_state, stop_incremental
 from tidemark.sinks.stats import append_stats, stats_rows
 from tidemark.sinks.tables import StateTable
-from tidemark.sources.serving import PARTITIONS
+from tidemark.sources.serving import PARTITIONS, read_collection
 from tidemark.sources.tables import lake_table, scan_dataset
 
 TABLES_PER_PLAN = 50
@@ -41,14 +42,22 @@ def lake_documents(spark: SparkSession, descriptor: Row) -> DataFrame:
     return scan_dataset(lake, fields_of(descriptor), *ids, with_row_number=False)
 
 
-def _groups(chosen: DataFrame, key: Callable[[Row], object]) -> Iterator[list[Row]]:
-    """Descriptor rows in batches of one key; a batch is one plan and therefore bounded."""
-    found: dict[object, list[Row]] = {}
+def _groups(chosen: DataFrame, key: Callable[[Row], object], tables: int) -> Iterator[list[Row]]:
+    """Descriptor rows in batches of one key; a batch is one plan of at most ``tables`` tables.
+
+    All versions of a dataset are in one batch, however many, because replacing a dataset clears all of them.
+    """
+    found: dict[object, dict[int, list[Row]]] = {}
     for row in chosen.toLocalIterator():
-        found.setdefault(key(row), []).append(row)
-    for rows in found.values():
-        for start in range(0, len(rows), TABLES_PER_PLAN):
-            yield rows[start:start + TABLES_PER_PLAN]
+        found.setdefault(key(row), {}).setdefault(row["iddataset"], []).append(row)
+    for datasets in found.values():
+        batch: list[Row] = []
+        for versions in datasets.values():
+            if batch and len(batch) + len(versions) > tables:
+                yield batch
+                batch = []
+            batch += versions
+        yield batch
 
 
 def _together(frames: list[DataFrame]) -> DataFrame:
@@ -59,18 +68,21 @@ def publish_datasets(
     spark: SparkSession, chosen: DataFrame, collection_path: Callable[[str], str], mode: str = "overwrite",
     forced_collection: str = "none", dt_as: str = "date", state: StateTable | None = None,
     stats_path: str | None = None, project: str = "", coordinator: str = "", ids_may_move: bool = True,
+    tables_per_plan: int = TABLES_PER_PLAN,
 ) -> list[DataFrame]:
-    """Publish the chosen datasets, one pass per collection, and reconcile every one of them.
+    """Publish the chosen datasets, one pass per collection, and reconcile every one of them, empty ones too.
 
-    With ``state`` their incremental export is switched off. Returns the reconciliation reports.
+    The descriptors say what is replaced, so the result does not depend on how they fall into plans. With ``state``
+    their incremental export is switched off. Returns the reconciliation reports.
     """
     own = forced_collection.lower() == "none"
     reports = []
-    for batch in _groups(chosen, lambda row: row["solrcollectionname"] if own else forced_collection):
+    for batch in _groups(chosen, lambda row: row["solrcollectionname"] if own else forced_collection, tables_per_plan):
         collection = batch[0]["solrcollectionname"] if own else forced_collection
         started = time.monotonic()
         docs = _together([serving_documents(lake_documents(spark, row), dt_as) for row in batch])
-        report = publish(spark, collection_path(collection), docs, mode, ids_may_move)
+        keys = _described(spark, batch).withColumnsRenamed(dict(zip(STATE_KEYS, PARTITIONS)))
+        report = publish(spark, collection_path(collection), docs, mode, ids_may_move, keys)
         reports.append(report)
         described = _described(spark, batch).join(report.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), STATE_KEYS)
         if state is not None and mode.lower() != "nowrite":
@@ -84,24 +96,37 @@ def publish_datasets(
 
 def export_datasets(
     spark: SparkSession, chosen: DataFrame, state: StateTable, mode: str, run_id: str, time_zone: str = "UTC",
-    stats_path: str | None = None, project: str = "", coordinator: str = "",
+    stats_path: str | None = None, project: str = "", coordinator: str = "", tables_per_plan: int = TABLES_PER_PLAN,
 ) -> list[str]:
     """Full CSV export of the chosen datasets; those with the same columns are written together."""
     published = []
-    for batch in _groups(chosen, lambda row: (row["family"], tuple(fields_of(row)))):
+    for batch in _groups(chosen, lambda row: (row["family"], tuple(fields_of(row))), tables_per_plan):
         started = time.monotonic()
         docs = _together([lake_documents(spark, row) for row in batch])
         described = _described(spark, batch)
         published += full_export(spark, docs, described, state, mode, run_id, time_zone)
         if stats_path:
             counted = docs.groupBy(*PARTITIONS).agg(F.count("*").alias("record_read"))
-            counts = described.join(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), STATE_KEYS)
-            counts = counts.select("*", F.col("folder").alias("destination"), F.col("record_read").alias("record_write"))
+            counts = described.join(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), STATE_KEYS, "left")
+            counts = counts.fillna(0, ["record_read"]).select("*", F.col("folder").alias("destination"), F.col("record_read").alias("record_write"))
             elapsed = int(1000 * (time.monotonic() - started))
             append_stats(stats_rows(counts, "export", project, coordinator, elapsed), stats_path)
     return published
 
 
+def incremental_datasets(
+    spark: SparkSession, chosen: DataFrame, collection_path: Callable[[str], str], state: StateTable, upper_id: str,
+    time_zone: str = "UTC",
+) -> list[str]:
+    """Export the new documents of the chosen datasets, collection by collection, each with its own field list."""
+    published = []
+    for row in chosen.select("solrcollectionname").distinct().toLocalIterator():
+        own = chosen.where(F.col("solrcollectionname").eqNullSafe(row[0]))
+        docs = read_collection(spark, collection_path(row[0]))
+        published += run_incremental_export(spark, docs, own, state, upper_id, time_zone)
+    return published
+
+
 def promote_datasets(
     spark: SparkSession, chosen: DataFrame, load_time: str, stats_path: str | None = None, project: str = "",
     coordinator: str = "", **options,

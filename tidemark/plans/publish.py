@@ -30,22 +30,31 @@ def row_blocks(rows: DataFrame, size: int, start: int = 0, row_number: str = "sp
 
 
 def publish(
-    spark: SparkSession, path: str, docs: DataFrame, mode: str = "overwrite", ids_may_move: bool = True
+    spark: SparkSession, path: str, docs: DataFrame, mode: str = "overwrite", ids_may_move: bool = True,
+    described: DataFrame | None = None,
 ) -> DataFrame:
     """Write documents of any number of datasets in one pass and reconcile the counts.
 
     ``overwrite`` first deletes what the lake published earlier for the same datasets, ``append`` only replaces
     documents with equal ids, ``nowrite`` counts without touching the collection. Returns one row per dataset
     version: record_read, record_before, record_after, record_write.
+
+    ``described`` (iddataset_l, datasetversion_l) names the dataset versions that are published, with or without
+    documents: an empty one is cleared and reported with zeros. Without it they are those of the documents.
     """
     mode = check_mode(mode)
     read = count_by_version(to_documents(docs)).withColumnRenamed("documents", "record_read")
+    datasets = None
+    if described is not None:
+        described = described.select(*PARTITIONS).distinct()
+        read = described.join(read, PARTITIONS, "left").fillna(0, ["record_read"])
+        datasets = described.select("iddataset_l").distinct()
     if mode == "nowrite":
         return _report(read, _counts(spark, path), _counts(spark, path), None)
     before = _counts(spark, path)
     read, before = _hold(read), _hold(before)
     replaced = LAKE_ORIGIN if mode == "overwrite" else None
-    incoming = merge_documents(spark, path, docs, replace_origin=replaced, ids_may_move=ids_may_move)
+    incoming = merge_documents(spark, path, docs, replace_origin=replaced, ids_may_move=ids_may_move, replaced=datasets)
     stored = read_collection(spark, path)
     arrived = stored.join(incoming.select("id", *PARTITIONS), ["id", *PARTITIONS], "left_semi")
     report = _hold(_report(read, before, count_by_version(stored), count_by_version(arrived)))

@@ -15,6 +15,17 @@ from tidemark.sources.csv_files import read_raw_csv
 
 ROWS_PER_FILE = 5_000_000
 
+# Columns of the toolkit beside those of a data set: no field may begin like this.
+RESERVED = "__tm_"
+PART, TURN = f"{RESERVED}part", f"{RESERVED}turn"
+
+
+def refuse_reserved(columns: Sequence[str]) -> None:
+    """Fields that begin like the toolkit's own columns can't be told from them."""
+    taken = [c for c in columns if c.lower().startswith(RESERVED)]
+    if taken:
+        raise ValueError(f"columns must not begin with {RESERVED}: {taken}")
+
 
 def csv_writer(df: DataFrame) -> DataFrameWriter:
     """Header, quotes only where needed, null and empty text kept apart, blanks untouched."""
@@ -23,20 +34,22 @@ def csv_writer(df: DataFrame) -> DataFrameWriter:
 
 
 def write_in_files(
-    rows: DataFrame, sizes: DataFrame, keys: Sequence[str], path: str, turn: str, rows_per_file: int = ROWS_PER_FILE
+    rows: DataFrame, sizes: DataFrame, keys: Sequence[str], path: str, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Write one CSV per key, or several of about equal size for a key with more than ``rows_per_file`` rows.
 
-    ``sizes`` holds the row count of every key (column ``rows``). The number in column ``turn`` deals the rows of
-    a large key out to its files; it must not depend on the order rows arrive in, and copies of a row must not
-    share it. One key and part go to one task, which holds about ``rows_per_file`` rows whatever the key.
+    ``rows`` holds the keys under their reserved names (``__tm_<key>``) and the number ``__tm_turn``, which deals the
+    rows of a large key out to its files; it must not depend on the order rows arrive in, and copies of a row must not
+    share it. ``sizes`` holds the row count of every key (column ``rows``). One key and part go to one task, which
+    holds about ``rows_per_file`` rows whatever the key.
     """
+    own = [RESERVED + key for key in keys]
     wanted = F.greatest(F.ceil(F.col("rows") / rows_per_file), F.lit(1)).cast("bigint")
-    parts = sizes.select(*keys, wanted.alias("_parts"))
-    dealt = rows.join(parts, list(keys), "inner").withColumn("part", F.pmod(F.col(turn), "_parts")).drop(turn, "_parts")
-    total, files = parts.join(sizes, list(keys)).agg(F.sum("rows"), F.sum("_parts")).first()
+    parts = sizes.select(*[F.col(k).alias(RESERVED + k) for k in keys], "rows", wanted.alias(f"{RESERVED}parts"))
+    total, files = parts.agg(F.sum("rows"), F.sum(f"{RESERVED}parts")).first()
+    dealt = rows.join(parts.drop("rows"), own, "inner").withColumn(PART, F.pmod(TURN, f"{RESERVED}parts")).drop(TURN, f"{RESERVED}parts")
     tasks = write_tasks(rows.sparkSession, files or 0, (total or 0) / rows_per_file)
-    csv_writer(dealt.repartition(tasks, *keys, "part")).partitionBy(*keys, "part").csv(path)
+    csv_writer(dealt.repartition(tasks, *own, PART)).partitionBy(*own, PART).csv(path)
 
 
 def write_tasks(spark: SparkSession, files: int, full_files: float) -> int:
@@ -49,8 +62,8 @@ def written_files(spark: SparkSession, path: str, keys: Sequence[str], columns:
     """Row count of every file of a keyed export, read back from storage: keys, part, file, rows."""
     stored = read_raw_csv(spark, path, columns, multi_line=True, recursive=True)
     found = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
-    labels = [F.regexp_extract("file", f"/{key}=([^/]+)/", 1).cast("bigint").alias(key) for key in keys]
-    return found.select(*labels, F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("int").alias("part"), "file", "rows")
+    labels = [F.regexp_extract("file", f"/{RESERVED}{key}=([^/]+)/", 1).cast("bigint").alias(key) for key in keys]
+    return found.select(*labels, F.regexp_extract("file", f"/{PART}=([0-9]+)/", 1).cast("int").alias("part"), "file", "rows")
 
 
 def publish_files(files: DataFrame, folder: Column, oid: Column, code: Column, version: Column) -> list[str]:
@@ -58,22 +71,23 @@ def publish_files(files: DataFrame, folder: Column, oid: Column, code: Column, v
 
     Names are streamed to the driver, one per file; renames do not touch the contents. Returns the final paths.
     """
+    plan = final_names(files, folder, oid, code, version)
+    return Files(files.sparkSession).rename_all((row["source"], row["target"]) for row in plan.toLocalIterator())
+
+
+def final_names(files: DataFrame, folder: Column, oid: Column, code: Column, version: Column) -> DataFrame:
+    """source and target of every written file."""
     name = export_file_name(part_id(oid, F.col("part")), F.col("rows"), code, version)
-    plan = files.select("file", F.concat_ws("/", folder, name).alias("target"))
-    disk = Files(files.sparkSession)
-    targets = []
-    for row in plan.toLocalIterator():
-        disk.rename(row["file"], row["target"])
-        targets.append(row["target"])
-    return targets
+    return files.select(F.col("file").alias("source"), F.concat_ws("/", folder, name).alias("target"))
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Semicolon separated report, nulls as empty text.
 
     The built-in writer cannot quote text only, so every value is quoted. ``single_file`` gathers the finished
-    report (one row per tenant or month, not data rows) in one file.
+    report (one row per tenant or month, not data rows) in one file, in the report's order: a sorted frame has its
+    ranges in its partitions, which are put together one after another.
     """
-    rows = df.repartition(1) if single_file else df
+    rows = df.coalesce(1) if single_file else df
     writer = rows.write.mode("overwrite").option("header", True).option("sep", ";").option("quoteAll", True)
     writer.option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)

@@ -63,13 +63,13 @@ def _distinct_documents(docs: DataFrame, newest_first: list | None) -> DataFrame
 
 def merge_documents(
     spark: SparkSession, path: str, source: DataFrame, newest_first: list | None = None,
-    replace_origin: str | None = None, ids_may_move: bool = True,
+    replace_origin: str | None = None, ids_may_move: bool = True, replaced: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert by ``id`` over the whole collection, rewriting only the partitions that change.
 
     These are the partitions of the new documents, those holding an older document with one of their ids (found
     by a scan of the id and partition columns) and, with ``replace_origin``, those holding documents of that
-    origin of the same datasets, which are deleted in all versions. The new rows are written down first: made-up
+    origin of the same datasets (or of ``replaced``), which are deleted in all versions. The new rows are written down first: made-up
     ids and the choice among repeated ids must not change between the passes. Returns the new documents.
 
     ``ids_may_move=False`` promises that an id never changes its dataset or version and saves the scan for them.
@@ -89,7 +89,7 @@ def merge_documents(
         placed = stored.select("id", *PARTITIONS).join(incoming.select("id"), "id", "left_semi")
         touched = touched.unionByName(placed.select(*PARTITIONS))
     if replace_origin is not None:
-        datasets = incoming.select("iddataset_l").distinct()
+        datasets = incoming.select("iddataset_l").distinct() if replaced is None else replaced
         outdated = stored.where(F.col("origin_s") == replace_origin).join(datasets, "iddataset_l", "left_semi")
         touched = touched.unionByName(outdated.select(*PARTITIONS))
     touched = materialize(touched.distinct(), "touched")
