@@ -121,14 +121,16 @@ def _publish(t: Inputs) -> tuple[str, DataFrame]:
 
 @query(
     "publish_dataset",
-    f"""SELECT id, iddataset_l, datasetversion_l, origin_s, kind_s, time_dt, seen_dt, reading_d, level_f, note_s FROM ({_PUBLISHED}) p
-        UNION ALL SELECT id, iddataset_l, datasetversion_l, origin_s, kind_s, NULL, NULL, NULL, NULL, NULL
+    f"""SELECT id, iddataset_l, datasetversion_l, origin_s, kind_s, time_dt, seen_dt, reading_d, level_f, note_s, sensor_s, streamcode_s, counter_l
+        FROM ({_PUBLISHED}) p
+        UNION ALL SELECT id, iddataset_l, datasetversion_l, origin_s, kind_s, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM ({_EARLIER}) e WHERE origin_s <> 'datalake'""",
 )
 def publish_dataset(t: Inputs) -> DataFrame:
     path, _ = _publish(t)
     return plain_types(read_collection(t.spark, path)).select(
-        "id", "iddataset_l", "datasetversion_l", "origin_s", "kind_s", "time_dt", "seen_dt", "reading_d", "level_f", "note_s"
+        "id", "iddataset_l", "datasetversion_l", "origin_s", "kind_s", "time_dt", "seen_dt", "reading_d", "level_f", "note_s",
+        "sensor_s", "streamcode_s", "counter_l",
     )
 
 
@@ -363,12 +365,12 @@ def csv_compaction(t: Inputs) -> DataFrame:
     return _raw_rows(t, root, _RAW_COLUMNS)
 
 
-@query("space_listing", "SELECT concat('type_s=', type_s) AS folder, true AS has_files, true AS has_bytes FROM {x_doc} GROUP BY type_s")
+@query("space_listing", "SELECT concat('type_s=', type_s) AS folder, sum(length(id) + 1) AS byte FROM {x_doc} GROUP BY type_s")
 def space_listing(t: Inputs) -> DataFrame:
+    """Ids as text files, whose sizes are known: a line feed after each."""
     root = scratch_path(t.spark, "space")
-    t("x_doc").hint("rebalance", "type_s").write.partitionBy("type_s").parquet(root)
-    found = folder_sizes(file_sizes(t.spark, root), root)
-    return found.select("folder", (F.col("files") > 0).alias("has_files"), (F.col("byte") > 0).alias("has_bytes"))
+    t("x_doc").select("id", "type_s").hint("rebalance", "type_s").write.partitionBy("type_s").text(root)
+    return folder_sizes(file_sizes(t.spark, root), root).where("files > 0").select("folder", "byte")
 
 
 # ---------------------------------------------------------------- access logs

@@ -26,19 +26,17 @@ def _oracle_view(name: str, text: str) -> str:
     return text
 
 
+# the tenant's fields once, with the last day that any of its datasets was served
 TENANT_INFO = _oracle_view("o_info", """
-SELECT idecosystem, tenanttype, organizationcode, tenantname, t.tenantcode, concat(userlastname, ' ', userfirstname) AS referente,
-  useremail AS email_referente,
-  CASE WHEN max(lasttimeid) <= TIMESTAMP '1970-01-01 01:00:00' THEN NULL ELSE CAST(CAST(max(lasttimeid) AS date) AS string) END
-    AS dataultimoaggiornamento,
-  CASE zeppelin WHEN 'undefined' THEN '' ELSE zeppelin END AS zeppelin,
-  CASE hasstage WHEN 'undefined' THEN '' ELSE hasstage END AS stage,
-  CASE dataattivazione WHEN 'undefined' THEN '' ELSE dataattivazione END AS dataattivazione,
-  CASE datadisattivazione WHEN 'undefined' THEN '' ELSE datadisattivazione END AS datadisattivazione
-FROM {x_tenant} t LEFT JOIN {x_dataset} d ON d.tenantcode = t.tenantcode
-LEFT JOIN {x_serving_dim} s ON s.iddataset = d.iddataset AND s.datasetversion = d.datasetversion
-GROUP BY idecosystem, tenanttype, organizationcode, coddeploymentstatus, tenantname, t.tenantcode, userlastname, userfirstname,
-  useremail, t.zeppelin, hasstage, t.dataattivazione, t.datadisattivazione
+WITH served AS (
+  SELECT tenantcode, strftime(max(lasttimeid) FILTER (lasttimeid > TIMESTAMP '1970-01-01 01:00:00'), '%Y-%m-%d') AS last_day
+  FROM {x_dataset} JOIN {x_serving_dim} USING (iddataset, datasetversion) GROUP BY tenantcode
+)
+SELECT DISTINCT idecosystem, tenanttype, organizationcode, tenantname, tenantcode, userlastname || ' ' || userfirstname AS referente,
+  useremail AS email_referente, last_day AS dataultimoaggiornamento, if(zeppelin = 'undefined', '', zeppelin) AS zeppelin,
+  if(hasstage = 'undefined', '', hasstage) AS stage, if(dataattivazione = 'undefined', '', dataattivazione) AS dataattivazione,
+  if(datadisattivazione = 'undefined', '', datadisattivazione) AS datadisattivazione
+FROM {x_tenant} LEFT JOIN served USING (tenantcode)
 """)
 TABLE_SIZES = _oracle_view("o_tables", f"{UNOWNED} UNION ALL {OWNED}")
 LAKE_MB = _oracle_view("o_lake", f"""
@@ -62,17 +60,15 @@ SELECT tenantcode, avg(CAST(regexp_extract(line, '^([0-9]+)', 1) AS bigint)) AS
 FROM {x_dataset} LEFT JOIN {x_space} ON upper(split_part(line, '/serving/', 2)) = upper(solrcollectionname)
 GROUP BY tenantcode, solrcollectionname
 """)
+# a tenant's part of a collection's bytes is its part of the collection's records
 SERVING_MB = _oracle_view("o_serving", f"""
-SELECT tenantcode AS tenant, {_MB % 'sum(size)'} AS solrtenantcollmb FROM (
-  SELECT m.tenantcode, CASE WHEN total IS NULL THEN 0 ELSE coalesce(solr_byte, 0) * (coalesce(mine, 0) / total) END AS size
-  FROM (SELECT t.tenantcode, solrcollectionname, sum(numrecord) AS mine FROM {{x_tenant}} t
-        LEFT JOIN {{x_dataset}} d ON d.tenantcode = t.tenantcode
-        LEFT JOIN {{x_serving_dim}} s ON s.iddataset = d.iddataset AND s.datasetversion = d.datasetversion
-        GROUP BY t.tenantcode, solrcollectionname) m
-  LEFT JOIN {{o_bytes}} b ON b.tenantcode = m.tenantcode AND b.solrcollectionname = m.solrcollectionname
-  LEFT JOIN (SELECT solrcollectionname, sum(numrecord) AS total FROM {{x_dataset}} d
-        LEFT JOIN {{x_serving_dim}} s ON s.iddataset = d.iddataset AND s.datasetversion = d.datasetversion
-        GROUP BY solrcollectionname) c ON c.solrcollectionname = m.solrcollectionname) a GROUP BY tenantcode
+WITH records AS (
+  SELECT tenantcode, solrcollectionname, sum(numrecord) AS own, sum(sum(numrecord)) OVER (PARTITION BY solrcollectionname) AS everyones
+  FROM {{x_dataset}} LEFT JOIN {{x_serving_dim}} USING (iddataset, datasetversion) GROUP BY tenantcode, solrcollectionname
+), parts AS (
+  SELECT tenantcode, sum(solr_byte * own / everyones) AS bytes FROM records JOIN {{o_bytes}} USING (tenantcode, solrcollectionname) GROUP BY tenantcode
+)
+SELECT tenantcode AS tenant, {_MB % 'coalesce(bytes, 0.0)'} AS solrtenantcollmb FROM (SELECT DISTINCT tenantcode FROM {{x_tenant}}) t LEFT JOIN parts USING (tenantcode)
 """)
 STAGE_BYTES = _oracle_view("o_stage_bytes", """
 SELECT regexp_extract(line, '^([0-9]+)', 1) AS byte, regexp_extract(line, '^[0-9]+\\s+(.*)$', 1) AS stg_path,
@@ -124,15 +120,16 @@ LEFT JOIN (SELECT tenantcode, count(codice_dataset) AS dataset FROM {{o_list}} G
 LEFT JOIN (SELECT DISTINCT tenantcode, media_chiamate_anno AS odata FROM {{o_calls}} WHERE anno = {YEAR}) a ON a.tenantcode = c.tenantcode
 LEFT JOIN {{x_register}} r ON r.tenantcode = c.tenantcode
 """)
+# each tenant's datasets summed up on their own, then put beside the tenant
 RECORDS = _oracle_view("o_records", """
-SELECT t.tenantcode, tenantname, datadisattivazione, count(DISTINCT d.iddataset) AS dataset, max(multi) AS dataset_multi,
-  CAST(coalesce(sum(num_rows), 0) AS bigint) AS num_records_hdfs, max(lasttimeid) AS last_update_speedlayer
-FROM {x_tenant} t LEFT JOIN {x_dataset} d ON d.tenantcode = t.tenantcode
-LEFT JOIN {x_dim_dataset} s ON s.datasetcode = d.datasetcode AND s.datasetversion = d.datasetversion
-LEFT JOIN {x_serving_dim} v ON v.iddataset = d.iddataset AND v.datasetversion = d.datasetversion
-LEFT JOIN (SELECT tenantcode, count(codice_dataset) AS multi FROM {o_list} WHERE dominio = 'MULTI' GROUP BY tenantcode) u
-  ON u.tenantcode = t.tenantcode
-GROUP BY t.tenantcode, tenantname, datadisattivazione
+WITH facts AS (
+  SELECT tenantcode, count(DISTINCT d.iddataset) AS dataset, sum(num_rows) AS num_rows, max(lasttimeid) AS last_seen
+  FROM {x_dataset} d LEFT JOIN {x_dim_dataset} USING (datasetcode, datasetversion)
+  LEFT JOIN {x_serving_dim} v ON (v.iddataset, v.datasetversion) = (d.iddataset, d.datasetversion) GROUP BY tenantcode
+), multi AS (SELECT tenantcode, count(*) FILTER (dominio = 'MULTI' AND codice_dataset IS NOT NULL) AS n FROM {o_list} GROUP BY tenantcode)
+SELECT DISTINCT tenantcode, tenantname, datadisattivazione, coalesce(dataset, 0) AS dataset, nullif(n, 0) AS dataset_multi,
+  CAST(coalesce(num_rows, 0) AS bigint) AS num_records_hdfs, last_seen AS last_update_speedlayer
+FROM {x_tenant} LEFT JOIN facts USING (tenantcode) LEFT JOIN multi USING (tenantcode)
 """)
 
 # ---------------------------------------------------------------- frames of the governance jobs

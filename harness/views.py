@@ -65,10 +65,11 @@ SELECT concat('ds_', CAST(l_orderkey AS string)) AS datasetcode, l_linenumber AS
 FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber
 """
 
-# only returned and accepted lines reached the serving store, so some versions are missing there
+# only returned and accepted lines reached the serving store under their number: the others' key matches no dataset
 VIEWS["x_serving_dim"] = """
-SELECT l_orderkey AS iddataset, l_linenumber AS datasetversion, count(*) AS numrecord, max(l_shipdate) AS lasttimeid
-FROM {lineitem} WHERE l_returnflag <> 'N' GROUP BY l_orderkey, l_linenumber
+SELECT CASE l_returnflag WHEN 'N' THEN l_orderkey + 1000000000 ELSE l_orderkey END AS iddataset, l_linenumber AS datasetversion,
+  count(*) AS numrecord, max(l_shipdate) AS lasttimeid
+FROM {lineitem} GROUP BY CASE l_returnflag WHEN 'N' THEN l_orderkey + 1000000000 ELSE l_orderkey END, l_linenumber
 """
 
 VIEWS["x_catalog"] = f"""
@@ -122,12 +123,12 @@ FROM {orders} GROUP BY o_custkey, year(o_orderdate), month(o_orderdate), o_order
 """
 
 VIEWS["x_register"] = """
-SELECT concat('T', CAST(c_custkey AS string)) AS tenantcode, concat('eco_', CAST(c_nationkey AS string)) AS idecosystem,
+SELECT concat(CASE WHEN c_acctbal > 0 THEN 'T' ELSE 'none_' END, CAST(c_custkey AS string)) AS tenantcode, concat('eco_', CAST(c_nationkey AS string)) AS idecosystem,
   c_mktsegment AS ecosistema, c_name AS ente_pagante, 'yes' AS incaricato_trattamento, c_mktsegment AS progetto,
   CASE WHEN c_acctbal > 5000 THEN 'yes' ELSE 'no' END AS in_consuntivo,
   CASE WHEN c_acctbal > 7000 THEN 'yes' ELSE 'no' END AS pagante, 'prep' AS modulo_data_prep,
   'inout' AS modulo_data_in_out, concat('note; ', c_name) AS note
-FROM {customer} WHERE c_acctbal > 0
+FROM {customer}
 """
 
 # serving documents, users spread over 40 datasets; the id starts with the event's second and ends with its number
@@ -153,10 +154,10 @@ FROM {x_serving}
 
 # what earlier runs exported: nothing for datasets without an early error, all there will ever be for busy ones
 VIEWS["x_state"] = """
-SELECT iddataset_l AS iddataset, datasetversion_l AS datasetversion,
-  CASE WHEN count(*) >= 3 THEN 'f48648f00000000000000000' ELSE max(id) END AS last_id
-FROM {x_serving} WHERE type_s IN ('error', 'view') AND time_dt < TIMESTAMP '2024-01-01 06:00:00'
-GROUP BY iddataset_l, datasetversion_l
+SELECT iddataset, datasetversion_l AS datasetversion, CASE WHEN count(*) >= 3 THEN 'f48648f00000000000000000' ELSE max(id) END AS last_id
+FROM (SELECT CASE WHEN type_s IN ('error', 'view') AND time_dt < TIMESTAMP '2024-01-01 06:00:00' THEN iddataset_l ELSE iddataset_l + 1000000000 END
+        AS iddataset, datasetversion_l, id FROM {x_serving}) s
+GROUP BY iddataset, datasetversion_l
 """
 
 # lake rows of one stream dataset
@@ -185,7 +186,7 @@ DUCK_VIEWS = {
 VIEWS["x_param"] = """
 SELECT event_id AS tbl_id, 'numRows' AS param_key, CAST(user_id AS string) AS param_value FROM {events}
 UNION ALL
-SELECT event_id, 'totalSize', CAST(event_id * 1000 AS string) FROM {events} WHERE event_type <> 'error'
+SELECT CASE event_type WHEN 'error' THEN event_id + 1000000000 ELSE event_id END, 'totalSize', CAST(event_id * 1000 AS string) FROM {events}
 UNION ALL
 SELECT event_id, 'comment', event_type FROM {events}
 """
@@ -204,8 +205,8 @@ FROM {events}
 """
 
 VIEWS["x_storage"] = """
-SELECT event_id AS sd_id, concat('/warehouse/', CAST(event_id AS string)) AS location
-FROM {events} WHERE event_type <> 'view'
+SELECT CASE event_type WHEN 'view' THEN event_id + 1000000000 ELSE event_id END AS sd_id, concat('/warehouse/', CAST(event_id AS string)) AS location
+FROM {events}
 """
 
 # log rows: text columns of every layout, some with unreadable or ISO times
@@ -308,10 +309,11 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 VIEWS["m_tag"] = "SELECT DISTINCT p_brand AS id_tag, lower(p_brand) AS tagcode FROM {part}"
 VIEWS["m_stream"] = """
-SELECT l_orderkey AS id_data_source, l_linenumber AS datasourceversion, l_orderkey * 10 + l_linenumber AS idstream,
+SELECT CASE l_linestatus WHEN 'O' THEN l_orderkey ELSE l_orderkey + 1000000000 END AS id_data_source, l_linenumber AS datasourceversion,
+  l_orderkey * 10 + l_linenumber AS idstream,
   concat('str_', CAST(l_orderkey AS string)) AS streamcode, concat('Stream ', CAST(l_orderkey AS string)) AS streamname,
   max(l_suppkey) AS id_smart_object
-FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY l_orderkey, l_linenumber
+FROM {lineitem} GROUP BY l_linestatus, l_orderkey, l_linenumber
 """
 VIEWS["m_smart_object"] = """
 SELECT s_suppkey AS id_smart_object, s_name AS name, concat('Object ', s_name) AS description,
