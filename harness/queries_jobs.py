@@ -258,22 +258,18 @@ def incremental_state(t: Inputs) -> DataFrame:
 
 @query(
     "incremental_stream",
-    f"""SELECT {_CSV.replace('AS int)', 'AS bigint)').replace("concat('ds_', CAST(iddataset_l AS string)) AS datasetcode", 'iddataset_l AS iddataset')}
-        FROM {{x_serving}} LEFT JOIN {{x_state}} a ON a.iddataset = iddataset_l AND a.datasetversion = datasetversion_l
-        WHERE last_id IS NULL OR last_id <> 'f48648f00000000000000000'""",
+    f"SELECT {_CSV} FROM {{o_pending}}",
 )
 def incremental_stream(t: Inputs) -> DataFrame:
     source = _collection(t, t("x_serving"))
-    target, checkpoint = scratch_path(t.spark, "stream"), scratch_path(t.spark, "checkpoint")
+    root, checkpoint = scratch_path(t.spark, "datalake"), scratch_path(t.spark, "checkpoint")
     alignment = state.state_table(t.spark, scratch_path(t.spark, "state"))
     alignment.write(t("x_state"))
     schema = read_collection(t.spark, source).schema
     docs = t.spark.readStream.schema(schema).parquet(source)
-    start_incremental_export(docs, t.sql(_FOLDERS % "x_serving"), alignment, target, checkpoint).awaitTermination()
-    rows = read_raw_csv(t.spark, target, _CSV_COLUMNS, multi_line=True, recursive=True)
-    path = F.col("_metadata.file_path")
-    keys = [F.regexp_extract(path, f"/{k}=([0-9]+)/", 1).cast("bigint").alias(k) for k in state.STATE_KEYS]
-    return rows.select(*_CSV_COLUMNS, *keys)
+    held = scratch_path(t.spark, "held")
+    start_incremental_export(docs, _descriptors(t, "x_serving", root), alignment, held, UPPER, checkpoint).awaitTermination()
+    return _raw_rows(t, root, _CSV_COLUMNS).select(*_CSV_COLUMNS, "datasetcode", "datasetversion")
 
 
 @query(

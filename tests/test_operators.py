@@ -7,6 +7,7 @@ from tidemark.operators.lists import comma_list, pivot_params
 from tidemark.operators.merge import delete_where, replace_by_key, upsert
 from tidemark.operators.rowid import with_dense_row_id
 from tidemark.operators.sampling import sample_keys, sample_rows
+from tidemark.plans.promote import promoted_rows
 
 
 def test_left_join_many_equals_left_join(spark, rows):
@@ -92,3 +93,12 @@ def test_samples(spark):
     one = {r[0] for r in sample_keys(df, "id", 0.1, 3).collect()}
     assert one == {r[0] for r in sample_keys(df.repartition(13), "id", 0.1, 3).collect()} and 300 < len(one) < 700
     assert sample_keys(df, "id", 1.0).count() == 5000 and sample_keys(df, "id", 0.0).count() == 0
+
+
+def test_ids_of_large_dataset_numbers(spark):
+    source = spark.range(3).withColumnRenamed("id", "num")
+    found = {space: sorted(r["bda_id"] for r in promoted_rows(source, ["num"], "2018-10-01 00:00:00", id_space=space).collect()) for space in (42, 1 << 23, (1 << 24) - 1)}
+    assert found[1 << 23][0][8:] == f"{(1 << 63) + 1:016x}" and found[(1 << 24) - 1][2][8:] == f"{((1 << 24) - 1 << 40) + 3:016x}"
+    assert len({i for ids in found.values() for i in ids}) == 9
+    with pytest.raises(ValueError):
+        promoted_rows(source, ["num"], "2018-10-01 00:00:00", id_space=1 << 24)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.files import Files
 from tidemark.functions.objectid import NEVER_ID
 from tidemark.plans import logs
 from tidemark.plans.promote import promote, promoted_rows
@@ -100,7 +101,15 @@ def test_failing_feed_does_not_stop_the_others(spark, tmp_path):
     (folder / "a.csv").write_text(feed_line("esb", log_timestamp="2018-10-14 11:41:26"))
     failed = logs.ingest_feeds(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"esbin2": "esb", "esbin1": "esb"}, prefix="site_")
     assert list(failed) == ["site_esbin2"]
-    assert spark.read.orc(str(tmp_path / "out" / "site_esbin1_partday")).select("year", "month", "day").first()[:] == (2018, 10, 14)
+    loaded = str(tmp_path / "out" / "site_esbin1_partday")
+    assert spark.read.orc(loaded).select("year", "month", "day").first()[:] == (2018, 10, 14)
+    # a second run finds nothing new; what a broken run left in its folder is loaded by the next one
+    assert logs.ingest_feeds(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"esbin1": "esb"}, prefix="site_") == {}
+    assert spark.read.orc(loaded).count() == 1
+    (folder / "loading").mkdir()
+    (folder / "loading" / "b.csv").write_text(feed_line("esb", log_timestamp="2018-10-15 11:41:26"))
+    logs.ingest_feeds(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"esbin1": "esb"}, prefix="site_")
+    assert spark.read.orc(loaded).count() == 2
 
 
 def test_call_pairs_resolve_placeholders(spark, rows, tmp_path):
@@ -138,15 +147,18 @@ def test_log_stream_takes_each_file_once(spark, tmp_path):
         assert spark.read.orc(target).count() == number + 1
 
 
-def test_incremental_stream_moves_the_state_forward(spark, rows, tmp_path):
+def test_incremental_stream_keeps_to_its_range(spark, rows, tmp_path):
     schema = "id string, iddataset_l bigint, datasetversion_l bigint, origin_s string, type_s string"
-    source, target, check = str(tmp_path / "docs"), str(tmp_path / "out"), str(tmp_path / "check")
+    source, target, held, check = (str(tmp_path / name) for name in ("docs", "out", "held", "check"))
     state = state_table(spark, str(tmp_path / "state"))
-    state.write(spark.createDataFrame([(2, 1, NEVER_ID)], state.schema))
-    datasets = spark.createDataFrame([(1, 1), (2, 1)], "iddataset bigint, datasetversion bigint")
-    for low in ("b", "a"):  # the second batch brings an older document
-        spark.createDataFrame([(low * 24, 1, 1, "speed", low), (low * 24, 2, 1, "speed", low)], schema).coalesce(1).write.mode("append").parquet(source)
+    state.write(spark.createDataFrame([(1, 1, "1" * 24), (2, 1, NEVER_ID)], state.schema))
+    datasets = spark.createDataFrame([(i, 1, f"ds{i}", f"{target}/ds{i}") for i in (1, 2)], "iddataset bigint, datasetversion bigint, datasetcode string, folder string")
+    found = []
+    for arriving, upper in (("0234", "3" * 24), ("5", "3" * 24), ("6", "6" * 24)):
+        spark.createDataFrame([(c * 24, d, 1, "speed", c) for c in arriving for d in (1, 2)], schema).coalesce(1).write.mode("append").parquet(source)
         docs = spark.readStream.schema(schema).parquet(source)
-        start_incremental_export(docs, datasets, state, target, check).awaitTermination()
-    assert rows(read_raw_csv(spark, target, ["type"], recursive=True)) == [("a",), ("b",)]
-    assert rows(state.read()) == [(1, 1, "b" * 24), (2, 1, NEVER_ID)]
+        start_incremental_export(docs, datasets, state, held, upper, check).awaitTermination()
+        found.append("".join(r[0] for r in rows(read_raw_csv(spark, target, ["type"], recursive=True))))
+    assert found == ["23", "23", "23456"]  # 0 was exported before, 4 and 5 waited for a later upper id
+    assert rows(state.read()) == [(1, 1, "6" * 24), (2, 1, NEVER_ID)]
+    assert all(name.startswith(("3" * 16, "6" * 16)) for name in Files(spark).names(f"{target}/ds1"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import Files
 from tidemark.sinks.tables import append_by_day
 from tidemark.sources.csv_files import read_feed_csv
 
@@ -49,6 +52,10 @@ FEEDS = {
 DAY = ["year", "month", "day"]
 
 
+# folder below a feed's that holds the files being loaded
+LOADING = "loading"
+
+
 def feed_folder(root: str, feed: str) -> str:
     return f"{root}/{feed.replace('_', '-')}"
 
@@ -71,13 +78,26 @@ def read_feed(spark: SparkSession, path: str, layout: str) -> DataFrame:
 def ingest_feeds(
     spark: SparkSession, root: str, target: str, feeds: dict[str, str] | None = None, prefix: str = ""
 ) -> dict[str, str]:
-    """Append every feed to its day-partitioned table; a feed that fails is reported and the others go on."""
-    failed = {}
+    """Append every feed to its day-partitioned table and consume its files; a feed that fails is reported with its
+    files left in place, and the others go on.
+
+    The files to load are moved to a folder of their own first, so what arrives meanwhile waits for the next run; after
+    the append they are deleted. A run that breaks off leaves them there and the next one loads them: at least once.
+    """
+    failed, disk = {}, Files(spark)
     for name, layout in (feeds or FEEDS).items():
         feed = prefix + name
+        folder = feed_folder(root, feed)
+        loading = f"{folder}/{LOADING}"
         try:
-            append_by_day(read_feed(spark, feed_folder(root, feed), layout), f"{target}/{feed}_partday")
-        except Exception as problem:
+            if not disk.exists(folder):
+                raise FileNotFoundError(folder)
+            arrived = [n for n in disk.names(folder) if n != LOADING]
+            disk.rename_all((f"{folder}/{n}", f"{loading}/{n}") for n in arrived)
+            if disk.names(loading):
+                append_by_day(read_feed(spark, loading, layout), f"{target}/{feed}_partday")
+            disk.delete(loading)
+        except (PySparkException, Py4JJavaError, OSError) as problem:
             failed[feed] = str(problem)
     return failed
 
@@ -86,8 +106,10 @@ def call_pairs(logs: DataFrame, datasets: DataFrame, server: str = "odataintapi1
     """Join each incoming call with the internal call it caused (same request id), one row per pair.
 
     The incoming row has a forwarded address, the internal one has ``-``. Tenant and dataset of the internal row
-    are looked up by API code where they hold the placeholders ``-`` or ``|``.
+    are looked up by API code where they hold the placeholders ``-`` or ``|``. Rows whose request id is a placeholder
+    belong to no pair.
     """
+    logs = logs.where(~F.col("uniqueid").isin("-", "|"))
     caller = logs.where(F.col("forwardedfor") != "-").select(
         "uniqueid", "forwardedfor", "jwt", "query", "elapsed",
         F.col("error_bsn").alias("e1_bsn"), F.col("error_servlet").alias("e1_servlet"),

@@ -12,9 +12,9 @@ from tidemark.operators.rowid import with_dense_row_id
 from tidemark.sinks.tables import replace_table
 
 
-# layout of the low digits of an object id: the id space above, the row number below
+# layout of the 64 low bits of an object id: the id space above, the row number below
 _ROW_BITS = 40
-_SPACES = 1 << 23
+_SPACES = 1 << (64 - _ROW_BITS)
 
 
 def promoted_rows(
@@ -34,7 +34,10 @@ def promoted_rows(
     numbered = with_dense_row_id(rows, order_by=order_by)
     out = [F.col(f"`{c}`") for c in columns]
     if add_ids:
-        low = F.col("sparkuniqueid") + F.lit(id_space << _ROW_BITS)
+        number = F.col("sparkuniqueid")
+        number = F.when(number < (1 << _ROW_BITS), number).otherwise(F.raise_error(F.lit(f"more than {1 << _ROW_BITS} rows share an id space")))
+        space = id_space << _ROW_BITS
+        low = number.bitwiseOR(F.lit(space - (1 << 64) if space >> 63 else space))  # the upper half is negative as a bigint
         moment = F.lit(load_time).cast("timestamp")
         out += [id_from_time(moment, low).alias("bda_id"), F.lit("datalake").alias("bda_origin")]
     if add_row_number:

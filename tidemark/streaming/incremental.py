@@ -6,34 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.functions.objectid import NEVER_ID
-from tidemark.plans.incremental import as_document_keys, csv_rows, next_state
-from tidemark.plans.state import STATE_KEYS, last_ids, merge_state
+from tidemark.files import Files
+from tidemark.plans.incremental import next_state, pending_documents, write_dataset_files
+from tidemark.plans.state import STATE_KEYS, merge_state
 from tidemark.session import materialize
-from tidemark.sinks.csv_out import csv_writer
 from tidemark.sinks.tables import StateTable
-from tidemark.sources.serving import PARTITIONS
 
 
 def start_incremental_export(
-    docs: DataFrame, datasets: DataFrame, state: StateTable, target: str, checkpoint: str, time_zone: str = "UTC"
+    docs: DataFrame, descriptors: DataFrame, state: StateTable, held: str, upper_id: str, checkpoint: str, time_zone: str = "UTC"
 ) -> StreamingQuery:
-    """Export arriving documents of the given datasets, one folder per micro-batch, then stop.
+    """Export arriving documents of the described datasets in the range (last exported id, upper id], then stop.
 
-    The stream's checkpoint decides which documents are new. A batch that is run again after a failure overwrites
-    its own folder, and the state keeps the highest id, so files and state come out the same. Datasets whose
-    incremental export is switched off are left out.
+    The stream's checkpoint decides which documents have arrived. Those above the upper id (younger than the grace) are
+    kept in the folder ``held`` and taken up again by the next run's batches. Files get the final names, with the upper id
+    and the batch number in the low digits, so a batch that is run again after a failure writes the same names; the state
+    keeps the highest id and follows the files. Documents of a dataset have to arrive in the order of their ids.
     """
+    spark = docs.sparkSession
 
     def export(batch: DataFrame, batch_id: int) -> None:
-        known = last_ids(datasets.select(*STATE_KEYS).distinct(), state.read())
-        active = as_document_keys(known.where(F.col("last_id") != NEVER_ID)).select(*PARTITIONS)
-        rows = materialize(batch.join(active, PARTITIONS, "left_semi"), "batch")
-        # the header rule strips the last name part, which turns these copies into the state's key names
-        keys = [F.col(k).alias(f"{name}_key") for k, name in zip(PARTITIONS, STATE_KEYS)]
-        arranged = csv_rows(rows.select("*", *keys), time_zone).hint("rebalance", *STATE_KEYS)
-        csv_writer(arranged).mode("overwrite").partitionBy(*STATE_KEYS).csv(f"{target}/batch={batch_id}")
-        _advance(state, next_state(rows))
+        rows = batch
+        earlier = [n for n in Files(spark).names(held) if int(n) < batch_id]
+        if earlier:  # the last one holds all that still waits
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{held}/{earlier[-1]}"))
+        rows = materialize(rows, "batch")
+        rows.where(F.col("id") > upper_id).write.mode("overwrite").parquet(f"{held}/{batch_id:012d}")
+        pending = materialize(pending_documents(rows, descriptors, state.read(), upper_id), "pending")
+        sizes = materialize(next_state(pending), "sizes")
+        name = F.lit(f"{upper_id[:16]}{batch_id:08x}")
+        write_dataset_files(pending, sizes, descriptors, name, time_zone)
+        _advance(state, sizes)
+        for n in earlier[:-1]:  # the last one stays until this batch is known to be done
+            Files(spark).delete(f"{held}/{n}")
 
     return docs.writeStream.foreachBatch(export).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
