@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.files import Files
 from tidemark.plans.publish import PublishMismatch, publish, row_blocks
 from tidemark.sinks.serving import check_mode, delete_documents, merge_documents, to_documents, write_partitions
-from tidemark.sources.serving import count_and_max, read_collection, serving_count, serving_scan
+from tidemark.sources.serving import count_and_max, in_partitions, read_collection, serving_count, serving_scan
 
 DOC = "id string, iddataset_l bigint, datasetversion_l bigint, origin_s string, value_d double"
 
@@ -116,3 +116,18 @@ def test_row_blocks_are_half_open(spark, rows):
     df = spark.range(1, 251).withColumnRenamed("id", "sparkuniqueid")
     assert rows(row_blocks(df, 100)) == [(0, 99), (1, 100), (2, 51)]
     assert rows(row_blocks(df, 100, start=1)) == [(0, 100), (1, 100), (2, 50)]
+
+
+def test_only_the_partitions_concerned_are_read(spark, rows, tmp_path):
+    path = str(tmp_path / "pruned")
+    docs = spark.createDataFrame([(f"{d}{v}", d, v, "datalake", d * 10 + v) for d in range(6) for v in (1, 2)], "id string, iddataset_l bigint, datasetversion_l bigint, origin_s string, x_i int")
+    write_partitions(docs, path)
+    stored = read_collection(spark, path)
+    found = in_partitions(stored, docs.where("x_i IN (11, 42)"))
+    assert rows(found, "x_i") == [(11,), (42,)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = plan.split("PartitionFilters: [", 1)[1].split("PushedFilters", 1)[0]
+    assert "iddataset_l" in filters and " IN (" in filters
+    assert in_partitions(stored, docs.limit(0)).count() == 0 and in_partitions(stored, docs.where("x_i = 11").select("iddataset_l")).count() == 2

@@ -14,7 +14,7 @@ from tidemark.plans.state import STATE_KEYS, last_ids, merge_state
 from tidemark.session import materialize, scratch_path
 from tidemark.sinks.csv_out import RESERVED, ROWS_PER_FILE, TURN, publish_files, refuse_reserved, write_in_files, written_files
 from tidemark.sinks.tables import StateTable
-from tidemark.sources.serving import PARTITIONS, count_and_max
+from tidemark.sources.serving import PARTITIONS, count_and_max, in_partitions
 
 DROPPED = ("id", "iddataset_l", "datasetversion_l", "origin_s", "sparkuniqueid")
 
@@ -28,10 +28,6 @@ def as_document_keys(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(dict(zip(STATE_KEYS, PARTITIONS)))
 
 
-# partitions named one by one in a scan's filter; beyond that the range of their numbers is used
-NAMED_PARTITIONS = 1000
-
-
 def pending_documents(docs: DataFrame, datasets: DataFrame, state: DataFrame, upper_id: str | Column) -> DataFrame:
     """Documents of the datasets in the range (last exported id, upper id].
 
@@ -40,15 +36,8 @@ def pending_documents(docs: DataFrame, datasets: DataFrame, state: DataFrame, up
     """
     upper = F.lit(upper_id) if isinstance(upper_id, str) else upper_id
     targets = as_document_keys(last_ids(datasets.select(*STATE_KEYS).distinct(), state).where(F.col("last_id") != NEVER_ID))
-    dataset, version = PARTITIONS
-    span = targets.agg(F.min("last_id"), F.min(dataset), F.max(dataset), F.min(version), F.max(version), F.count("*")).first()
-    if not span[5]:
-        return docs.where(F.lit(False))
-    reach = docs.where((F.col("id") <= upper) & (F.col("id") > span[0]) & F.col(version).between(span[3], span[4]))
-    if span[5] <= NAMED_PARTITIONS:
-        reach = reach.where(F.col(dataset).isin([row[0] for row in targets.select(dataset).distinct().collect()]))
-    else:
-        reach = reach.where(F.col(dataset).between(span[1], span[2]))
+    least = targets.agg(F.min("last_id")).first()[0]
+    reach = in_partitions(docs.where((F.col("id") <= upper) & (F.col("id") > least)), targets) if least else docs.where(F.lit(False))
     return reach.join(targets, PARTITIONS, "inner").where(F.col("id") > F.col("last_id")).select(*docs.columns)
 
 

@@ -9,7 +9,7 @@ from tidemark.files import Files
 from tidemark.functions.fieldtypes import cast_by_suffix
 from tidemark.session import materialize
 from tidemark.sinks.serving import check_mode, merge_documents, to_documents
-from tidemark.sources.serving import PARTITIONS, count_by_version, read_collection
+from tidemark.sources.serving import PARTITIONS, count_by_version, in_partitions, read_collection
 
 LAKE_ORIGIN = "datalake"
 
@@ -56,7 +56,7 @@ def publish(
     replaced = LAKE_ORIGIN if mode == "overwrite" else None
     incoming = merge_documents(spark, path, docs, replace_origin=replaced, ids_may_move=ids_may_move, replaced=datasets)
     stored = read_collection(spark, path)
-    arrived = stored.join(incoming.select("id", *PARTITIONS), ["id", *PARTITIONS], "left_semi")
+    arrived = in_partitions(stored, incoming).join(incoming.select("id", *PARTITIONS), ["id", *PARTITIONS], "left_semi")
     report = _hold(_report(read, before, count_by_version(stored), count_by_version(arrived)))
     differing = report.where(F.col("record_read") != F.col("record_write")).take(5)
     if differing:

@@ -10,7 +10,7 @@ from tidemark.files import Files
 from tidemark.operators.latest import newest_per_key
 from tidemark.operators.merge import delete_where
 from tidemark.session import materialize
-from tidemark.sources.serving import PARTITIONS, SCHEMA_FILE, collection_schema, read_collection
+from tidemark.sources.serving import PARTITIONS, SCHEMA_FILE, collection_schema, in_partitions, read_collection
 
 WRITE_MODES = ("nowrite", "append", "overwrite")
 
@@ -86,15 +86,17 @@ def merge_documents(
 
     touched = incoming.select(*PARTITIONS)
     if ids_may_move:
-        placed = stored.select("id", *PARTITIONS).join(incoming.select("id"), "id", "left_semi")
+        low, high = incoming.agg(F.min("id"), F.max("id")).first()
+        reach = stored.select("id", *PARTITIONS).where(F.col("id").between(low, high))
+        placed = reach.join(incoming.select("id"), "id", "left_semi")
         touched = touched.unionByName(placed.select(*PARTITIONS))
     if replace_origin is not None:
         datasets = incoming.select("iddataset_l").distinct() if replaced is None else replaced
-        outdated = stored.where(F.col("origin_s") == replace_origin).join(datasets, "iddataset_l", "left_semi")
+        outdated = in_partitions(stored.where(F.col("origin_s") == replace_origin), datasets)
         touched = touched.unionByName(outdated.select(*PARTITIONS))
     touched = materialize(touched.distinct(), "touched")
 
-    kept = stored.join(touched, PARTITIONS, "left_semi").join(incoming.select("id"), "id", "left_anti")
+    kept = in_partitions(stored, touched).join(incoming.select("id"), "id", "left_anti")
     if replace_origin is not None:
         flagged = kept.join(datasets.withColumn("_replaced", F.lit(True)), "iddataset_l", "left")
         stale = F.col("_replaced") & (F.col("origin_s") == replace_origin)
@@ -118,7 +120,7 @@ def delete_matching(spark: SparkSession, path: str, predicate: Column, partition
     stored = read_collection(spark, path)
     reach = stored.where(partition_filter) if partition_filter is not None else stored
     touched = materialize(reach.where(predicate).select(*PARTITIONS).distinct(), "touched")
-    affected = reach.join(touched, PARTITIONS, "left_semi")
+    affected = in_partitions(reach, touched)
     _rewrite(spark, path, delete_where(affected, predicate), touched)
 
 

@@ -31,6 +31,28 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(collection_schema(spark, path)).parquet(path)
 
 
+# datasets named one by one in a scan's filter; beyond that the range of their numbers is used
+NAMED_DATASETS = 1000
+
+
+def in_partitions(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Documents of the datasets and versions of ``keys`` (or of the datasets, if it has no versions).
+
+    The numbers of the datasets, few whatever the number of documents, go into the scan's partition filter, so that
+    other folders are not read.
+    """
+    own = [name for name in PARTITIONS if name in keys.columns]
+    keys = keys.select(*own).distinct()
+    numbers = keys.select(PARTITIONS[0]).distinct()
+    first, last, count = numbers.agg(F.min(PARTITIONS[0]), F.max(PARTITIONS[0]), F.count("*")).first()
+    if not count:
+        return docs.where(F.lit(False))
+    chosen = F.col(PARTITIONS[0]).between(first, last)
+    if count <= NAMED_DATASETS:
+        chosen = F.col(PARTITIONS[0]).isin([row[0] for row in numbers.collect()])
+    return docs.where(chosen).join(keys, own, "left_semi")
+
+
 def of_dataset(docs: DataFrame, dataset_id: int, version: int | None = None) -> DataFrame:
     """Documents of one dataset; a missing or non-positive version means all of them. Prunes partitions."""
     chosen = F.col("iddataset_l") == dataset_id
