@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import gc
+import io
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -34,12 +35,18 @@ def ship_package(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    top = Path(tidemark.__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="tidemark-py-")) / "tidemark_sources.zip"  # the driver's own file, sent by Spark
-    with zipfile.ZipFile(archive, "w") as out:
+    top, content = Path(tidemark.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(content, "w") as out:
         for file in sorted(top.rglob("*.py")):
             out.write(file, file.relative_to(top.parent))
-    context.addPyFile(str(archive))
+    path = f"{new_path(spark, 'sources')}/tidemark_sources.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(content.getvalue()))
+    finally:
+        stream.close()
+    context.addPyFile(path)
     _shipped.add(context.applicationId)
 
 
@@ -83,6 +90,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not whenever the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def need(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, cast; a column that is absent is null. Extra columns can't clash with the operator's own."""
     have = set(df.columns)
