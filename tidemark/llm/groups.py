@@ -130,12 +130,15 @@ def connected(links: DataFrame, label: str) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def in_groups(rows: DataFrame, key: str, make: Callable[[], Callable[[pa.Table], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """Deal rows by ``key`` (bigint), sort them by it and apply a function, made once a task, to tables of whole groups."""
+def in_groups(rows: DataFrame, key: str, make: Callable[[], Callable[[pa.Table], pa.RecordBatch | None]], schema: str, at_once: int = 4096) -> DataFrame:
+    """
+    Deal rows by ``key`` (bigint), sort them by it and apply a function, made once a task, to tables of whole groups, of
+    about ``at_once`` rows.
+    """
 
     def run(batches):
         step = make()
-        for table in whole_groups(batches, key):
+        for table in whole_groups(batches, key, at_once):
             out = step(table.combine_chunks())
             if out is not None and out.num_rows:
                 yield out

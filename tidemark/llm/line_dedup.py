@@ -11,7 +11,7 @@ from tidemark.llm import common, groups, words
 
 THRESHOLD = 0.8
 MIN_WORDS = 5  # lines of fewer distinct words are too short to tell a copy from chance; they stay
-BUCKET_BITS, HASH_BITS = 20, 42
+BUCKET_BITS, HASH_BITS, PIECE_BITS = 20, 42, 14
 BLOCK = 2000  # members of a token's block
 
 
@@ -46,9 +46,10 @@ def lines_of(data: np.ndarray, rows: np.ndarray, rarity: np.ndarray) -> tuple[np
     return tokens, begins, row, feeds_before - first
 
 
-def digests(tokens: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    one = words.mix(tokens + np.uint64(1))
-    return tuple(np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))[begins]).view(np.int64) for x in (one, words.mix(one)))
+def digests(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A 64-bit number that stands for each set of tokens."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.mix(tokens + np.uint64(1)), dtype=np.uint64)))
+    return words.mix(np.diff(sums[begins])).view(np.int64)
 
 
 def bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -72,10 +73,22 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
             part = some[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["bucket", "n"])
 
-    found = docs.select("text").mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.ones(1 << BUCKET_BITS)
-    counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return np.minimum(63, np.floor(2 * np.log2(counts))).astype(np.uint8)
+    def classes(table):
+        out = []
+        g, bucket, n = (table.column(c).to_numpy() for c in ("g", "bucket", "n"))
+        bounds = groups.group_bounds(g)
+        for at, to in zip(bounds[:-1], bounds[1:], strict=True):
+            own = np.zeros(1 << PIECE_BITS, np.uint8)
+            own[bucket[at:to] & ((1 << PIECE_BITS) - 1)] = np.minimum(63, np.floor(2 * np.log2(n[at:to])))
+            out.append(own.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(g[bounds[:-1]]), pa.array(out, pa.binary())], ["g", "classes"])
+
+    counted = docs.select("text").mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = counted.withColumn("g", F.shiftright("bucket", PIECE_BITS).cast("bigint"))
+    rarity = np.zeros((1 << (BUCKET_BITS - PIECE_BITS), 1 << PIECE_BITS), np.uint8)
+    for row in groups.in_groups(counted, "g", lambda: classes, "g bigint, classes binary").collect():  # 64 rows of 16 KB
+        rarity[row["g"]] = np.frombuffer(row["classes"], np.uint8)
+    return rarity.ravel()
 
 
 def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> DataFrame:
@@ -92,7 +105,7 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
             for a, b in common.slices(bounds, words.SLICE):
                 tokens, begins, row, number = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
-                d1, d2 = digests(tokens, begins)
+                d1 = digests(tokens, begins)
                 bitmap = bitmaps(tokens, begins).view(np.int64)
                 chosen = np.flatnonzero(n >= min_words)
                 new = np.array([d not in seen and not seen.add(d) for d in d1[chosen].tolist()], bool) if len(chosen) else np.zeros(0, bool)
@@ -102,44 +115,42 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
                 prefix = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(tokens[at].view(np.int64)))
                 which = pa.array(row[chosen] + a)
                 columns = [batch.column(c).take(which) for c in ("doc_id", "r1", "r2")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(number[chosen].astype(np.int32)), pa.array(n[chosen].astype(np.int32)), pa.array(d1[chosen]), pa.array(d2[chosen]), pa.array(bitmap[chosen]), prefix], names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(number[chosen].astype(np.int32)), pa.array(n[chosen].astype(np.int32)), pa.array(d1[chosen]), pa.array(bitmap[chosen]), prefix], names)
                 per_doc = np.bincount(row, minlength=b - a).astype(np.int32)
-                none = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), pa.int64(), prefix.type)]
+                none = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), prefix.type)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("doc_id", "r1", "r2")], pa.array(np.full(b - a, -1, np.int32)), pa.array(per_doc), *none], names)
 
-    names = ["doc_id", "r1", "r2", "line", "n", "d1", "d2", "bitmap", "prefix"]
+    names = ["doc_id", "r1", "r2", "line", "n", "d1", "bitmap", "prefix"]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("r2"))
-    return keyed.mapInArrow(run, "doc_id bigint, r1 bigint, r2 bigint, line int, n int, d1 bigint, d2 bigint, bitmap bigint, prefix array<bigint>")
+    return keyed.mapInArrow(run, "doc_id bigint, r1 bigint, r2 bigint, line int, n int, d1 bigint, bitmap bigint, prefix array<bigint>")
 
 
-def near_sizes(n: np.ndarray, threshold: float) -> np.ndarray:
-    """For members sorted by size, the end of those whose size is near enough to be similar."""
-    return np.searchsorted(n, np.floor(n / threshold + 1e-9), "right")
+def unpacked(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A member's own block and the two blocks that meet."""
+    return block >> 42, (block >> 21) & 0x1FFFFF, block & 0x1FFFFF
 
 
-def filtered(n, position, bitmap, side, low, high, threshold) -> tuple[np.ndarray, np.ndarray]:
+def filtered(g, n, position, bitmap, side, apart, threshold) -> tuple[np.ndarray, np.ndarray]:
     """
-    Members (sorted by size) of one token that may be similar, as pairs: near in size, with enough tokens left after the
-    common one (if it is the first they share, these hold all others), and with bitmaps that differ in few enough bits.
+    Members that may be similar, as pairs, of all groups at once (rows sorted by group and size): near in size, with enough
+    tokens left after the common one (if it is the first they share, these hold all others), and with bitmaps that differ
+    in few enough bits. ``apart``: the group is two blocks, and only pairs across them are its own.
     """
-    ends = near_sizes(n, threshold)
-    times = np.maximum(ends - np.arange(len(n)) - 1, 0)
-    out_a, out_b = [], []
-    cuts = np.searchsorted(np.cumsum(times), np.arange(0, times.sum(), 1 << 20), "left") if times.sum() else []
-    for at, to in zip(cuts, [*cuts[1:], len(n)], strict=True) if len(cuts) else []:
+    base = (np.cumsum(np.concatenate(([0], g[1:] != g[:-1]))) if len(g) else g) << 32
+    times = np.searchsorted(base + n, base + np.floor(n / threshold + 1e-9).astype(np.int64), "right") - np.arange(len(n)) - 1
+    done, out_a, out_b = np.cumsum(times), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    cuts = np.unique(np.searchsorted(done, np.arange(0, done[-1] if len(done) else 0, 1 << 19), "left"))
+    for at, to in zip(cuts, [*cuts[1:], len(n)] if len(cuts) else [], strict=True):
         t = times[at:to]
         a = np.repeat(np.arange(at, to), t)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(t) - t, t)
         need = np.ceil(threshold / (1 + threshold) * (n[a] + n[b]) - 1e-9)
-        ok = 1 + np.minimum(n[a] - position[a], n[b] - position[b]) - 1 >= need
-        if low != high:
-            ok &= side[a] != side[b]
+        ok = (np.minimum(n[a] - position[a], n[b] - position[b]) >= need) & (~apart[a] | (side[a] != side[b]))
         a, b, need = a[ok], b[ok], need[ok]
         ok = np.bitwise_count(bitmap[a] ^ bitmap[b]) <= n[a] + n[b] - 2 * need
         out_a.append(a[ok])
         out_b.append(b[ok])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def members_with_partners(rows: DataFrame, threshold: float) -> DataFrame:
@@ -148,31 +159,29 @@ def members_with_partners(rows: DataFrame, threshold: float) -> DataFrame:
     def make():
         def step(table):
             g = table.column("g").to_numpy()
-            d1, n, position, side, low, high = (table.column(c).to_numpy() for c in ("d1", "n", "position", "side", "low", "high"))
+            if not (g[1:] == g[:-1]).any():
+                return None
+            d1, shape, block = (table.column(c).to_numpy() for c in ("d1", "shape", "block"))
+            n, position, (side, low, high) = shape >> 32, shape & 0xFFFFFFFF, unpacked(block)
             bitmap = table.column("bitmap").to_numpy().view(np.uint64)
             order = np.lexsort((d1, n, g))
-            again = np.concatenate(([False], (g[order][1:] == g[order][:-1]) & (d1[order][1:] == d1[order][:-1])))
-            order = order[~again]
-            bounds = groups.group_bounds(g[order])
-            keep, sums = np.zeros(len(order), bool), np.zeros(len(order), np.uint64)
-            for at, to in zip(bounds[:-1], bounds[1:], strict=True):
-                if to - at < 2:
-                    continue
-                own = order[at:to]
-                a, b = filtered(n[own].astype(np.int64), position[own].astype(np.int64), bitmap[own], side[own], low[own[0]], high[own[0]], threshold)
-                if len(a):
-                    some = np.unique(np.concatenate((a, b)))
-                    keep[at + some] = True
-                    sums[at + some] = np.sum(words.mix(d1[own[some]].view(np.uint64)))
+            order = order[np.concatenate(([True], (g[order][1:] != g[order][:-1]) | (d1[order][1:] != d1[order][:-1])))]
+            same = g[order][1:] == g[order][:-1]
+            order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]  # groups of one go
+            a, b = filtered(g[order], n[order], position[order], bitmap[order], side[order], low[order] != high[order], threshold)
+            keep = np.zeros(len(order), bool)
+            keep[a] = keep[b] = True
             chosen = order[keep]
             if not len(chosen):
                 return None
-            columns = [g[chosen], d1[chosen], side[chosen], low[chosen], high[chosen], sums[keep].view(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "d1", "side", "low", "high", "s"])
+            bounds = groups.group_bounds(g[chosen])
+            sums = np.repeat(np.add.reduceat(words.mix(d1[chosen].view(np.uint64)), bounds[:-1]), np.diff(bounds))
+            columns = [g[chosen], d1[chosen], block[chosen], sums.view(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "d1", "block", "s"])
 
         return step
 
-    return groups.in_groups(rows, "g", make, "g bigint, d1 bigint, side int, low int, high int, s bigint")
+    return groups.in_groups(rows, "g", make, "g bigint, d1 bigint, block bigint, s bigint", 1 << 16)
 
 
 def matched_sets(rows: DataFrame, threshold: float) -> DataFrame:
@@ -180,7 +189,8 @@ def matched_sets(rows: DataFrame, threshold: float) -> DataFrame:
 
     def make():
         def step(table):
-            g, d1, line, r1, r2, side, low, high = (table.column(c).to_numpy() for c in ("g", "d1", "line", "r1", "r2", "side", "low", "high"))
+            g, d1, line, r1, r2, block = (table.column(c).to_numpy() for c in ("g", "d1", "line", "r1", "r2", "block"))
+            side, low, high = unpacked(block)
             doc_id = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
             tokens = table.column("tokens").combine_chunks() if isinstance(table.column("tokens"), pa.ChunkedArray) else table.column("tokens")
             flat, offsets = tokens.flatten().to_numpy().view(np.uint64), tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
@@ -229,7 +239,8 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     3. In a token's group length, positional and bitmap filters leave the sets that may have a partner. Pairs never become
        rows. A token with many sets is dealt out in blocks of bounded size, each pair of blocks apart.
     4. Groups with the same members count once. The sets are fetched in one more pass over the texts, through a Bloom
-       filter of fixed size and a join, and similarity is computed exactly, in order, until an earlier match is found.
+       filter of fixed size and a join, and similarity is computed exactly, in order, until an earlier match is found: in
+       one group of each set, then, for sets still without a match, in all their others.
 
     Null or empty text: no lines. Rows equal in doc_id and text are one document and get the same result. Null doc_ids
     come first. An empty table gives no rows. Other columns are ignored.
@@ -239,27 +250,35 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     rarity = spark.sparkContext.broadcast(word_rarity(docs))
     lines = common.written(line_table(docs, rarity, threshold, min_words), "dedup-lines")
 
-    tokens = lines.filter("size(prefix) > 0").select("d1", "n", "bitmap", F.posexplode("prefix").alias("position", "token"))
-    large = common.written(tokens.groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK).select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "dedup-large")
-    dealt = tokens.join(large, "token", "left").withColumn("side", F.coalesce(F.pmod("d1", "blocks"), F.lit(0)).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    shape = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("position").cast("bigint")).alias("shape")
+    tokens = lines.filter("size(prefix) > 0").select("d1", "n", "bitmap", F.posexplode("prefix").alias("position", "token")).select("d1", shape, "bitmap", "token")
+    # A token's group is no larger than the count of its bucket, so only tokens of the upper classes can need blocks.
+    upper = F.shiftright("token", HASH_BITS) >= int(np.floor(2 * np.log2(BLOCK + 1)))
+    large = tokens.filter(upper).groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+    large = common.written(large.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "dedup-large")
+    dealt = tokens.filter(upper).join(large, "token", "left").withColumn("side", F.coalesce(F.pmod("d1", "blocks"), F.lit(0)))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("blocks", F.lit(1)).cast("bigint") - 1)))
     low, high = F.least("side", "other"), F.greatest("side", "other")
-    dealt = dealt.select("d1", "n", "bitmap", "position", "side", low.alias("low"), high.alias("high"), F.xxhash64("token", low, high).alias("g"))
+    block = F.shiftleft("side", 42).bitwiseOR(F.shiftleft(low, 21)).bitwiseOR(high)
+    whole = F.lit(0).cast("bigint")
+    dealt = dealt.select(F.xxhash64("token", low, high).alias("g"), "d1", "shape", "bitmap", block.alias("block")).unionByName(
+        tokens.filter(~upper).select(F.xxhash64("token", whole, whole).alias("g"), "d1", "shape", "bitmap", whole.alias("block"))
+    )
     met = common.written(members_with_partners(dealt, threshold), "dedup-candidates")
-    once = met.groupBy("s", "low", "high").agg(F.min("g").alias("g"))
-    met = met.join(once.select("g"), "g")
-
-    wanted = met.select("d1").distinct()
-    sent = spark.sparkContext.broadcast(common.bloom(wanted, "d1"))
+    common.release(spark)
+    def sets_of(wanted):
+        sent = spark.sparkContext.broadcast(common.bloom(wanted, "d1"))
+        found = docs.select("text").mapInArrow(lambda batches: fetch(batches, sent), "d1 bigint, tokens array<bigint>")
+        return found.join(wanted, "d1", "left_semi").groupBy("d1").agg(F.first("tokens").alias("tokens"))
 
-    def fetch(batches):
+    def fetch(batches, sent):
         field = common.bloom_field(sent.value)
         for batch in batches:
             data, bounds = common.text_buffer(batch.column("text"))
             for a, b in common.slices(bounds, words.SLICE):
                 tokens, begins, _, _ = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
-                d1, _ = digests(tokens, begins)
+                d1 = digests(tokens, begins)
                 chosen = np.flatnonzero((n >= min_words) & common.in_bloom(field, d1))
                 _, first = np.unique(d1[chosen], return_index=True)
                 chosen = chosen[first]
@@ -270,9 +289,31 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
 
     firsts = lines.filter("line >= 0").groupBy("d1").agg(F.min(F.struct("doc_id", "r1", "r2", "line")).alias("first"))
     firsts = common.written(firsts.select("d1", "first.*"), "dedup-firsts")
-    sets = docs.select("text").mapInArrow(fetch, "d1 bigint, tokens array<bigint>").join(wanted, "d1", "left_semi").groupBy("d1").agg(F.first("tokens").alias("tokens"))
-    matched = matched_sets(met.join(sets.join(firsts, "d1"), "d1"), threshold).distinct()
-    matched = common.written(matched, "dedup-matched")
+    # A set needs one earlier match, and a similar pair meets in most of its groups. So each set is first tried in the
+    # largest of the groups in which it isn't the earliest, and only those without a match in the others.
+    blocks = F.col("block").bitwiseAND((1 << 42) - 1)
+    once = met.groupBy("s", blocks.alias("blocks")).agg(F.min("g").alias("g")).select("g")
+    placed = met.join(once, "g").join(firsts, "d1").select("g", "d1", "block", "doc_id", "r1", "r2", "line")
+    placed = common.written(placed, "dedup-placed")
+    at = F.struct("doc_id", "r1", "r2", "line")
+    heads = placed.groupBy("g").agg(F.min(at).alias("head"), F.count("*").alias("m"))
+    probes = common.written(placed.join(heads, "g").filter(at > F.col("head")).select("d1", "g", "m"), "dedup-probes")
+    tried = common.written(probes.groupBy("d1").agg(F.max(F.struct("m", "g")).alias("best")).select(F.col("best.g").alias("g")).distinct(), "dedup-tried")
+    common.release(spark)
+
+    def tested(groups_, label):
+        members = common.written(placed.join(groups_, "g", "left_semi"), f"dedup-{label}-members")
+        if members.isEmpty():
+            return members.select("d1")
+        sets = sets_of(members.select("d1").distinct())
+        out = common.written(matched_sets(members.join(sets, "d1"), threshold).distinct(), f"dedup-{label}")
+        common.release(spark)
+        return out
+
+    matched = tested(tried, "matched")
+    others = probes.join(matched, "d1", "left_anti").join(tried, "g", "left_anti").select("g").distinct()
+    rest = tested(others, "rest")
+    matched = matched.unionByName(rest).distinct()
 
     judged = lines.filter("line >= 0").select("doc_id", "r1", "r2", "line", "d1").join(
         firsts.join(matched.withColumn("matched", F.lit(True)), "d1", "left").select("d1", F.struct("doc_id", "r1", "r2", "line").alias("first"), "matched"), "d1"
