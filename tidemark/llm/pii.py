@@ -155,7 +155,10 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Tagger | None:
     A tagger trained on the base spans of at most ``train_docs`` documents that have a digit or at sign, the first by a
     hash of the row; None if they hold no span. Long texts give their whole windows, of which at most 3,000 are used.
     """
-    rows = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text", "doc_id").alias("place")).orderBy("place").limit(train_docs)
+    signed = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text", "doc_id").alias("place"))
+    # The hashes alone are ordered; texts are read again for the few that are chosen.
+    last = signed.select("place").orderBy("place").limit(train_docs).agg(F.max("place")).first()[0]
+    rows = signed.filter(F.col("place") <= F.lit(last)).limit(train_docs)
 
     def cut(batches):
         for batch in batches:
