@@ -19,7 +19,7 @@ _LETTER = np.zeros(256, bool)
 _LETTER[0xC3:0xD0] = True
 _THREE = np.zeros(256, bool)
 _THREE[0xE1:0xF0] = True
-CACHE = 1 << 21  # pieces remembered by one Python worker, about 40 bytes each
+CACHE = 1 << 20  # pieces remembered by one Python worker, about 40 bytes each
 JOINED = 256  # pieces encoded in one call
 
 
