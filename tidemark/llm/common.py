@@ -87,7 +87,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back: rows are fixed, lineage is cut, lost executors cost nothing."""
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` made and that no frame will read any more."""
+    for table in tables:
+        delete_path(table.sparkSession, table.written_path)
+        _written[:] = [w for w in _written if w[1] != table.written_path]
 
 
 def release(spark: SparkSession) -> None:

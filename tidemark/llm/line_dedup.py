@@ -295,6 +295,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     once = met.groupBy("s", blocks.alias("blocks")).agg(F.min("g").alias("g")).select("g")
     placed = met.join(once, "g").join(firsts, "d1").select("g", "d1", "block", "doc_id", "r1", "r2", "line")
     placed = common.written(placed, "dedup-placed")
+    common.discard(met, large)
     at = F.struct("doc_id", "r1", "r2", "line")
     heads = placed.groupBy("g").agg(F.min(at).alias("head"), F.count("*").alias("m"))
     probes = common.written(placed.join(heads, "g").filter(at > F.col("head")).select("d1", "g", "m"), "dedup-probes")
@@ -307,12 +308,14 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
             return members.select("d1")
         sets = sets_of(members.select("d1").distinct())
         out = common.written(matched_sets(members.join(sets, "d1"), threshold).distinct(), f"dedup-{label}")
+        common.discard(members)
         common.release(spark)
         return out
 
     matched = tested(tried, "matched")
     others = probes.join(matched, "d1", "left_anti").join(tried, "g", "left_anti").select("g").distinct()
     rest = tested(others, "rest")
+    common.discard(placed, probes, tried)
     matched = matched.unionByName(rest).distinct()
 
     judged = lines.filter("line >= 0").select("doc_id", "r1", "r2", "line", "d1").join(
