@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common, groups, words
 
 THRESHOLD = 0.8
-MIN_WORDS = 5  # lines of fewer distinct words are too short to tell a copy from chance; they stay
+MIN_WORDS = 5  # a caller's floor, unless it states one: lines of fewer distinct words stay
+EVERY_LINE = 1  # floor of the query and the pipeline: every line that has words is judged
 BUCKET_BITS, HASH_BITS, PIECE_BITS = 20, 42, 14
 BLOCK = 2000  # members of a token's block
 
@@ -58,6 +59,11 @@ def bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduceat(bits, begins[:-1]) if len(begins) > 1 else np.zeros(0, np.uint64)
 
 
+def may_differ(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether a set of n tokens can be similar to one that isn't equal to it: the nearest one has all its tokens and one more."""
+    return n >= threshold * (n + 1) - 1e-9
+
+
 def word_rarity(docs: DataFrame) -> np.ndarray:
     """Class (0: rarest) of each of 2^20 buckets of words, from the counts over all texts. The table's size is fixed."""
 
@@ -95,7 +101,7 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
     """
     A row for each line of at least ``min_words`` distinct words (line: its number) and one for each document (line -1,
     n: its lines with words). ``prefix`` holds the rarest tokens, of which a similar line shares at least one; it is
-    null where the task has met the same set of tokens before.
+    empty where the task has met the same set of tokens before, and for sets so small that only equal ones are similar.
     """
 
     def run(batches):
@@ -109,7 +115,7 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
                 bitmap = bitmaps(tokens, begins).view(np.int64)
                 chosen = np.flatnonzero(n >= min_words)
                 new = np.array([d not in seen and not seen.add(d) for d in d1[chosen].tolist()], bool) if len(chosen) else np.zeros(0, bool)
-                length = np.where(new, n[chosen] - np.ceil(threshold * n[chosen] - 1e-9).astype(np.int64) + 1, 0)
+                length = np.where(new & may_differ(n[chosen], threshold), n[chosen] - np.ceil(threshold * n[chosen] - 1e-9).astype(np.int64) + 1, 0)
                 ends = np.cumsum(length)
                 at = np.repeat(begins[:-1][chosen] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
                 prefix = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(tokens[at].view(np.int64)))
@@ -234,8 +240,9 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
 
     1. Word counts over all texts give rarity classes of a fixed number of word buckets; tokens of a line are ordered by
        them. Any fixed order makes the join exact; rarity makes it cheap.
-    2. Lines with equal sets are one set from here on. Each set sends its prefix, the tokens of which a similar set shares
-       at least one, with its size, the token's place and a 64-bit bitmap.
+    2. Lines with equal sets are one set from here on, and later ones go whatever their length. Sets of 1 to 3 words are
+       similar to equal ones only (at 0.8), so that is all for them. Each larger set sends its prefix, the tokens of which
+       a similar set shares at least one, with its size, the token's place and a 64-bit bitmap.
     3. In a token's group length, positional and bitmap filters leave the sets that may have a partner. Pairs never become
        rows. A token with many sets is dealt out in blocks of bounded size, each pair of blocks apart.
     4. Groups with the same members count once. The sets are fetched in one more pass over the texts, through a Bloom
@@ -279,7 +286,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
                 tokens, begins, _, _ = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
                 d1 = digests(tokens, begins)
-                chosen = np.flatnonzero((n >= min_words) & common.in_bloom(field, d1))
+                chosen = np.flatnonzero((n >= min_words) & may_differ(n, threshold) & common.in_bloom(field, d1))
                 _, first = np.unique(d1[chosen], return_index=True)
                 chosen = chosen[first]
                 ends = np.cumsum(n[chosen])
@@ -330,14 +337,14 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     )
 
 
-def without_copied_lines(docs: DataFrame) -> DataFrame:
+def without_copied_lines(docs: DataFrame, min_words: int = EVERY_LINE) -> DataFrame:
     """
     The columns of ``documents`` with the texts less their removed lines. A document all of whose long lines are removed
     is a copy of what came before and goes with the short lines that are left.
     """
     own = common.need(docs, doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
     keyed = own.select("*", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("r2"))
-    gone = removed_lines(docs).filter("n_removed > 0").select("r1", "r2", "removed", (F.col("n_removed") == F.col("n_long")).alias("whole")).dropDuplicates(["r1", "r2"])
+    gone = removed_lines(docs, min_words=min_words).filter("n_removed > 0").select("r1", "r2", "removed", (F.col("n_removed") == F.col("n_long")).alias("whole")).dropDuplicates(["r1", "r2"])
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
     left = keyed.join(gone, ["r1", "r2"], "left").filter(~F.coalesce("whole", F.lit(False)))
     left = left.select("doc_id", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest).alias("text"), "lang", "source", F.col("removed").isNotNull().alias("cut"), "n_chars")

@@ -130,7 +130,8 @@ def ngram_join_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_line_dedup")
 def line_dedup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "removed")
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"), min_words=line_dedup.EVERY_LINE)
+    return found.select("doc_id", "n_lines", "n_removed", "removed")
 
 
 LEAKS_SQL = """
