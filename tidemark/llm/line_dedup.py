@@ -339,12 +339,12 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
 
 def without_copied_lines(docs: DataFrame, min_words: int = EVERY_LINE) -> DataFrame:
     """
-    The columns of ``documents`` with the texts less their removed lines. A document all of whose long lines are removed
-    is a copy of what came before and goes with the short lines that are left.
+    The columns of ``documents`` with the texts less their removed lines. A document of which no line with words is left
+    goes; every other keeps the rest of its text. Documents that have no words stay as they are.
     """
     own = common.need(docs, doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
     keyed = own.select("*", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("r2"))
-    gone = removed_lines(docs, min_words=min_words).filter("n_removed > 0").select("r1", "r2", "removed", (F.col("n_removed") == F.col("n_long")).alias("whole")).dropDuplicates(["r1", "r2"])
+    gone = removed_lines(docs, min_words=min_words).filter("n_removed > 0").select("r1", "r2", "removed", (F.col("n_removed") == F.col("n_lines")).alias("whole")).dropDuplicates(["r1", "r2"])
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
     left = keyed.join(gone, ["r1", "r2"], "left").filter(~F.coalesce("whole", F.lit(False)))
     left = left.select("doc_id", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest).alias("text"), "lang", "source", F.col("removed").isNotNull().alias("cut"), "n_chars")
