@@ -160,7 +160,7 @@ def filtered(g, n, position, bitmap, side, apart, threshold) -> tuple[np.ndarray
 
 
 def members_with_partners(rows: DataFrame, threshold: float) -> DataFrame:
-    """Of each token's (block's) members those that have a possible partner there; s: number that stands for them all."""
+    """Of each token's (block's) members those that have a possible partner there; s: number that stands for them all and their sides."""
 
     def make():
         def step(table):
@@ -181,7 +181,9 @@ def members_with_partners(rows: DataFrame, threshold: float) -> DataFrame:
             if not len(chosen):
                 return None
             bounds = groups.group_bounds(g[chosen])
-            sums = np.repeat(np.add.reduceat(words.mix(d1[chosen].view(np.uint64)), bounds[:-1]), np.diff(bounds))
+            # A member counts with its side: equal members on other sides meet other partners.
+            placed = words.mix(words.mix(d1[chosen].view(np.uint64)) + side[chosen].astype(np.uint64))
+            sums = np.repeat(np.add.reduceat(placed, bounds[:-1]), np.diff(bounds))
             columns = [g[chosen], d1[chosen], block[chosen], sums.view(np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "d1", "block", "s"])
 
@@ -245,7 +247,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
        a similar set shares at least one, with its size, the token's place and a 64-bit bitmap.
     3. In a token's group length, positional and bitmap filters leave the sets that may have a partner. Pairs never become
        rows. A token with many sets is dealt out in blocks of bounded size, each pair of blocks apart.
-    4. Groups with the same members count once. The sets are fetched in one more pass over the texts, through a Bloom
+    4. Groups with the same members, on the same sides of a pair of blocks, count once. The sets are fetched in one more pass over the texts, through a Bloom
        filter of fixed size and a join, and similarity is computed exactly, in order, until an earlier match is found: in
        one group of each set, then, for sets still without a match, in all their others.
 
