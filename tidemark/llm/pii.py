@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ TRAIN_DOCS = 600  # documents the tagger is trained on, at most
 TRAIN_WINDOWS = 3000  # and windows of them
 SURE = 0.95  # least probability of every character's tag in an added span
 STRIDE = LENGTH // 2
+BLANK = int(symbols(" ")[0])
 
 # The base patterns.
 EMAIL_LEFT = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -82,11 +84,26 @@ def plausible(kind: int, text: str) -> bool:
     return 8 <= len(digits(text)) <= 15 and "\n" not in text
 
 
+class Piece(NamedTuple):
+    """A span as far as a window, or several, show it: [a, b), the probability of each character's tag, and whether a window's end cuts it."""
+
+    kind: int
+    a: int
+    b: int
+    chances: np.ndarray
+    cut_left: bool
+    cut_right: bool
+
+
+def last_window(ids: np.ndarray) -> int:
+    return max(0, (len(ids) - 1) // STRIDE - 1)
+
+
 def window_starts(ids: np.ndarray) -> np.ndarray:
     """Starts of the windows of a text: every place near a digit or at sign lies in two of them. Nothing else can be part of a span."""
     signs = np.flatnonzero(((ids >= 0x30 - 0x1F) & (ids <= 0x39 - 0x1F)) | (ids == 0x40 - 0x1F))
     near = np.concatenate([signs + d for d in (-LENGTH // 2, 0, LENGTH // 2)])
-    last = max(0, (len(ids) - 1) // STRIDE - 1)
+    last = last_window(ids)
     return np.unique(np.concatenate([np.clip(near // STRIDE - d, 0, last) for d in (0, 1)])) * STRIDE
 
 
@@ -180,19 +197,45 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Tagger | None:
     return tagger
 
 
-def window_spans(tags: np.ndarray, chances: np.ndarray) -> list[tuple[int, int, int, float]]:
-    """Spans (kind, start, end, least probability) of one window that touch neither of its ends."""
-    out, at = [], 0
-    begins = np.flatnonzero((tags > 0) & (tags % 2 == 1))
-    for at in begins:
+def window_pieces(tags: np.ndarray, chances: np.ndarray, start: int, last: int) -> list[Piece]:
+    """Spans of the window at ``start``, in places of the text; the text's last window is at ``last``."""
+    out = []
+    for at in np.flatnonzero((tags > 0) & (tags % 2 == 1)):
         kind, end = (int(tags[at]) - 1) // 2, at + 1
         while end < LENGTH and tags[end] == 2 + 2 * kind:
             end += 1
-        if at > 0 and end < LENGTH:
-            out.append((kind, int(at), end, float(chances[at:end].min())))
+        out.append(Piece(kind, start + int(at), start + int(end), chances[at:end], at == 0 and start > 0, end == LENGTH and start < last))
     return out
 
 
+def union(p: Piece, q: Piece) -> Piece | None:
+    """One span of a window's piece and one of the next window, if they are of a kind, overlap, and a window's end cuts one of them."""
+    if p.kind != q.kind or p.b <= q.a or q.b <= p.a or not (p.cut_right or q.cut_left):
+        return None
+    a = p.a if q.cut_left else min(p.a, q.a)
+    b = q.b if p.cut_right else max(p.b, q.b)
+    # A character in both windows is as sure as the window that sees more of its surroundings makes it.
+    chances = np.zeros(b - a)
+    for x in (p, q):
+        low, high = max(a, x.a), min(b, x.b)
+        chances[low - a : high - a] = np.maximum(chances[low - a : high - a], x.chances[low - x.a : high - x.a])
+    return Piece(p.kind, a, b, chances, p.cut_left, q.cut_right)
+
+
+def whole_spans(pieces: dict[int, list[Piece]]) -> list[tuple[Piece, bool]]:
+    """Spans that no window's end cuts, and whether they are joined, from each window's pieces: neighbours' pieces are joined from left to right."""
+    out, before, before_start = [], [], 0
+    for start in sorted(pieces):
+        now = []
+        for q in pieces[start]:
+            joined = [u for p in (before if start - before_start == STRIDE else []) if (u := union(p, q))]
+            out += [(u, True) for u in joined]
+            out.append((q, False))
+            now += [*joined, q]
+        before, before_start = now, start
+    return [(p, joined) for p, joined in out if not (p.cut_left or p.cut_right)]
+
+
 def reconcile(found: list[tuple[float, int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Of the windows' spans (probability, start, end, kind) those that stand: the surest first, none over a base span or a surer one."""
     taken = sorted((a, b) for _, a, b in base)
@@ -211,8 +254,9 @@ def find(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
 
     Base spans come from the four patterns over the whole text. A tagger trained on base spans of a bounded sample reads
     windows of 64 characters, overlapping by half, around every digit and at sign of the whole text, without which no
-    span of the four kinds can be. Windows are decoded for themselves; of what they find, spans that touch a window's end
-    are left to its neighbour, and of the rest the surest stand, none over another or over a base span. An added span
+    span of the four kinds can be. Windows are decoded for themselves. What neighbouring windows show of a span that a
+    window's end cuts is joined, whatever its length (further windows are read where it goes on), and of the whole spans the
+    surest stand, none over another or over a base span. An added span
     must be of a form its kind can have and sure in every character.
 
     One narrow pass; the tagger's weights (0.1 MB) go to every task. Memory follows the longest text.
@@ -251,22 +295,42 @@ def find(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
 
 def extra(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int, int]]], batch: int = 512) -> list[list[tuple[int, int, int]]]:
     """Added spans of each text."""
-    all_ids = [symbols(t) for t in texts]
-    starts = [window_starts(i) for i in all_ids]
-    owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
-    place = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
-    for at in range(0, len(owner), batch):
-        who, where = owner[at : at + batch], place[at : at + batch]
-        ids = np.concatenate([windows(all_ids[w], where[who == w]) for w in np.unique(who)]).astype(np.int64)
-        tags, chances = tagger.decode(ids)
-        for k in np.flatnonzero(tags.any(axis=1)):
-            w, start = int(who[k]), int(where[k])
-            for kind, a, b, chance in window_spans(tags[k], chances[k]):
-                a, b = a + start, b + start
-                if b <= len(texts[w]) and plausible(kind, texts[w][a:b]):
-                    found[w].append((round(chance, 4), a, b, kind))
-    return [reconcile(f, s) for f, s in zip(found, base, strict=True)]
+    # A blank on both sides: the text's own ends are no window's ends.
+    all_ids = [np.concatenate(([BLANK], symbols(t), [BLANK])).astype(np.int16) for t in texts]
+    lasts = [last_window(i) * STRIDE for i in all_ids]
+    pieces: list[dict[int, list[Piece]]] = [{} for _ in texts]
+    wanted = [window_starts(i) for i in all_ids]
+    read = [set(s.tolist()) for s in wanted]
+    while any(len(s) for s in wanted):
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in wanted])
+        place = np.concatenate(wanted)
+        more: list[set[int]] = [set() for _ in texts]
+        for at in range(0, len(owner), batch):
+            who, where = owner[at : at + batch], place[at : at + batch]
+            ids = np.concatenate([windows(all_ids[w], where[who == w]) for w in np.unique(who)]).astype(np.int64)
+            tags, chances = tagger.decode(ids)
+            for k in np.flatnonzero(tags.any(axis=1)):
+                w, start = int(who[k]), int(where[k])
+                pieces[w][start] = window_pieces(tags[k], chances[k], start, lasts[w])
+                # A span may go on where no digit or at sign is near.
+                for p in pieces[w][start]:
+                    more[w] |= {n for n, cut in ((start - STRIDE, p.cut_left), (start + STRIDE, p.cut_right)) if cut and n not in read[w]}
+        for own, new in zip(read, more, strict=True):
+            own |= new
+        wanted = [np.array(sorted(new), np.int64) for new in more]
+    out = []
+    for text, own, spans in zip(texts, pieces, base, strict=True):
+        found, joined = [], []
+        for p, is_joined in whole_spans(own):
+            a, b = max(p.a - 1, 0), min(p.b - 1, len(text))
+            if a < b and plausible(p.kind, text[a:b]):
+                found.append((round(float(p.chances.min()), 4), a, b, p.kind))
+                if is_joined and found[-1][0] >= SURE:
+                    joined.append(found[-1])
+        # What a window has of a span that is sure as a whole is no span of its own.
+        parts = {f for f in found for _, a, b, kind in joined if f[3] == kind and a <= f[1] and f[2] <= b and (a, b) != (f[1], f[2])}
+        out.append(reconcile([f for f in found if f not in parts], spans))
+    return out
 
 
 def of_kind(spans: Column | str, kind: str) -> Column:
