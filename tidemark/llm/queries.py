@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate, encode, line_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, decontaminate, encode, fill_middle, line_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,30 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     counts = [F.size(pii.of_kind("base", k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("bigint").alias("n_added"))
+
+
+MIDDLE_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS parts, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents
+), h AS (
+  SELECT doc_id, t, parts, (len(parts) - CASE WHEN parts[len(parts)] = '' THEN 1 ELSE 0 END)::BIGINT AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1,
+    ('0x' || substr(digest, 9, 8))::BIGINT AS h2, ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM d
+), k AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS k1, greatest(h1 % (n + 1), h2 % (n + 1)) AS k2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+), c AS (
+  SELECT doc_id, n, form, t, CASE WHEN k1 = 0 THEN 0 WHEN k1 = n THEN length(t) ELSE length(array_to_string(parts[1:k1], chr(10))) + 1 END::BIGINT AS p,
+    CASE WHEN k2 = 0 THEN 0 WHEN k2 = n THEN length(t) ELSE length(array_to_string(parts[1:k2], chr(10))) + 1 END::BIGINT AS m FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || substr(t, 1, p) || '<S>' || substr(t, m + 1) || '<M>' || substr(t, p + 1, m - p)
+    ELSE '<S>' || substr(t, m + 1) || '<P>' || substr(t, 1, p) || '<M>' || substr(t, p + 1, m - p) END) AS output_sha256, sha256(t) AS restored_sha256
+FROM c
+"""
+
+
+@query("op11_fill_middle", MIDDLE_SQL)
+def fill_middle_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"), "lines", seed=7, rate=100, spm_rate=50)
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
