@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate, encode, fill_middle, line_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, decontaminate, encode, fill_middle, line_dedup, near_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,35 @@ def fill_middle_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.transform(table(spark, sf_dir, "documents"), "lines", seed=7, rate=100, spm_rate=50)
     digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+NEAR_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, array_to_string(words[i : i + 3], ' ') AS shingle FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM d WHERE len(words) > 0)
+), n AS (
+  SELECT r, count(*) AS n, list(shingle ORDER BY shingle) AS shingles FROM s GROUP BY r
+), classes AS (
+  SELECT min(r) AS c, any_value(n) AS n, shingles, list(r) AS members FROM n GROUP BY shingles
+), of_class AS (
+  SELECT c, n, unnest(members) AS r FROM classes
+), shared AS (
+  SELECT a.c AS a, b.c AS b, count(*) AS k FROM (SELECT c, unnest(shingles) AS shingle FROM classes) a JOIN (SELECT c, unnest(shingles) AS shingle FROM classes) b ON a.shingle = b.shingle AND a.c <> b.c GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN classes x ON x.c = a JOIN classes y ON y.c = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach(c, to_c) AS (
+  SELECT c, c FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.to_c
+), component AS (
+  SELECT reach.c, min(doc_id) AS component_id FROM reach JOIN of_class ON of_class.c = to_c JOIN d USING (r) GROUP BY reach.c
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id,
+  n IS NULL OR doc_id = component_id AS kept
+FROM d LEFT JOIN of_class USING (r) LEFT JOIN component USING (c)
+"""
+
+
+@query("op12_near_dedup", NEAR_SQL)
+def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(table(spark, sf_dir, "documents"))
