@@ -11,7 +11,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_names():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near copies", "decontamination", "packing"]
 
 

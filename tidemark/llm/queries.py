@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate, encode, fill_middle, line_dedup, near_dedup, ngram_join, packing, pii, quality, sharding, token_counts, token_files, url_filter
+from tidemark.llm import common, decontaminate, encode, fill_middle, line_dedup, near_dedup, ngram_join, packing, pii, prefix_trie, quality, sharding, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +221,43 @@ FROM d LEFT JOIN of_class USING (r) LEFT JOIN component USING (c)
 @query("op12_near_dedup", NEAR_SQL)
 def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(table(spark, sf_dir, "documents"))
+
+
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), k AS (
+  SELECT conv_id, i, md5(length(role)::VARCHAR || ':' || role || text) AS turn, octet_length(encode(text))::BIGINT AS bytes FROM t
+), c AS (
+  SELECT conv_id AS c, conv_id - conv_id % 5 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda s, b: list_reduce(list_concat([xor(s, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), parts AS (
+  SELECT c, 0 AS part, i, turn, bytes FROM c JOIN k ON k.conv_id = base AND i <= h
+  UNION ALL SELECT c, 1, i, turn, bytes FROM c JOIN k ON k.conv_id = c AND i > h
+), s AS (
+  SELECT c, coalesce(turns, []) AS turns, coalesce(sizes, []) AS sizes FROM c LEFT JOIN (SELECT c, list(turn ORDER BY part, i) AS turns, list(bytes ORDER BY part, i) AS sizes FROM parts GROUP BY c) USING (c)
+), p AS (
+  SELECT c, d, array_to_string(turns[1:d], ',') AS node, CASE WHEN d > 0 THEN array_to_string(turns[1:d - 1], ',') END AS parent, turns[1:d] AS turns, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS bytes, len(turns) = d AS ends
+  FROM (SELECT c, turns, sizes, unnest(range(0, len(turns) + 1)) AS d FROM s)
+), n AS (
+  SELECT d, node, any_value(parent) AS parent, any_value(turns) AS turns, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM p GROUP BY d, node
+), children AS (
+  SELECT d - 1 AS d, parent AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), w AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN children USING (d, node)
+), below AS (
+  SELECT up AS d, array_to_string(turns[1:up], ',') AS node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT turns, n_children, saved, unnest(range(0, d + 1)) AS up FROM w) GROUP BY ALL
+)
+SELECT w.conv_id, w.d AS depth, above.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM w JOIN below USING (d, node) LEFT JOIN n above ON above.d = w.d - 1 AND above.node = w.parent
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def prefix_trie_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
