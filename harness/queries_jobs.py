@@ -22,7 +22,8 @@ from tidemark.sinks.stats import append_stats, stats_rows
 from tidemark.sinks.tables import append_by_day
 from tidemark.sources.csv_files import read_raw_csv
 from tidemark.sources.listing import file_sizes, folder_sizes, name_parts
-from tidemark.sources.serving import count_by_version, read_collection, serving_scan
+from tidemark.sources.serving import count_by_version, read_collection, serving_scan, stream_collection
+from tidemark.sources.snapshots import snapshot
 from tidemark.sources.tables import scan_dataset
 from tidemark.streaming.incremental import start_incremental_export
 from tidemark.streaming.logs import log_stream, start_log_ingest
@@ -229,7 +230,7 @@ def _run_incremental(t: Inputs) -> tuple[str, state.StateTable]:
     root = scratch_path(t.spark, "datalake")
     alignment = state.state_table(t.spark, scratch_path(t.spark, "state"))
     alignment.write(t("x_state"))
-    docs = read_collection(t.spark, _collection(t, t("x_serving")))
+    docs = snapshot(t.spark, _collection(t, t("x_serving")))
     incremental.run_incremental_export(t.spark, docs, _descriptors(t, "x_serving", root), alignment, UPPER)
     return root, alignment
 
@@ -265,8 +266,7 @@ def incremental_stream(t: Inputs) -> DataFrame:
     root, checkpoint = scratch_path(t.spark, "datalake"), scratch_path(t.spark, "checkpoint")
     alignment = state.state_table(t.spark, scratch_path(t.spark, "state"))
     alignment.write(t("x_state"))
-    schema = read_collection(t.spark, source).schema
-    docs = t.spark.readStream.schema(schema).parquet(source)
+    docs = stream_collection(t.spark, source)
     held = scratch_path(t.spark, "held")
     start_incremental_export(docs, _descriptors(t, "x_serving", root), alignment, held, UPPER, checkpoint).awaitTermination()
     return _raw_rows(t, root, _CSV_COLUMNS).select(*_CSV_COLUMNS, "datasetcode", "datasetversion")

@@ -201,6 +201,46 @@ def test_broken_compaction_is_finished_by_the_next_run(spark, rows, raw, monkeyp
     assert read_raw_csv(spark, str(root), RAW, multi_line=True).count() == 7
 
 
+@pytest.mark.parametrize("moved", [None, 0, 1, 2, 3])
+def test_a_late_file_meets_a_compacted_month(spark, raw, monkeypatch, moved):
+    """A month with an empty file: the compacted file has the name of one of its own sources."""
+    base, root, _ = raw
+    august = 1_533_500_000
+    raw_file(root, f"{oid(august)}_0-ds-1.csv", [])
+    raw_file(root, f"{oid(august + 5)}_2-ds-1.csv", ["a1,x,1", "a2,x,2"])
+    month = lambda: sorted(p.name for p in root.glob(f"{oid(august)[:5]}*-ds-1.csv"))
+
+    def run():
+        return compaction.compact(spark, str(base / "raw"), str(base / "archive"), RAW)
+
+    def rows_of_month():
+        return sorted(r[0] for r in read_raw_csv(spark, [str(root / n) for n in month()], RAW, multi_line=True).select("time").collect())
+
+    run()
+    assert month() == [f"{oid(august + 5)}_2-ds-1.csv"] and rows_of_month() == ["a1", "a2"]
+    raw_file(root, f"{oid(august + 1)}_1-ds-1.csv", ["late,x,3"])
+    if moved is not None:
+        real, count = Files.rename, []
+
+        def break_off(self, source, target):
+            if len(count) == moved:
+                raise OSError("broken off")
+            count.append(target)
+            real(self, source, target)
+
+        monkeypatch.setattr("tidemark.files.RENAMES_AT_ONCE", 1)
+        monkeypatch.setattr(Files, "rename", break_off)
+        if moved < 3:
+            with pytest.raises(OSError):
+                run()
+        else:
+            run()
+        monkeypatch.setattr(Files, "rename", real)
+    for _ in range(2):
+        run()
+        assert month() == [f"{oid(august + 5)}_3-ds-1.csv"] and rows_of_month() == ["a1", "a2", "late"]
+
+
 def test_compaction_of_a_large_month_makes_several_files(spark, rows, tmp_path):
     root = tmp_path / "raw" / "d"
     for i in range(8):

@@ -5,10 +5,10 @@ from tidemark.files import Files
 from tidemark.functions.objectid import NEVER_ID
 from tidemark.plans import logs
 from tidemark.plans.promote import promote, promoted_rows
-from tidemark.plans.state import merge_state, state_table, stop_incremental
+from tidemark.plans.state import advance_state, merge_state, state_table, stop_incremental
 from tidemark.session import scratch_root
 from tidemark.sinks.stats import append_stats, stats_rows
-from tidemark.sinks.tables import append_by_day, replace_table, save_table, snapshot
+from tidemark.sinks.tables import StateConflict, append_by_day, replace_table, save_table, snapshot
 from tidemark.sources.csv_files import read_raw_csv
 from tidemark.sources.jdbc import jdbc_options
 from tidemark.streaming.incremental import start_incremental_export
@@ -46,10 +46,61 @@ def test_state_table_versions(spark, rows, tmp_path):
     state.write(merge_state(state.read(), stop_incremental(first.where("iddataset = 2"))))
     state.write(merge_state(state.read(), spark.createDataFrame([(3, 1, "c")], state.schema)))
     assert rows(state.read()) == [(1, 1, "a"), (2, 1, NEVER_ID), (3, 1, "c")]
-    (tmp_path / "state" / "v=9").mkdir()  # a copy that was never committed
+    (tmp_path / "state" / "copy=9-left").mkdir()  # a copy that was never committed
+    (tmp_path / "state" / "n=9.left").write_text("copy=9-left")
     assert state.read().count() == 3
 
 
+def test_two_writers_of_a_state(spark, rows, tmp_path):
+    state, other = (state_table(spark, str(tmp_path / "state")) for _ in range(2))
+    state.write(spark.createDataFrame([(1, 1, "a")], state.schema))
+    add = lambda n: lambda now: merge_state(now, spark.createDataFrame([(n, 1, "x")], state.schema))
+    with pytest.raises(StateConflict):
+        stale = state.read()
+        other.update(add(2))
+        state.write(add(3)(stale), after=1)
+    turns = []
+
+    def overtaken(now):
+        turns.append(now.count())
+        if len(turns) == 1:
+            other.update(add(4))
+        return add(3)(now)
+
+    state.update(overtaken)
+    assert turns == [2, 3] and rows(state.read()) == [(1, 1, "a"), (2, 1, "x"), (3, 1, "x"), (4, 1, "x")]
+    held = state_table(spark, str(tmp_path / "state2"))
+    held.write(spark.createDataFrame([(1, 1, NEVER_ID), (2, 1, "1" * 24)], state.schema))
+    held.update(lambda now: advance_state(now, spark.createDataFrame([(1, 1, "5" * 24), (2, 1, "2" * 24), (3, 1, "3" * 24)], state.schema)))
+    assert rows(held.read()) == [(1, 1, NEVER_ID), (2, 1, "2" * 24), (3, 1, "3" * 24)]
+
+
+def test_a_table_is_never_missing(spark, rows, tmp_path, monkeypatch):
+    root = str(tmp_path / "tables")
+    two = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
+    assert replace_table(two, "t_moved", root).count() == 2
+    first = spark.table("t_moved")
+
+    failing = two.withColumn("y", F.raise_error(F.lit("source fails")).cast("string"))
+    for broken in range(2):
+        with pytest.raises(Exception, match="source fails"):
+            replace_table(failing, "t_moved", root)
+        assert rows(spark.table("t_moved")) == [(1, "a"), (2, "b")]
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (_ for _ in ()).throw(OSError("broken off")) if text.startswith("ALTER") else sql(self, text, *a, **k))
+    with pytest.raises(OSError):
+        replace_table(two.where("x > 1"), "t_moved", root)
+    monkeypatch.undo()
+    assert rows(spark.table("t_moved")) == [(1, "a"), (2, "b")]
+    replace_table(two.where("x = 1").withColumn("z", F.lit(5)), "t_moved", root)
+    assert rows(spark.table("t_moved")) == [(1, "a", 5)] and rows(first) == [(1, "a"), (2, "b")]
+    assert len(list((tmp_path / "tables" / "t_moved").glob("v=*"))) == 2  # the one in force and the one before it
+    replace_table(spark.table("t_moved").select("z"), "t_moved", root)  # fewer columns: made anew
+    assert rows(spark.table("t_moved")) == [(5,)]
+    save_table(spark.range(4), "t_managed")
+    assert replace_table(spark.range(6), "t_managed", root).count() == 6
+
+
 def test_promotion(spark, rows):
     source = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
     plain = promoted_rows(source, ["name"], "2020-01-01 00:00:00", add_ids=False, add_row_number=False)
@@ -106,12 +157,48 @@ def test_failing_feed_does_not_stop_the_others(spark, tmp_path):
     # a second run finds nothing new; what a broken run left in its folder is loaded by the next one
     assert logs.ingest_feeds(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"esbin1": "esb"}, prefix="site_") == {}
     assert spark.read.orc(loaded).count() == 1
-    (folder / "loading").mkdir()
+    (folder / "loading").mkdir(exist_ok=True)
     (folder / "loading" / "b.csv").write_text(feed_line("esb", log_timestamp="2018-10-15 11:41:26"))
     logs.ingest_feeds(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"esbin1": "esb"}, prefix="site_")
     assert spark.read.orc(loaded).count() == 2
 
 
+@pytest.mark.parametrize("step", ["move", "list", "load", "load twice", "mark", "delete"])
+def test_every_line_of_a_feed_is_loaded_once(spark, rows, tmp_path, monkeypatch, step):
+    folder, out = tmp_path / "in" / "esbin1", str(tmp_path / "out")
+    folder.mkdir(parents=True)
+    line = lambda n: feed_line("esb", log_timestamp=f"2018-10-{10 + n} 11:41:26", uniqueid=str(n))
+    (folder / "access.csv").write_text(line(1) + "\n" + line(2))
+    (folder / "other.csv").write_text(line(3))
+
+    def broken(*_, **__):
+        raise OSError("broken off")
+
+    if step == "move":
+        real, moved = Files.rename, []
+        monkeypatch.setattr("tidemark.files.RENAMES_AT_ONCE", 1)
+        monkeypatch.setattr(Files, "rename", lambda self, a, b: broken() if moved else (moved.append(a), real(self, a, b)))
+    elif step == "list":
+        monkeypatch.setattr(logs.FeedLedger, "list_files", broken)
+    elif step in ("load", "load twice"):
+        after = logs.replace_batch
+        monkeypatch.setattr(logs, "replace_batch", lambda *a: (after(*a) if step == "load twice" else None, broken()))
+    elif step == "mark":
+        monkeypatch.setattr(logs.FeedLedger, "finish", broken)
+    else:
+        monkeypatch.setattr(Files, "delete", broken)
+    assert logs.ingest_feeds(spark, str(tmp_path / "in"), out, {"esbin1": "esb"}) == {"esbin1": "broken off"}
+    monkeypatch.undo()
+    (folder / "access.csv").write_text(line(4))  # of the same name as one that may still wait to be loaded
+    for _ in range(2):
+        assert logs.ingest_feeds(spark, str(tmp_path / "in"), out, {"esbin1": "esb"}) == {}
+        assert rows(spark.read.orc(f"{out}/esbin1_partday"), "uniqueid") == [("1",), ("2",), ("3",), ("4",)]
+    ledger = logs.FeedLedger(spark, f"{out}/_ledger/esbin1")
+    consumed = ledger.consumed()
+    assert ledger.open() == [] and sorted(f["path"].rsplit("/", 1)[1] for f in consumed) == ["access.csv", "access.csv", "other.csv"]
+    assert all(f["length"] > 0 and f["time"] > 0 for f in consumed) and not list(folder.rglob("*.csv"))
+
+
 def test_call_pairs_resolve_placeholders(spark, rows, tmp_path):
     lines = [
         feed_line("intapi", log_timestamp="2018-10-14 11:41:26", uniqueid="1", forwardedfor="10.0.0.1", jwt="j", query="q", elapsed="7"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 RENAMES_AT_ONCE = 8
@@ -24,6 +26,10 @@ class Files:
         fs, target = self._at(path)
         return fs.exists(target)
 
+    def is_file(self, path: str) -> bool:
+        fs, target = self._at(path)
+        return fs.exists(target) and fs.getFileStatus(target).isFile()
+
     def make_folder(self, path: str) -> None:
         fs, target = self._at(path)
         fs.mkdirs(target)
@@ -41,46 +47,81 @@ class Files:
         return self.exists(f"{folder}/_SUCCESS")
 
     def rename(self, source: str, target: str) -> None:
-        """Move a file; a file already at the target (left by a broken run) is replaced."""
+        """Move a file; one already at the target is an error."""
         fs, old = self._at(source)
         _, new = self._at(target)
         fs.mkdirs(new.getParent())
         if fs.exists(new):
-            fs.delete(new, False)
+            raise FileExistsError(target)
         if not fs.rename(old, new):
             raise OSError(f"cannot rename {source} to {target}")
 
-    def rename_all(self, pairs: Iterable[tuple[str, str]]) -> list[str]:
-        """Rename many files, a few at a time, and return the targets in the given order."""
-        pairs, targets = iter(pairs), []
+    def rename_all(self, pairs: Iterable[tuple[str, str]], replace: bool = False) -> list[str]:
+        """Rename many files, a few at a time, and return the targets in the given order; a repeated run may replace its own."""
+        pairs, targets, move = iter(pairs), [], self.replace if replace else self.rename
         with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
             while block := list(islice(pairs, 1000)):
-                list(pool.map(lambda pair: self.rename(*pair), block))
+                list(pool.map(lambda pair: move(*pair), block))
                 targets += [target for _, target in block]
         return targets
 
-    def write_text(self, path: str, text: str) -> None:
-        """Write a small text; readers see the old one or the new one, where the file system can replace a file in one step."""
-        fs, target = self._at(f"{path}.new")
+    def create_once(self, path: str, text: str) -> bool:
+        """Write a small text, whole, unless the path exists already; of several writers one gets True."""
+        waiting = f"{path}.{uuid.uuid4().hex}"
+        fs, target = self._at(waiting)
+        self._put(fs, target, text)
+        modes = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.org.apache.hadoop.fs.Options.Rename.NONE.getClass(), 1)
+        modes[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        _, new = self._at(path)
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(target, new, modes)
+        except Py4JJavaError as problem:
+            fs.delete(target, False)
+            if self.exists(path):
+                return False
+            raise problem
+        return True
+
+    def _put(self, fs, target, text: str) -> None:
         out = fs.create(target, True)
         try:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
+
+    def details(self, folder: str) -> list[dict]:
+        """Path, length and modification time (milliseconds) of a folder's files."""
+        fs, target = self._at(folder)
+        found = fs.listStatus(target) if fs.exists(target) else []
+        return [{"path": s.getPath().toString(), "length": s.getLen(), "time": s.getModificationTime()} for s in found if s.isFile()]
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small text; readers see the old one or the new one, where the file system can replace a file in one step."""
+        fs, target = self._at(f"{path}.new")
+        self._put(fs, target, text)
         self.replace(f"{path}.new", path)
 
     def replace(self, source: str, target: str) -> None:
-        """Put a file in another's place in one step; a file system that cannot do so moves it in two."""
-        _, old = self._at(source)
+        """
+        Put a file in another's place in one step; a file system that cannot do so sets the old one aside first and
+        deletes it when the new one is there.
+        """
+        fs, old = self._at(source)
         _, new = self._at(target)
+        fs.mkdirs(new.getParent())
         options = self._jvm.org.apache.hadoop.fs.Options
         try:
-            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._at(target)[0].getUri(), self._conf)
-            modes = self._jvm.java.lang.reflect.Array.newInstance(options.Rename.OVERWRITE.getClass(), 1)
-            modes[0] = options.Rename.OVERWRITE
-            context.rename(old, new, modes)
-        except Exception:  # no FileContext for this scheme
+            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        except Py4JJavaError:  # no FileContext for this scheme
+            aside = f"{target}.{uuid.uuid4().hex}"
+            if fs.exists(new):
+                self.rename(target, aside)
             self.rename(source, target)
+            self.delete(aside)
+            return
+        modes = self._jvm.java.lang.reflect.Array.newInstance(options.Rename.OVERWRITE.getClass(), 1)
+        modes[0] = options.Rename.OVERWRITE
+        context.rename(old, new, modes)
 
     def read_text(self, path: str) -> str | None:
         fs, target = self._at(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,13 +91,17 @@ def compact(
 
     named = written.join(groups.select("group_id", "folder", "max_oid", "datasetcode", "datasetversion"), "group_id")
     named = final_names(named, F.col("folder"), F.col("max_oid"), F.col("datasetcode"), F.col("datasetversion"))
-    away = sources.select(F.col("path").alias("source"), F.concat_ws("/", F.lit(archive), F.col("group_id").cast("string"), "file_name").alias("target"))
+    run = uuid.uuid4().hex
+    away = sources.select(F.col("path").alias("source"), F.concat_ws("/", F.lit(archive), F.lit(run), F.col("group_id").cast("string"), "file_name").alias("target"))
     write_moves(away, named, archive)
     return finish_moves(spark, archive)
 
 
 def write_moves(away: DataFrame, into_place: DataFrame, archive: str) -> None:
-    """Write the moves down, sources first: from here on the next run can finish what this one leaves."""
+    """
+    Write the moves down, sources first: from here on the next run can finish what this one leaves. Sources go to a folder of
+    the run's own, so a file that lies there has been moved by this run, whatever has its old name now.
+    """
     moves = away.withColumn("turn", F.lit(0)).unionByName(into_place.withColumn("turn", F.lit(1)))
     moves.write.mode("overwrite").json(f"{archive}/{MOVES}")
 
@@ -110,8 +115,10 @@ def finish_moves(spark: SparkSession, archive: str) -> list[str]:
         disk.delete(path)
         return []
     moves = spark.read.schema("source string, target string, turn int").json(path)
-    for turn in (0, 1):  # a file of the old name may be in the way of a new one
-        disk.rename_all((row["source"], row["target"]) for row in moves.where(F.col("turn") == turn).toLocalIterator() if disk.exists(row["source"]) and not (turn == 0 and disk.exists(row["target"])))
+    archived, placed = (moves.where(F.col("turn") == turn) for turn in (0, 1))
+    # First the sources: a new file may take the name of one of them, and then isn't moved away again.
+    disk.rename_all((row["source"], row["target"]) for row in archived.toLocalIterator() if not disk.exists(row["target"]))
+    disk.rename_all((row["source"], row["target"]) for row in placed.toLocalIterator() if disk.exists(row["source"]))
     done = [row["target"] for row in moves.where("turn = 1").toLocalIterator()]
     disk.delete(path)
     return done

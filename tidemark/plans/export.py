@@ -36,7 +36,7 @@ def full_export(
     published = write_dataset_files(docs, sizes, descriptors, F.lit(run_id), time_zone, rows_per_file)
     if mode == "overwrite":
         _remove_older_files(spark, descriptors, published)
-    state.write(merge_state(state.read(), stop_incremental(descriptors)))
+    state.update(lambda now: merge_state(now, stop_incremental(descriptors)))
     return published
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.fieldtypes import csv_header, csv_text_columns, document_fields
 from tidemark.functions.objectid import NEVER_ID
-from tidemark.plans.state import STATE_KEYS, last_ids, merge_state
+from tidemark.plans.state import STATE_KEYS, advance_state, last_ids
 from tidemark.session import materialize, scratch_path
 from tidemark.sinks.csv_out import RESERVED, ROWS_PER_FILE, TURN, publish_files, refuse_reserved, write_in_files, written_files
 from tidemark.sinks.tables import StateTable
-from tidemark.sources.serving import PARTITIONS, count_and_max, in_partitions
+from tidemark.sources.serving import NAMED_DATASETS, count_and_max, in_partitions
+from tidemark.sources.snapshots import PARTITIONS, Snapshot, read_id_ranges
 
 DROPPED = ("id", "iddataset_l", "datasetversion_l", "origin_s", "sparkuniqueid")
 
@@ -35,12 +36,38 @@ def pending_documents(docs: DataFrame, datasets: DataFrame, state: DataFrame, up
     the number of documents, go into the scan's filters, so that other partitions and older row groups are skipped.
     """
     upper = F.lit(upper_id) if isinstance(upper_id, str) else upper_id
-    targets = as_document_keys(last_ids(datasets.select(*STATE_KEYS).distinct(), state).where(F.col("last_id") != NEVER_ID))
-    least = targets.agg(F.min("last_id")).first()[0]
-    reach = in_partitions(docs.where((F.col("id") <= upper) & (F.col("id") > least)), targets) if least else docs.where(F.lit(False))
+    targets = _active(datasets, state)
+    some = targets.limit(NAMED_DATASETS + 1).collect()
+    if not some:
+        return docs.where(F.lit(False))
+    if len(some) <= NAMED_DATASETS:
+        least = min(row["last_id"] for row in some)
+        reach = docs.where(F.col(PARTITIONS[0]).isin(sorted({row[PARTITIONS[0]] for row in some})))
+        targets = docs.sparkSession.createDataFrame(some, targets.schema)
+    else:
+        least = targets.agg(F.min("last_id")).first()[0]
+        reach = in_partitions(docs, targets)
+    reach = reach.where((F.col("id") <= upper) & (F.col("id") > least))
     return reach.join(targets, PARTITIONS, "inner").where(F.col("id") > F.col("last_id")).select(*docs.columns)
 
 
+def pending_in_snapshot(spark: SparkSession, of: Snapshot, datasets: DataFrame, state: DataFrame, upper_id: str) -> DataFrame:
+    """The same documents of a collection's snapshot, from the files that its manifest names for each dataset's own range.
+
+    A dataset that starts anew doesn't make the others' history be read: the range of a file's ids is compared with the
+    range of its own dataset.
+    """
+    targets = _active(datasets, state)
+    found = read_id_ranges(spark, of, targets.select(*PARTITIONS, F.col("last_id").alias("after"), F.lit(upper_id).alias("up_to")))
+    kept = found.join(targets, PARTITIONS).where((F.col("id") > F.col("last_id")) & (F.col("id") <= upper_id))
+    return kept.select(*found.columns)
+
+
+def _active(datasets: DataFrame, state: DataFrame) -> DataFrame:
+    """Datasets whose incremental export isn't switched off, under their serving names, with their last exported id."""
+    return as_document_keys(last_ids(datasets.select(*STATE_KEYS).distinct(), state).where(F.col("last_id") != NEVER_ID))
+
+
 def own_columns(docs: DataFrame, fields: list[tuple[str, str]], family: str) -> DataFrame:
     """Documents with the columns of their dataset's field list only; a field no document has yet is null."""
     present = set(docs.columns)
@@ -90,24 +117,26 @@ def write_dataset_files(
 
 
 def run_incremental_export(
-    spark: SparkSession, docs: DataFrame, descriptors: DataFrame, state: StateTable, upper_id: str,
+    spark: SparkSession, docs: DataFrame | Snapshot, descriptors: DataFrame, state: StateTable, upper_id: str,
     time_zone: str = "UTC", rows_per_file: int = ROWS_PER_FILE,
 ) -> list[str]:
     """Export what is new since the last run and remember how far it went.
 
+    Of a snapshot of a collection only the files are read that may hold new documents of their dataset.
+
     Descriptors with ``campi`` and ``family`` are exported in groups of one field list, each with its own columns;
     without them the collection's columns are those of every dataset. Files come first and the state last: a run that
     breaks in between is repeated from the old state, and with the same upper id it writes the same file names.
     """
     before, published, found = state.read(), [], []
     for fields, family, group in layouts(descriptors):
-        own = docs if fields is None else own_columns(docs, fields, family)
-        pending = pending_documents(own, group, before, upper_id)
+        pending = pending_in_snapshot(spark, docs, group, before, upper_id) if isinstance(docs, Snapshot) else pending_documents(docs, group, before, upper_id)
+        pending = pending if fields is None else own_columns(pending, fields, family)
         sizes = materialize(next_state(pending), "sizes")
         published += write_dataset_files(pending, sizes, group, F.lit(upper_id), time_zone, rows_per_file)
         found.append(sizes)
     if found:
-        state.write(merge_state(before, reduce(DataFrame.unionByName, found)))
+        state.update(lambda now: advance_state(now, reduce(DataFrame.unionByName, found)))
     return published
 
 

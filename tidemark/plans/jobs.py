@@ -21,7 +21,7 @@ from tidemark.plans.publish import publish, serving_documents
 from tidemark.plans.state import STATE_KEYS, merge_state, stop_incremental
 from tidemark.sinks.stats import append_stats, stats_rows
 from tidemark.sinks.tables import StateTable
-from tidemark.sources.serving import PARTITIONS, read_collection
+from tidemark.sources.snapshots import PARTITIONS, snapshot
 from tidemark.sources.tables import lake_table, scan_dataset
 
 TABLES_PER_PLAN = 50
@@ -86,7 +86,7 @@ def publish_datasets(
         reports.append(report)
         described = _described(spark, batch).join(report.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), STATE_KEYS)
         if state is not None and mode.lower() != "nowrite":
-            state.write(merge_state(state.read(), stop_incremental(described)))
+            state.update(lambda now: merge_state(now, stop_incremental(described)))
         if stats_path:
             counts = described.withColumn("destination", F.lit(collection))
             elapsed = int(1000 * (time.monotonic() - started))
@@ -122,8 +122,7 @@ def incremental_datasets(
     published = []
     for row in chosen.select("solrcollectionname").distinct().toLocalIterator():
         own = chosen.where(F.col("solrcollectionname").eqNullSafe(row[0]))
-        docs = read_collection(spark, collection_path(row[0]))
-        published += run_incremental_export(spark, docs, own, state, upper_id, time_zone)
+        published += run_incremental_export(spark, snapshot(spark, collection_path(row[0])), own, state, upper_id, time_zone)
     return published
 
 

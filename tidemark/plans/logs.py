@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.files import Files
-from tidemark.sinks.tables import append_by_day
+from tidemark.sinks.tables import replace_batch
 from tidemark.sources.csv_files import read_feed_csv
 
 # Column order of the four header-less layouts.
@@ -52,8 +54,10 @@ FEEDS = {
 DAY = ["year", "month", "day"]
 
 
-# folder below a feed's that holds the files being loaded
+# folder below a feed's that holds the batches being loaded
 LOADING = "loading"
+# partition column of the loaded tables: the batch a row came with
+BATCH = "batch"
 
 
 def feed_folder(root: str, feed: str) -> str:
@@ -75,33 +79,95 @@ def read_feed(spark: SparkSession, path: str, layout: str) -> DataFrame:
     return with_day(read_feed_csv(spark, path, LAYOUTS[layout]))
 
 
+class FeedLedger:
+    """Which files of a feed went into which batch, and which batches are loaded: small texts beside the feed's table."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path, self.files = path.rstrip("/"), Files(spark)
+
+    def _numbers(self, mark: str) -> set[int]:
+        return {int(n.split(".")[0]) for n in self.files.names(self.path) if n.endswith(mark)}
+
+    def open(self) -> list[int]:
+        """Batches that were begun and not finished, oldest first."""
+        return sorted(self._numbers(".begun") - self._numbers(".loaded"))
+
+    def begin(self) -> int:
+        """Claim the next number; of several jobs each gets its own."""
+        number = max(self._numbers(".begun"), default=0) + 1
+        while not self.files.create_once(f"{self.path}/{number:010d}.begun", ""):
+            number += 1
+        return number
+
+    def list_files(self, number: int, found: list[dict]) -> None:
+        """The batch's files as they are before they are loaded."""
+        self.files.write_text(f"{self.path}/{number:010d}.files", json.dumps(sorted(found, key=lambda f: f["path"])))
+
+    def finish(self, number: int) -> None:
+        self.files.write_text(f"{self.path}/{number:010d}.loaded", "")
+
+    def consumed(self) -> list[dict]:
+        """path, length, time and batch of every file of the loaded batches."""
+        out = []
+        for number in sorted(self._numbers(".loaded")):
+            text = self.files.read_text(f"{self.path}/{number:010d}.files")
+            out += [{**f, BATCH: number} for f in json.loads(text or "[]")]
+        return out
+
+
 def ingest_feeds(
     spark: SparkSession, root: str, target: str, feeds: dict[str, str] | None = None, prefix: str = ""
 ) -> dict[str, str]:
-    """Append every feed to its day-partitioned table and consume its files; a feed that fails is reported with its
-    files left in place, and the others go on.
+    """Load every feed into its day-partitioned table and consume its files, each file exactly once; a feed that fails is
+    reported, with its files in place, and the others go on.
 
-    The files to load are moved to a folder of their own first, so what arrives meanwhile waits for the next run; after
-    the append they are deleted. A run that breaks off leaves them there and the next one loads them: at least once.
+    The files to load are moved to a folder of a new batch, so what arrives meanwhile, of whatever name, waits for the next
+    run. A batch is the last partition level of the table: loading it again replaces its own rows and no others. The ledger
+    says which batches are loaded; a run first repeats those that an earlier one began and did not finish, from the
+    files that lie in their folders. Files are deleted once their batch is marked as loaded.
     """
     failed, disk = {}, Files(spark)
     for name, layout in (feeds or FEEDS).items():
         feed = prefix + name
         folder = feed_folder(root, feed)
-        loading = f"{folder}/{LOADING}"
+        ledger = FeedLedger(spark, f"{target}/_ledger/{feed}")
         try:
             if not disk.exists(folder):
                 raise FileNotFoundError(folder)
+            _take_strays(disk, ledger, f"{folder}/{LOADING}")
+            for batch in ledger.open():
+                _load_batch(spark, disk, ledger, f"{folder}/{LOADING}/{batch:010d}", batch, layout, f"{target}/{feed}_partday")
             arrived = [n for n in disk.names(folder) if n != LOADING]
-            disk.rename_all((f"{folder}/{n}", f"{loading}/{n}") for n in arrived)
-            if disk.names(loading):
-                append_by_day(read_feed(spark, loading, layout), f"{target}/{feed}_partday")
-            disk.delete(loading)
+            if arrived:
+                batch = ledger.begin()
+                loading = f"{folder}/{LOADING}/{batch:010d}"
+                disk.rename_all((f"{folder}/{n}", f"{loading}/{n}") for n in arrived)
+                _load_batch(spark, disk, ledger, loading, batch, layout, f"{target}/{feed}_partday")
+            for batch in disk.names(f"{folder}/{LOADING}"):  # loaded, but not deleted
+                disk.delete(f"{folder}/{LOADING}/{batch}")
         except (PySparkException, Py4JJavaError, OSError) as problem:
             failed[feed] = str(problem)
     return failed
 
 
+def _take_strays(disk: Files, ledger: FeedLedger, loading: str) -> None:
+    """Files that lie in the loading folder itself belong to no batch yet; they become one of their own."""
+    strays = [n for n in disk.names(loading) if disk.is_file(f"{loading}/{n}")]
+    if strays:
+        batch = ledger.begin()
+        disk.rename_all((f"{loading}/{n}", f"{loading}/{batch:010d}/{n}") for n in strays)
+
+
+def _load_batch(spark: SparkSession, disk: Files, ledger: FeedLedger, loading: str, batch: int, layout: str, table: str) -> None:
+    found = disk.details(loading)
+    ledger.list_files(batch, found)
+    if found:  # a run may have broken off before it moved the first file
+        rows = read_feed(spark, loading, layout).withColumn(BATCH, F.lit(batch).cast("bigint"))
+        replace_batch(rows, table, DAY, BATCH)
+    ledger.finish(batch)
+    disk.delete(loading)
+
+
 def call_pairs(logs: DataFrame, datasets: DataFrame, server: str = "odataintapi1") -> DataFrame:
     """Join each incoming call with the internal call it caused (same request id), one row per pair.
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.files import Files
 from tidemark.functions.fieldtypes import cast_by_suffix
 from tidemark.session import materialize
 from tidemark.sinks.serving import check_mode, merge_documents, to_documents
-from tidemark.sources.serving import PARTITIONS, count_by_version, in_partitions, read_collection
+from tidemark.sources.serving import count_by_version, in_partitions, read_collection
+from tidemark.sources.snapshots import PARTITIONS, documents_by_version, snapshot
 
 LAKE_ORIGIN = "datalake"
 
@@ -57,7 +57,7 @@ def publish(
     incoming = merge_documents(spark, path, docs, replace_origin=replaced, ids_may_move=ids_may_move, replaced=datasets)
     stored = read_collection(spark, path)
     arrived = in_partitions(stored, incoming).join(incoming.select("id", *PARTITIONS), ["id", *PARTITIONS], "left_semi")
-    report = _hold(_report(read, before, count_by_version(stored), count_by_version(arrived)))
+    report = _hold(_report(read, before, _counts(spark, path), count_by_version(arrived)))
     differing = report.where(F.col("record_read") != F.col("record_write")).take(5)
     if differing:
         raise PublishMismatch(f"documents read and written differ: {differing}")
@@ -65,9 +65,8 @@ def publish(
 
 
 def _counts(spark: SparkSession, path: str) -> DataFrame:
-    if Files(spark).names(path):
-        return count_by_version(read_collection(spark, path))
-    return spark.createDataFrame([], "iddataset_l bigint, datasetversion_l bigint, documents bigint")
+    """Documents of each dataset version, as the manifest of the newest snapshot has them."""
+    return documents_by_version(spark, snapshot(spark, path))
 
 
 def _hold(counts: DataFrame) -> DataFrame:

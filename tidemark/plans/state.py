@@ -43,6 +43,13 @@ def merge_state(state: DataFrame, updates: DataFrame, keys: Sequence[str] = STAT
     return replace_by_key(state, updates.select(*keys, "last_id"), keys)
 
 
+def advance_state(state: DataFrame, found: DataFrame) -> DataFrame:
+    """Move the state forward to the highest ids found, never back: what is switched off meanwhile stays so."""
+    old = state.withColumnRenamed("last_id", "_old")
+    ahead = found.join(old, STATE_KEYS, "left").withColumn("last_id", F.greatest("last_id", "_old"))
+    return merge_state(state, ahead)
+
+
 def stop_incremental(datasets: DataFrame) -> DataFrame:
     """State rows that switch incremental export off after a full export or publish."""
     return datasets.select(*STATE_KEYS).distinct().withColumn("last_id", F.lit(NEVER_ID))

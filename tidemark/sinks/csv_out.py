@@ -69,10 +69,11 @@ def written_files(spark: SparkSession, path: str, keys: Sequence[str], columns:
 def publish_files(files: DataFrame, folder: Column, oid: Column, code: Column, version: Column) -> list[str]:
     """Move written files under their final names ``<oid>_<rows>-<code>-<version>.csv``.
 
-    Names are streamed to the driver, one per file; renames do not touch the contents. Returns the final paths.
+    Names are streamed to the driver, one per file; renames do not touch the contents. A repeated run replaces its own files.
+    Returns the final paths.
     """
     plan = final_names(files, folder, oid, code, version)
-    return Files(files.sparkSession).rename_all((row["source"], row["target"]) for row in plan.toLocalIterator())
+    return Files(files.sparkSession).rename_all(((row["source"], row["target"]) for row in plan.toLocalIterator()), replace=True)
 
 
 def final_names(files: DataFrame, folder: Column, oid: Column, code: Column, version: Column) -> DataFrame:

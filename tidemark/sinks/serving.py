@@ -1,17 +1,22 @@
-"""Keyed writes to a serving collection stored as one partition folder per dataset and version."""
+"""Keyed writes to a serving collection stored by dataset and version, each one commit."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.files import Files
 from tidemark.operators.latest import newest_per_key
 from tidemark.operators.merge import delete_where
 from tidemark.session import materialize
-from tidemark.sources.serving import PARTITIONS, SCHEMA_FILE, collection_schema, in_partitions, read_collection
+from tidemark.sources.serving import in_partitions
+from tidemark.sources.snapshots import PARTITIONS, CommitConflict, Snapshot, commit, read_snapshot, snapshot
 
+T_ = TypeVar("T_")
+TRIES = 10  # of a write that other writers overtake
 WRITE_MODES = ("nowrite", "append", "overwrite")
 
 
@@ -39,21 +44,20 @@ def to_documents(df: DataFrame) -> DataFrame:
 
 
 def write_partitions(docs: DataFrame, path: str) -> None:
-    """Replace the partitions present in the frame. Rebalancing splits a large dataset over many tasks and files."""
-    _add_columns(docs, path)
-    arranged = docs.withColumns({name: F.col(name).cast("bigint") for name in PARTITIONS}).hint("rebalance", *PARTITIONS)
-    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*PARTITIONS).parquet(path)
+    """Replace the partitions present in the frame, in one commit."""
+    spark = docs.sparkSession
+    _again(lambda: commit(spark, snapshot(spark, path), docs))
 
 
-def _add_columns(docs: DataFrame, path: str) -> None:
-    """Note new columns in the collection's schema file before any row has them."""
-    files = Files(docs.sparkSession)
-    known = collection_schema(docs.sparkSession, path).fields if files.names(path) else []
-    names = {field.name for field in known}
-    new = [T.StructField(f.name, T.LongType() if f.name in PARTITIONS else f.dataType) for f in docs.schema if f.name not in names]
-    if new:
-        files.write_text(f"{path}/{SCHEMA_FILE}", T.StructType([*known, *new]).json())
+def _again(write: Callable[[], T_], tries: int = TRIES) -> T_:
+    """Begin a write again, from the newest snapshot, where another writer has committed first."""
+    for turn in range(tries):
+        try:
+            return write()
+        except CommitConflict:
+            if turn == tries - 1:
+                raise
+    raise AssertionError("tries must be positive")
 
 
 def _distinct_documents(docs: DataFrame, newest_first: list | None) -> DataFrame:
@@ -65,7 +69,7 @@ def merge_documents(
     spark: SparkSession, path: str, source: DataFrame, newest_first: list | None = None,
     replace_origin: str | None = None, ids_may_move: bool = True, replaced: DataFrame | None = None,
 ) -> DataFrame:
-    """Upsert by ``id`` over the whole collection, rewriting only the partitions that change.
+    """Upsert by ``id`` over the whole collection, rewriting only the partitions that change, in one commit.
 
     These are the partitions of the new documents, those holding an older document with one of their ids (found
     by a scan of the id and partition columns) and, with ``replace_origin``, those holding documents of that
@@ -77,10 +81,17 @@ def merge_documents(
     incoming = materialize(_distinct_documents(source, newest_first), "incoming")
     if incoming.where(F.col(PARTITIONS[0]).isNull() | F.col(PARTITIONS[1]).isNull()).take(1):
         raise ValueError("documents without a dataset or version cannot be stored")
-    if not Files(spark).names(path):
-        write_partitions(incoming, path)
+    datasets = None
+    if replace_origin is not None:
+        datasets = materialize(incoming.select("iddataset_l").distinct() if replaced is None else replaced, "replaced")
+    return _again(lambda: _merge(spark, snapshot(spark, path), incoming, replace_origin, datasets, ids_may_move))
+
+
+def _merge(spark: SparkSession, base: Snapshot, incoming: DataFrame, replace_origin: str | None, datasets: DataFrame | None, ids_may_move: bool) -> DataFrame:
+    if not base.number:
+        commit(spark, base, incoming)
         return incoming
-    stored = read_collection(spark, path)
+    stored = read_snapshot(spark, base)
     types = {f.name: f.dataType for f in stored.schema}
     incoming = incoming.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in incoming.columns])
 
@@ -91,8 +102,7 @@ def merge_documents(
         placed = reach.join(incoming.select("id"), "id", "left_semi")
         touched = touched.unionByName(placed.select(*PARTITIONS))
     if replace_origin is not None:
-        datasets = incoming.select("iddataset_l").distinct() if replaced is None else replaced
-        outdated = in_partitions(stored.where(F.col("origin_s") == replace_origin), datasets)
+        outdated = stored.where(F.col("origin_s") == replace_origin).join(datasets, "iddataset_l", "left_semi")
         touched = touched.unionByName(outdated.select(*PARTITIONS))
     touched = materialize(touched.distinct(), "touched")
 
@@ -101,7 +111,7 @@ def merge_documents(
         flagged = kept.join(datasets.withColumn("_replaced", F.lit(True)), "iddataset_l", "left")
         stale = F.col("_replaced") & (F.col("origin_s") == replace_origin)
         kept = delete_where(flagged, stale).drop("_replaced").select(*stored.columns)
-    _rewrite(spark, path, kept.unionByName(incoming, allowMissingColumns=True), touched)
+    commit(spark, base, kept.unionByName(incoming, allowMissingColumns=True), touched)
     return incoming
 
 
@@ -117,23 +127,12 @@ def delete_documents(spark: SparkSession, path: str, dataset_id: int, version: i
 
 def delete_matching(spark: SparkSession, path: str, predicate: Column, partition_filter: Column | None = None) -> None:
     """Delete by predicate, rewriting only the partitions with matching rows."""
-    stored = read_collection(spark, path)
-    reach = stored.where(partition_filter) if partition_filter is not None else stored
-    touched = materialize(reach.where(predicate).select(*PARTITIONS).distinct(), "touched")
-    affected = in_partitions(reach, touched)
-    _rewrite(spark, path, delete_where(affected, predicate), touched)
-
+    _again(lambda: _delete(spark, snapshot(spark, path), predicate, partition_filter))
 
-def _rewrite(spark: SparkSession, path: str, survivors: DataFrame, touched: DataFrame) -> None:
-    """Swap the touched partitions for their surviving rows and drop the folders of those left empty.
 
-    Spark's dynamic overwrite stages the survivors and moves them into place once every task is done, so the plan
-    may read the partitions it replaces. A partition without survivors gets no new file: those are found beforehand,
-    from the key columns alone, and removed by name.
-    """
-    emptied = touched.join(survivors.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
-    folders = ["/".join(f"{name}={row[name]}" for name in PARTITIONS) for row in emptied.toLocalIterator()]
-    write_partitions(survivors, path)
-    files = Files(spark)
-    for folder in folders:
-        files.delete(f"{path}/{folder}")
+def _delete(spark: SparkSession, base: Snapshot, predicate: Column, partition_filter: Column | None) -> None:
+    stored = read_snapshot(spark, base)
+    reach = stored.where(partition_filter) if partition_filter is not None else stored
+    touched = materialize(reach.where(predicate).select(*PARTITIONS).distinct(), "touched")
+    if not touched.isEmpty():
+        commit(spark, base, delete_where(in_partitions(reach, touched), predicate), touched)

@@ -1,34 +1,31 @@
-"""Serving collections: document tables stored by dataset and version."""
+"""Serving collections: document tables stored by dataset and version, read by snapshot."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.files import Files
+from tidemark.sources.snapshots import COMMIT, PARTITIONS, read_snapshot, snapshot
 
-PARTITIONS = ["iddataset_l", "datasetversion_l"]
 
-
-# the collection's columns, kept next to its data: datasets fill different ones, so no single file shows them all
-SCHEMA_FILE = "_schema.json"
+def collection_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Columns of a collection: datasets fill different ones, so no single file shows them all."""
+    return snapshot(spark, path).schema
 
 
-def collection_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Columns of a collection, from its schema file or else merged from all its files."""
-    text = Files(spark).read_text(f"{path}/{SCHEMA_FILE}")
-    if text:
-        return T.StructType.fromJson(json.loads(text))
-    merged = spark.read.option("mergeSchema", True).parquet(path).schema
-    return T.StructType([T.StructField(f.name, T.LongType()) if f.name in PARTITIONS else f for f in merged])
+def read_collection(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The documents of the newest snapshot, or of an older one that is still kept."""
+    return read_snapshot(spark, snapshot(spark, path, number))
 
 
-def read_collection(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(collection_schema(spark, path)).parquet(path)
+def stream_collection(spark: SparkSession, path: str) -> DataFrame:
+    """Documents as a stream of the files that commits write; a rewritten partition's documents arrive again."""
+    of = snapshot(spark, path)
+    typed = T.StructType([*of.schema.fields, T.StructField(COMMIT, T.StringType())])
+    return spark.readStream.schema(typed).parquet(of.data).select(*of.schema.names)
 
 
 # datasets named one by one in a scan's filter; beyond that the range of their numbers is used

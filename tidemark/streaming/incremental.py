@@ -8,7 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.files import Files
 from tidemark.plans.incremental import next_state, pending_documents, write_dataset_files
-from tidemark.plans.state import STATE_KEYS, merge_state
+from tidemark.plans.state import advance_state
 from tidemark.session import materialize
 from tidemark.sinks.tables import StateTable
 
@@ -36,16 +36,8 @@ def start_incremental_export(
         sizes = materialize(next_state(pending), "sizes")
         name = F.lit(f"{upper_id[:16]}{batch_id:08x}")
         write_dataset_files(pending, sizes, descriptors, name, time_zone)
-        _advance(state, sizes)
+        state.update(lambda now: advance_state(now, sizes))
         for n in earlier[:-1]:  # the last one stays until this batch is known to be done
             Files(spark).delete(f"{held}/{n}")
 
     return docs.writeStream.foreachBatch(export).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def _advance(state: StateTable, found: DataFrame) -> None:
-    """Move the state forward to the highest ids seen, never back."""
-    current = state.read()
-    old = current.withColumnRenamed("last_id", "_old")
-    ahead = found.join(old, STATE_KEYS, "left").withColumn("last_id", F.greatest("last_id", "_old"))
-    state.write(merge_state(current, ahead))
