@@ -5,6 +5,8 @@ Every run writes below a new scratch path and returns what it reads back.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,11 +165,11 @@ def publish_blocks(t: Inputs) -> DataFrame:
        FROM (SELECT *, row_number() OVER (ORDER BY rowkey) AS n FROM {x_row}) r""",
 )
 def promote_dataset(t: Inputs) -> DataFrame:
-    rows = t("x_row")
-    return promote.promoted_rows(
-        rows, ["o_orderkey", "o_totalprice", "bda_sensor"], "2018-10-01 00:00:00", order_by=["o_orderkey"],
-        id_space=42,
-    )
+    """A first load of some rows, then the whole table in its place, read back from the lake table."""
+    rows, table, root = t("x_row"), f"promoted_{uuid.uuid4().hex}", scratch_path(t.spark, "lake")
+    for source, load_time in ((rows.where("o_orderkey % 2 = 0"), "2018-09-30 00:00:00"), (rows, "2018-10-01 00:00:00")):
+        promote.promote(source, ["o_orderkey", "o_totalprice", "bda_sensor"], table, load_time, root, order_by=["o_orderkey"], id_space=42)
+    return t.spark.table(table)
 
 
 # ---------------------------------------------------------------- CSV exports
@@ -318,27 +320,33 @@ def job_stats(t: Inputs) -> DataFrame:
 _RAW_COLUMNS = ["time", "sensor", "streamcode", "price"]
 
 
-def _write_raw_files(t: Inputs, root: str) -> None:
-    """Orders as small stream files: up to two per month, some times missing, and one with nothing in it.
-
-    Every file holds a repeated header.
-    """
+def _raw_order_rows(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Orders as stream rows, some times missing: those that arrive in time, and late ones of the same months."""
+    month = F.date_trunc("month", "bda_time")
     rows = t("x_row").select(
         F.when(F.col("bda_sensor") != "5-LOW", F.date_format("bda_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("time"),
         F.col("bda_sensor").alias("sensor"), F.col("bda_streamcode").alias("streamcode"),
         F.col("o_totalprice").cast("string").alias("price"),
-        F.lit("orders").alias("code"),
-        id_from_time(F.date_trunc("month", "bda_time"), (F.col("bda_sensor") < "3").cast("int") + 1).alias("oid"),
+        F.lit("orders").alias("code"), month.alias("month"), ((F.col("bda_sensor") >= "3") & (F.col("o_orderkey") % 3 == 0)).alias("late"),
+        id_from_time(month, (F.col("bda_sensor") < "3").cast("int") + 1).alias("oid"),
     )
-    files = rows.select("code", "oid").distinct()
-    files = files.unionByName(files.select("code", F.concat(F.substring("oid", 1, 8), F.lit("0" * 16)).alias("oid")).distinct())
+    months = rows.where("NOT late").select("month").distinct().withColumn("open", F.lit(True))
+    rows = rows.join(months, "month", "left").withColumn("late", F.col("late") & F.col("open").isNotNull())
+    return rows.where("NOT late"), rows.where("late").withColumn("oid", id_from_time(F.col("month"), F.lit(0)))
+
+
+def _write_raw_files(t: Inputs, root: str, rows: DataFrame, empty: bool) -> None:
+    """Small stream files: up to two per month, and one with nothing in it if asked. Every file holds a repeated header."""
+    files = rows.groupBy("code", "oid").agg(F.count("*").alias("rows"))
+    if empty:
+        files = files.unionByName(files.select("code", F.concat(F.substring("oid", 1, 8), F.lit("0" * 16)).alias("oid"), F.lit(0).cast("bigint").alias("rows")).distinct())
     headers = files.select(*[F.lit(c).alias(c) for c in _RAW_COLUMNS], "code", "oid")
     stage = scratch_path(t.spark, "raw")
-    csv_writer(rows.unionByName(headers).repartition("code", "oid")).partitionBy("code", "oid").csv(stage)
+    csv_writer(rows.select(*headers.columns).unionByName(headers).repartition("code", "oid")).partitionBy("code", "oid").csv(stage)
     stored = file_sizes(t.spark, stage, "*.csv").select(
         "path", F.regexp_extract("path", "/code=([^/]+)/", 1).alias("code"), F.regexp_extract("path", "/oid=([^/]+)/", 1).alias("oid")
-    )
-    name = export_file_name(F.col("oid"), F.lit(1), F.concat(F.lit("ds-"), F.col("code")), F.lit(1))
+    ).join(files, ["code", "oid"])
+    name = export_file_name(F.col("oid"), F.col("rows"), F.concat(F.lit("ds-"), F.col("code")), F.lit(1))
     disk = Files(t.spark)
     for row in stored.select("path", F.concat_ws("/", F.lit(root), "code", name).alias("target")).toLocalIterator():
         disk.rename(row["path"], row["target"])
@@ -355,9 +363,11 @@ def _write_raw_files(t: Inputs, root: str) -> None:
        FROM {x_row}""",
 )
 def csv_compaction(t: Inputs) -> DataFrame:
-    root = scratch_path(t.spark, "datalake")
-    _write_raw_files(t, root)
-    compaction.compact(t.spark, root, scratch_path(t.spark, "archive"), _RAW_COLUMNS)
+    """Two runs; in between more rows arrive for months that have been compacted."""
+    root, archive = scratch_path(t.spark, "datalake"), scratch_path(t.spark, "archive")
+    for rows, empty in zip(_raw_order_rows(t), (True, False), strict=True):
+        _write_raw_files(t, root, rows, empty)
+        compaction.compact(t.spark, root, archive, _RAW_COLUMNS)
     return _raw_rows(t, root, _RAW_COLUMNS)
 
 
@@ -409,9 +419,17 @@ for _layout in logs.LAYOUTS:
 
 @query("log_ingest_partitioned", _log_oracle("esb"))
 def log_ingest_partitioned(t: Inputs) -> DataFrame:
-    target = scratch_path(t.spark, "logs")
-    append_by_day(logs.read_feed(t.spark, _feed(t, "esb"), "esb"), target)
-    return t.spark.read.orc(target)
+    """Two deliveries of a feed, each consumed by a run of its own, and a third run that finds nothing."""
+    root, target = scratch_path(t.spark, "feeds"), scratch_path(t.spark, "logs")
+    second = F.pmod(F.xxhash64("uniqueid", "path"), F.lit(3)) == 0
+    for delivery in (~second, second, None):
+        if delivery is not None:
+            columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(_LOG_SOURCE["esb"].split())]
+            t("x_log").where(delivery).select(*columns).write.mode("append").option("header", False).csv(logs.feed_folder(root, "esbin1"))
+        failed = logs.ingest_feeds(t.spark, root, target, {"esbin1": "esb"})
+        if failed:
+            raise RuntimeError(str(failed))
+    return t.spark.read.orc(f"{target}/esbin1_partday").drop(logs.BATCH)
 
 
 @query("log_ingest_stream", _log_oracle("amq"))

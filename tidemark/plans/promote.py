@@ -45,6 +45,6 @@ def promoted_rows(
     return numbered.select(*out)
 
 
-def promote(source: DataFrame, columns: Sequence[str], target_table: str, load_time: str, **options) -> int:
-    """Replace the lake table by the promoted rows; returns the row count."""
-    return replace_table(promoted_rows(source, columns, load_time, **options), target_table).count()
+def promote(source: DataFrame, columns: Sequence[str], target_table: str, load_time: str, root: str | None = None, **options) -> int:
+    """Replace the lake table by the promoted rows, its versions below ``root``; returns the row count."""
+    return replace_table(promoted_rows(source, columns, load_time, **options), target_table, root).count()
