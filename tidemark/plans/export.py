@@ -20,19 +20,18 @@ from tidemark.sources.serving import PARTITIONS
 
 def full_export(
     spark: SparkSession, docs: DataFrame, descriptors: DataFrame, state: StateTable, mode: str, run_id: str,
-    time_zone: str = "UTC", rows_per_file: int = ROWS_PER_FILE,
+    time_zone: str = "UTC", rows_per_file: int = ROWS_PER_FILE, sizes: DataFrame | None = None,
 ) -> list[str]:
     """Export whole datasets, given as documents, and switch their incremental export off.
 
     ``overwrite`` removes the earlier files of the described dataset versions once the new ones are in place, also of
     those that have no documents any more; files of other datasets or versions in the same folder stay. ``append``
-    keeps them all, ``nowrite`` has no effect at all.
+    keeps them all, ``nowrite`` has no effect at all. ``sizes``: the document counts, where the caller has them already.
     """
     mode = check_mode(mode)
     if mode == "nowrite":
         return []
-    counted = docs.groupBy(*PARTITIONS).agg(F.count("*").alias("documents"))
-    sizes = materialize(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), "sizes")
+    sizes = document_counts(docs) if sizes is None else sizes
     published = write_dataset_files(docs, sizes, descriptors, F.lit(run_id), time_zone, rows_per_file)
     if mode == "overwrite":
         _remove_older_files(spark, descriptors, published)
@@ -40,6 +39,12 @@ def full_export(
     return published
 
 
+def document_counts(docs: DataFrame) -> DataFrame:
+    """Documents of each dataset version, counted once and kept."""
+    counted = docs.groupBy(*PARTITIONS).agg(F.count("*").alias("documents"))
+    return materialize(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), "sizes")
+
+
 def _remove_older_files(spark: SparkSession, descriptors: DataFrame, published: list[str]) -> None:
     """Delete the files in the datasets' folders that carry a described code and version and are not new (names only)."""
     disk, keep = Files(spark), set(published)

@@ -12,7 +12,7 @@ from tidemark.functions.fieldtypes import csv_header, csv_text_columns, document
 from tidemark.functions.objectid import NEVER_ID
 from tidemark.plans.state import STATE_KEYS, advance_state, last_ids
 from tidemark.session import materialize, scratch_path
-from tidemark.sinks.csv_out import RESERVED, ROWS_PER_FILE, TURN, publish_files, refuse_reserved, write_in_files, written_files
+from tidemark.sinks.csv_out import RESERVED, ROWS_PER_FILE, TURN, publish_files, refuse_reserved, write_in_files
 from tidemark.sinks.tables import StateTable
 from tidemark.sources.serving import NAMED_DATASETS, count_and_max, in_partitions
 from tidemark.sources.snapshots import PARTITIONS, Snapshot, read_id_ranges
@@ -93,8 +93,8 @@ def write_dataset_files(
 ) -> list[str]:
     """Write documents as CSV files of their datasets and publish them under the final names.
 
-    ``sizes`` has the document count per dataset version, ``descriptors`` its folder and code. The rows of the
-    written files are counted before any of them becomes visible.
+    ``sizes`` has the document count per dataset version, ``descriptors`` its folder and code. The writing job counts
+    the rows of its files, and both counts are compared before any file becomes visible.
     """
     spark = docs.sparkSession
     stage = scratch_path(spark, "export")
@@ -104,9 +104,7 @@ def write_dataset_files(
     text = csv_text_columns(keyed.drop(*DROPPED), time_zone)
     rows = text.toDF(*body, *[RESERVED + name for name in STATE_KEYS], TURN)
     counts = sizes.select(*STATE_KEYS, F.col("documents").alias("rows"))
-    write_in_files(rows, counts, STATE_KEYS, stage, rows_per_file)
-
-    files = materialize(written_files(spark, stage, STATE_KEYS, body), "files")
+    files = materialize(write_in_files(rows, counts, STATE_KEYS, stage, rows_per_file), "files")
     per_dataset = files.groupBy(*STATE_KEYS).agg(F.sum("rows").alias("written"))
     differing = counts.join(per_dataset, STATE_KEYS, "left").where(~F.col("rows").eqNullSafe(F.col("written")))
     wrong = differing.take(5)

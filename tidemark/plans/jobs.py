@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.export import full_export
+from tidemark.plans.export import document_counts, full_export
 from tidemark.plans.incremental import run_incremental_export
 from tidemark.plans.promote import promote
 from tidemark.plans.publish import publish, serving_documents
@@ -104,10 +104,10 @@ def export_datasets(
         started = time.monotonic()
         docs = _together([lake_documents(spark, row) for row in batch])
         described = _described(spark, batch)
-        published += full_export(spark, docs, described, state, mode, run_id, time_zone)
+        sizes = document_counts(docs)
+        published += full_export(spark, docs, described, state, mode, run_id, time_zone, sizes=sizes)
         if stats_path:
-            counted = docs.groupBy(*PARTITIONS).agg(F.count("*").alias("record_read"))
-            counts = described.join(counted.withColumnsRenamed(dict(zip(PARTITIONS, STATE_KEYS))), STATE_KEYS, "left")
+            counts = described.join(sizes.withColumnRenamed("documents", "record_read"), STATE_KEYS, "left")
             counts = counts.fillna(0, ["record_read"]).select("*", F.col("folder").alias("destination"), F.col("record_read").alias("record_write"))
             elapsed = int(1000 * (time.monotonic() - started))
             append_stats(stats_rows(counts, "export", project, coordinator, elapsed), stats_path)

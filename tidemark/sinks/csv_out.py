@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.files import Files
 from tidemark.functions.objectid import part_id
 from tidemark.functions.paths import export_file_name
-from tidemark.sources.csv_files import read_raw_csv
+from tidemark.sources.listing import file_sizes
 
 ROWS_PER_FILE = 5_000_000
 
@@ -35,21 +35,43 @@ def csv_writer(df: DataFrame) -> DataFrameWriter:
 
 def write_in_files(
     rows: DataFrame, sizes: DataFrame, keys: Sequence[str], path: str, rows_per_file: int = ROWS_PER_FILE
-) -> None:
+) -> DataFrame:
     """Write one CSV per key, or several of about equal size for a key with more than ``rows_per_file`` rows.
 
     ``rows`` holds the keys under their reserved names (``__tm_<key>``) and the number ``__tm_turn``, which deals the
     rows of a large key out to its files; it must not depend on the order rows arrive in, and copies of a row must not
     share it. ``sizes`` holds the row count of every key (column ``rows``). One key and part go to one task, which
-    holds about ``rows_per_file`` rows whatever the key.
+    holds about ``rows_per_file`` rows whatever the key. Returns the files, see ``write_counted``.
     """
     own = [RESERVED + key for key in keys]
     wanted = F.greatest(F.ceil(F.col("rows") / rows_per_file), F.lit(1)).cast("bigint")
     parts = sizes.select(*[F.col(k).alias(RESERVED + k) for k in keys], "rows", wanted.alias(f"{RESERVED}parts"))
     total, files = parts.agg(F.sum("rows"), F.sum(f"{RESERVED}parts")).first()
-    dealt = rows.join(parts.drop("rows"), own, "inner").withColumn(PART, F.pmod(TURN, f"{RESERVED}parts")).drop(TURN, f"{RESERVED}parts")
-    tasks = write_tasks(rows.sparkSession, files or 0, (total or 0) / rows_per_file)
-    csv_writer(dealt.repartition(tasks, *own, PART)).partitionBy(*own, PART).csv(path)
+    dealt = rows.join(parts.drop("rows"), own, "inner").withColumn(PART, F.pmod(TURN, f"{RESERVED}parts")).drop(f"{RESERVED}parts")
+    return write_counted(dealt, keys, write_tasks(rows.sparkSession, files or 0, (total or 0) / rows_per_file), path)
+
+
+def write_counted(dealt: DataFrame, keys: Sequence[str], tasks: int, path: str) -> DataFrame:
+    """Write one CSV per key and part, and count its rows in the same pass: keys, part, file, rows.
+
+    Rows of a file are numbered as they are sorted for the writer, and the last one's number is reported with the finished
+    job, one entry a file. The files are not read again; only their names are listed.
+    """
+    spark, own = dealt.sparkSession, [*[RESERVED + key for key in keys], PART]
+    number, last, counts = f"{RESERVED}number", f"{RESERVED}last", Observation()
+    in_file = Window.partitionBy(*own).orderBy(TURN)
+    numbered = dealt.repartition(tasks, *own).withColumns({number: F.row_number().over(in_file), last: F.lead(F.lit(1)).over(in_file).isNull()})
+    entry = F.struct(*[F.col(c).cast("bigint").alias(n) for c, n in zip(own, [*keys, "part"], strict=True)], F.col(number).cast("bigint").alias("rows"))
+    numbered = numbered.observe(counts, F.collect_list(F.when(F.col(last), entry)).alias("files")).drop(number, last, TURN)
+    csv_writer(numbered).option("maxRecordsPerFile", 0).partitionBy(*own).csv(path)
+
+    schema = ", ".join(f"`{k}` bigint" for k in [*keys, "part", "rows"])
+    counted = spark.createDataFrame([tuple(r) for r in counts.get["files"]], schema)
+    if not Files(spark).exists(path):
+        return counted.select(*keys, F.col("part").cast("int").alias("part"), F.lit(None).cast("string").alias("file"), "rows")
+    listed = file_sizes(spark, path, "*.csv").select(F.col("path").alias("file"))
+    labels = [F.regexp_extract("file", f"/{RESERVED}{k}=([^/]+)/", 1).cast("bigint").alias(k) for k in [*keys, "part"]]
+    return listed.select("file", *labels).join(counted, [*keys, "part"]).select(*keys, F.col("part").cast("int").alias("part"), "file", "rows")
 
 
 def write_tasks(spark: SparkSession, files: int, full_files: float) -> int:
@@ -58,14 +80,6 @@ def write_tasks(spark: SparkSession, files: int, full_files: float) -> int:
     return max(1, min(files, max(usual, math.ceil(full_files))))
 
 
-def written_files(spark: SparkSession, path: str, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Row count of every file of a keyed export, read back from storage: keys, part, file, rows."""
-    stored = read_raw_csv(spark, path, columns, multi_line=True, recursive=True)
-    found = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
-    labels = [F.regexp_extract("file", f"/{RESERVED}{key}=([^/]+)/", 1).cast("bigint").alias(key) for key in keys]
-    return found.select(*labels, F.regexp_extract("file", f"/{PART}=([0-9]+)/", 1).cast("int").alias("part"), "file", "rows")
-
-
 def publish_files(files: DataFrame, folder: Column, oid: Column, code: Column, version: Column) -> list[str]:
     """Move written files under their final names ``<oid>_<rows>-<code>-<version>.csv``.
 
