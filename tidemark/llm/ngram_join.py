@@ -163,9 +163,11 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     def verify():
         def step(table):
             data, bounds = common.text_buffer(table.column("text"))
-            hashes, _, firsts = words.words(data, bounds)
-            values, own = words.shingles(hashes, firsts, WORDS)
-            sets = [words.distinct(values[own[i] : own[i + 1]]) for i in range(table.num_rows)]
+            sets = []
+            for a, b in common.slices(bounds, words.SLICE):
+                hashes, _, firsts = words.words(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                values, own = words.shingles(hashes, firsts, WORDS)
+                sets += [words.distinct(values[own[i] : own[i + 1]]) for i in range(b - a)]
             n, size = np.array([len(s) for s in sets]), table.column("size").to_numpy()
             d1, d2 = table.column("d1").to_numpy(), table.column("d2").to_numpy()
             found, spans = [], list(pruned(table, least))
