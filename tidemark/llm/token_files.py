@@ -157,8 +157,10 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     columns = [pa.array([name.as_py()] * (b - a)), pa.array(doc_ids[a:b], pa.int64()), pa.array(edges[a:b]), pa.array(counts[a:b]), pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(ids)])]
                     yield pa.RecordBatch.from_arrays(columns, ["file", "doc_id", "own_start", "n_tokens", "ids"])
 
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    # The names of part files ascend with the ranges. One row a file: its size is bounded by the number of files.
+    # By number: from part-100000 on the names' own order is another one.
+    number = F.regexp_extract("file", "part-([0-9]+)", 1).cast("bigint")
+    earlier = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    # The numbers of part files ascend with the ranges. One row a file: its size is bounded by the number of files.
     base = files.mapInArrow(totals, "file string, n bigint").select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     found = files.mapInArrow(documents, "file string, doc_id bigint, own_start bigint, n_tokens bigint, ids binary")
     return found.join(F.broadcast(base), "file").select("doc_id", (F.col("own_start") + F.col("base")).alias("start"), "n_tokens", "ids")
