@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common, groups, words
 
 THRESHOLD = 0.8
-MIN_WORDS = 5  # a caller's floor, unless it states one: lines of fewer distinct words stay
-EVERY_LINE = 1  # floor of the query and the pipeline: every line that has words is judged
+EVERY_LINE = 1  # a caller may set a higher floor: lines of fewer distinct words then stay
 BUCKET_BITS, HASH_BITS, PIECE_BITS = 20, 42, 14
 BLOCK = 2000  # members of a token's block
 
@@ -231,7 +230,7 @@ def matched_sets(rows: DataFrame, threshold: float) -> DataFrame:
     return groups.in_groups(rows, "g", make, "d1 bigint")
 
 
-def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = EVERY_LINE) -> DataFrame:
     """
     One row for each document: doc_id, r1, r2 (hashes of the row), n_lines (lines with words), n_long (those of at least
     ``min_words`` distinct words), n_removed and removed (their numbers from 0, ascending).
