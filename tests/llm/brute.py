@@ -39,7 +39,7 @@ def near_copies(rows, threshold=0.8):
     return [(links[i], smallest[find(i)][1] if smallest[find(i)][0] else None) for i in range(len(rows))]
 
 
-def removed_lines(rows, threshold=0.8, least=5):
+def removed_lines(rows, threshold=0.8, least=1):
     """For distinct (doc_id, text) rows in order: lines with words, and the numbers of those that go."""
     seen, holders, out = [], defaultdict(set), []
     for _, text in rows:

@@ -38,7 +38,7 @@ def test_query_judges_every_line(llm, documents):
     order = sorted(texts)
     want = dict(zip(order, brute.removed_lines([(d, texts[d]) for d in order], least=1), strict=True))
     assert found == want
-    assert want != dict(zip(order, brute.removed_lines([(d, texts[d]) for d in order]), strict=True))  # short copies are there
+    assert want != dict(zip(order, brute.removed_lines([(d, texts[d]) for d in order], least=5), strict=True))  # short copies are there
 
 
 def test_pipeline_judges_every_line(llm):

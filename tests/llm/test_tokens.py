@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, encode, packing, token_counts, token_files
+from tidemark.llm import common, encode, packing, token_counts, token_files, words
 
 WORD_BPE, BYTE_BPE = encode.tokenizer_path("word_bpe_49k.json"), encode.tokenizer_path("byte_bpe_50k.json")
 
@@ -110,3 +110,47 @@ def test_whole_documents(documents):
         own = {k: v for k, v in crc.items() if k[0] == d}
         assert sum(k[2] for k in own) == len(ids)
         assert all(zlib.crc32(ids[k[1] : k[1] + k[2]].tobytes()) == v for k, v in own.items())
+
+
+def test_buckets(llm, odd_docs, no_docs):
+    path = common.new_path(llm, "test-buckets")
+    packing.write_buckets(packing.pack(odd_docs, WORD_BPE, 2, 64), path)
+    key = lambda r: (str(r["doc_id"]), r["start"], r["length"], bytes(r["ids"]))
+    whole = packing.pack(odd_docs, WORD_BPE, 2, 64).collect()
+    assert sorted(map(key, packing.read_buckets(llm, path).collect())) == sorted(map(key, whole))
+    for length in (1, 64):
+        own = packing.read_buckets(llm, path, length)
+        assert own.columns == packing.pack(odd_docs, WORD_BPE, 2, 64).columns and {f"length={length}" in f for f in own.inputFiles()} >= {True}
+        assert sorted(map(key, own.collect())) == sorted(key(r) for r in whole if r["length"] == length)
+    ids = [r["sequence_id"] for r in packing.bucketed(odd_docs, WORD_BPE, 2, 64).collect()]
+    assert len(set(ids)) == len(ids) == len(whole) and packing.bucketed(no_docs, WORD_BPE, 2).count() == 0
+
+
+def test_file_numbers_of_more_digits(llm, odd_docs):
+    import os
+
+    path = common.new_path(llm, "test-file-numbers")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
+    for name, value in small.items():
+        llm.conf.set(name, value)
+    token_files.write_token_files(odd_docs, path, WORD_BPE, 2)
+    for name in small:
+        llm.conf.unset(name)
+    want = [tuple(r) for r in token_files.read_token_files(llm, path).orderBy("start").collect()]
+    names = sorted(n for n in os.listdir(path) if n.startswith("part-"))
+    assert len(names) > 2
+    for i, name in enumerate(names):  # the last range gets a number of one digit more
+        os.rename(f"{path}/{name}", f"{path}/part-{100_001 - len(names) + i:05d}-x.txt")
+    assert {len(n.split("-")[1]) for n in os.listdir(path) if n.startswith("part-")} == {5, 6}
+    assert [tuple(r) for r in token_files.read_token_files(llm, path).orderBy("start").collect()] == want
+
+
+def test_hashes_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = np.frombuffer(bytes(rng.choice(list(b"abcdefgh  \n"), 50_000)), np.uint8)
+    bounds = np.array([0, 20_000, 20_000, 50_000])
+    whole = words.words(data, bounds)
+    monkeypatch.setattr(words, "SLICE", 300)
+    assert all((a == b).all() for a, b in zip(words.words(data, bounds), whole, strict=True))
+    one = np.frombuffer(b"x" * 2000 + b" y", np.uint8)  # a word longer than a part
+    assert len(set(words.words(one, np.array([0, len(one)]))[0].tolist())) == 2

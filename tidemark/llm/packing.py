@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import common, encode
 
@@ -28,8 +29,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 4096) -> Dat
     One row for each piece of each document: doc_id, start (ids of the document before it), length (a power of two, at
     most ``limit``, itself a power of two), ids (little-endian unsigned 32-bit), doc_tokens (with the end id),
     sequence_id and offset. A document's tokens are cut into pieces of ``limit`` and then into the powers of two of the
-    rest, so a piece fills a sequence of its own length exactly: there is no padding and the offset is always 0. A batch
-    is made of sequences of one length; write the result with ``write_buckets`` to have each length in a folder.
+    rest, so a piece fills a sequence of its own length exactly: there is no padding and the offset is always 0. ``write_buckets`` puts each length in a bucket of its own.
 
     It is one narrow pass: no shuffle, whatever the size, and no document or source can make a task uneven beyond its own
     text. Sequence ids hold the task's number and a running number; they are unique, not dense.
@@ -71,5 +71,18 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 4096) -> Dat
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:
-    """Write the sequences with a folder for each length."""
-    packed.write.partitionBy("length").parquet(path)
+    """Write the sequences with a folder for each length: every task adds a file to each of at most 13 (for 4096) of them."""
+    packed.write.partitionBy("length").option("compression", "zstd").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, length: int | None = None) -> DataFrame:
+    """The sequences of all lengths, or of one, whose folder alone is read then."""
+    stored = spark.read.schema(SCHEMA).parquet(path).select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    return stored if length is None else stored.filter(F.col("length") == length)
+
+
+def bucketed(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 4096) -> DataFrame:
+    """The sequences of ``pack`` by way of their buckets: sequences of equal length lie together, none next to another length."""
+    path = common.new_path(common.ready(docs.sparkSession), "packing-buckets")
+    write_buckets(pack(docs, tokenizer, end_id, limit), path)
+    return read_buckets(docs.sparkSession, path)

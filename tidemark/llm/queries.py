@@ -108,7 +108,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def packing_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), encode.tokenizer_path(WORD_BPE), END_ID)
+    packed = packing.bucketed(table(spark, sf_dir, "documents"), encode.tokenizer_path(WORD_BPE), END_ID)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
