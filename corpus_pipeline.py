@@ -32,8 +32,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences whose lengths are powers of two."""
-    return packing.pack(docs, encode.tokenizer_path(TOKENIZER), END_ID, LIMIT)
+    """Token sequences whose lengths are powers of two, a bucket for each length."""
+    return packing.bucketed(docs, encode.tokenizer_path(TOKENIZER), END_ID, LIMIT)
 
 
 STAGES = [("quality", quality_rules), ("lines", dedup_lines), ("near copies", near_copies), ("decontamination", decontamination), ("packing", packed)]
