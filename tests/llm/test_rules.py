@@ -41,6 +41,14 @@ def test_boilerplate(llm):
     assert all(found[200 + i]["clean_text"] == rows[0][1] and found[200 + i]["kept"] for i in range(30))
 
 
+def test_boilerplate_of_a_large_host(llm):
+    rows = [(i, f"text {i} of its own\n{'banner' if i < 60 else 'rare' if i < 100 else f'x{i}'} line", "en", "a", 0) for i in range(3000)]
+    judge = lambda limit: {r["doc_id"]: r["clean_text"] for r in quality.quality(frame(llm, rows), max_docs=limit).collect()}
+    one, other = judge(50), judge(1000)  # 60 texts are 2 % of the host
+    assert {d for d in one if "banner" not in one[d] and d < 60} == set(range(60)) and all("rare" in one[d] for d in range(60, 100))
+    assert other == {d: t for d, t, *_ in rows}
+
+
 def test_kept_documents(odd_docs):
     kept = quality.kept_documents(odd_docs)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]

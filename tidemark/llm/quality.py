@@ -14,6 +14,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A line is taken for a host's boilerplate if more distinct texts of the host hold it than both limits allow.
 MIN_DOCS = 20
+MAX_DOCS = 1000  # a line in more texts of a host than that is boilerplate whatever the host's size
 MAX_SHARE = 0.05
 # A document is depleted if less than this share of its word characters is left.
 LEAST_LEFT = 0.5
@@ -93,7 +94,7 @@ def metrics(docs: DataFrame) -> DataFrame:
     return five.withColumn("base_failed", failed & (F.spark_partition_id() >= 0))
 
 
-def boilerplate(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def boilerplate(docs: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
     """
     For each text (_host, _key) that has lines over the limits: _removed (their hashes) and _removed_chars (characters of
     words in them). Documents are counted once for each distinct text of a host, so copies of a text make no boilerplate.
@@ -101,23 +102,23 @@ def boilerplate(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
     line = F.explode(lines_with_words(F.col("_text"))).alias("_line")
     lines = docs.select("_host", "_key", line).select("_host", "_key", F.xxhash64(normal_line(F.col("_line"))).alias("_line"), F.char_length(without(F.col("_line"), SPACES)).alias("_chars"))
     # A text that has many rows gives the same sums for each of them: the mean over its rows is what one row has.
-    rows = docs.groupBy("_host", "_key").agg(F.count("*").alias("_rows"))
+    rows = common.written(docs.groupBy("_host", "_key").agg(F.count("*").alias("_rows")), "host-texts")
     lines = common.written(lines.groupBy("_host", "_line", "_key").agg(F.sum("_chars").alias("_chars")), "host-lines")
     sizes = rows.groupBy("_host").agg(F.count("*").alias("_docs"))
     often = lines.groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") > min_docs)
-    often = often.join(sizes, "_host").filter(F.col("_n") > max_share * F.col("_docs")).select("_host", "_line")
+    often = often.join(sizes, "_host").filter((F.col("_n") > max_share * F.col("_docs")) | (F.col("_n") > max_docs)).select("_host", "_line")
     removed = lines.join(often, ["_host", "_line"]).groupBy("_host", "_key").agg(F.collect_set("_line").alias("_removed"), F.sum("_chars").alias("_all_chars"))
     return removed.join(rows, ["_host", "_key"]).select("_host", "_key", "_removed", (F.col("_all_chars") / F.col("_rows")).alias("_removed_chars"))
 
 
-def quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
+def quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT, max_docs: int = MAX_DOCS) -> DataFrame:
     """
     Judge every document: doc_id, text, lang, source, n_chars, then n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, removed_chars, clean_text and kept.
 
     Method: normalised lines are hashed and the distinct texts of each host (``source``) that hold them are counted. A line
-    in more than ``min_docs`` texts and more than ``max_share`` of the host's texts is boilerplate and is missing from
-    clean_text. A document is kept unless a base rule fails (fewer than 50 words, or more than half of them in repeated
+    in more than ``min_docs`` texts is boilerplate, and missing from clean_text, if it is in more than ``max_share`` of the
+    host's texts or, in a host of very many, in more than ``max_docs`` of them. A document is kept unless a base rule fails (fewer than 50 words, or more than half of them in repeated
     three-word windows) or less than ``least_left`` of its word characters are left.
 
     The text never takes part in a shuffle unless clean_text is asked for. Lines are summed for (host, line, text) before
@@ -130,7 +131,7 @@ def quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SH
     common.ready(docs.sparkSession)
     own = common.need(docs, doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
     keyed = own.select("*", F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64(F.lit(1), "source").alias("_host"), F.xxhash64(F.lit(2), "text").alias("_key"))
-    removed = boilerplate(keyed.select("_host", "_key", "_text"), min_docs, max_share)
+    removed = boilerplate(keyed.select("_host", "_key", "_text"), min_docs, max_share, max_docs)
     judged = metrics(keyed).join(removed, ["_host", "_key"], "left")
     left = F.col("word_chars") - F.coalesce("_removed_chars", F.lit(0))
     rest = F.filter(F.split("text", "\n"), lambda line: (without(line, SPACES) == "") | ~F.array_contains("_removed", F.xxhash64(normal_line(line))))

@@ -87,7 +87,7 @@ l AS (
 ),
 often AS (
   SELECT source, line FROM (SELECT source, line, count(DISTINCT text) AS n FROM l GROUP BY ALL) JOIN (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY ALL) USING (source)
-  WHERE n > 20 AND n > 0.05 * docs
+  WHERE n > 20 AND (n > 0.05 * docs OR n > 1000)
 ),
 gone AS (SELECT doc_id, sum(chars)::BIGINT AS removed_chars FROM l JOIN often USING (source, line) GROUP BY doc_id),
 j AS (
