@@ -241,11 +241,13 @@ def test_incremental_stream_keeps_to_its_range(spark, rows, tmp_path):
     state.write(spark.createDataFrame([(1, 1, "1" * 24), (2, 1, NEVER_ID)], state.schema))
     datasets = spark.createDataFrame([(i, 1, f"ds{i}", f"{target}/ds{i}") for i in (1, 2)], "iddataset bigint, datasetversion bigint, datasetcode string, folder string")
     found = []
-    for arriving, upper in (("0234", "3" * 24), ("5", "3" * 24), ("6", "6" * 24)):
-        spark.createDataFrame([(c * 24, d, 1, "speed", c) for c in arriving for d in (1, 2)], schema).coalesce(1).write.mode("append").parquet(source)
+    for arriving, upper in (("0234", "3" * 24), ("5", "3" * 24), ("6", "6" * 24), ("9", "6" * 24), ("8", "7" * 24), ("7", "8" * 24), ("", "9" * 24), ("", "9" * 24)):
+        if arriving:
+            spark.createDataFrame([(c * 24, d, 1, "speed", c) for c in arriving for d in (1, 2)], schema).coalesce(1).write.mode("append").parquet(source)
         docs = spark.readStream.schema(schema).parquet(source)
         start_incremental_export(docs, datasets, state, held, upper, check).awaitTermination()
         found.append("".join(r[0] for r in rows(read_raw_csv(spark, target, ["type"], recursive=True))))
-    assert found == ["23", "23", "23456"]  # 0 was exported before, 4 and 5 waited for a later upper id
-    assert rows(state.read()) == [(1, 1, "6" * 24), (2, 1, NEVER_ID)]
-    assert all(name.startswith(("3" * 16, "6" * 16)) for name in Files(spark).names(f"{target}/ds1"))
+    # 0 was exported before, 4 and 5 waited for a later upper id, 7 arrived after 8 and 9, and 9 came of age without new files
+    assert found == ["23", "23", "23456", "23456", "23456", "2345678", "23456789", "23456789"]
+    assert rows(state.read()) == [(1, 1, "9" * 24), (2, 1, NEVER_ID)]
+    assert all(name.startswith(tuple(c * 16 for c in "3689")) for name in Files(spark).names(f"{target}/ds1"))
