@@ -7,6 +7,7 @@ import gc
 import io
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -99,8 +100,26 @@ def discard(*tables: DataFrame) -> None:
         _written[:] = [w for w in _written if w[1] != table.written_path]
 
 
+@contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """The paths that `new_path` gives out inside the block."""
+    have, made = {path for _, path in _written}, []
+    yield made
+    made += [path for _, path in _written if path not in have]
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables that no frame will read any more; those deleted already are passed over."""
+    have = {path for _, path in _written}
+    for path in paths:
+        if path in have:
+            delete_path(spark, path)
+    gone = set(paths)
+    _written[:] = [w for w in _written if w[1] not in gone]
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now, not whenever the driver happens to collect its garbage."""
+    """A workaround: let Spark delete the shuffle files of finished jobs now, not whenever the driver happens to collect its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
