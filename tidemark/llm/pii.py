@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from typing import NamedTuple
 
 import numpy as np
@@ -14,7 +16,7 @@ from tidemark.llm import common
 from tidemark.llm.pii_model import KINDS, LENGTH, Tagger, symbols
 
 TRAIN_DOCS = 600  # documents the tagger is trained on, at most
-TRAIN_WINDOWS = 3000  # and windows of them
+TRAIN_WINDOWS = 5000  # and windows of them, one in five without a span
 SURE = 0.95  # least probability of every character's tag in an added span
 STRIDE = LENGTH // 2
 BLANK = int(symbols(" ")[0])
@@ -120,22 +122,37 @@ def tag_row(n: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
     return tags
 
 
+SYLLABLES = ("an", "be", "co", "da", "el", "fo", "gu", "ha", "in", "jo", "ka", "lu", "me", "no", "or", "pa", "qui", "ra", "so", "te", "un", "vi", "wo", "xe", "ya", "zu")
+ENDINGS = ("com", "org", "net", "edu", "de", "fr", "io", "info", "co.uk")
+
+
+def made_up(rng: random.Random, most: int = 4) -> str:
+    name = "".join(rng.choice(SYLLABLES) for _ in range(rng.randrange(1, most)))
+    return name + rng.choice(("", "", str(rng.randrange(100))))
+
+
+def form(kind: int, own: str, rng: random.Random) -> str:
+    """A span in one of the other ways in which people write its kind, e-mails with names and hosts of any kind."""
+    d = digits(own)
+    if kind == 0:
+        local = rng.choice((own.partition("@")[0], made_up(rng), f"{made_up(rng)}.{made_up(rng)}", f"{made_up(rng)}_{made_up(rng)}"))
+        host = rng.choice(("", "", "mail.", f"mail{rng.randrange(10)}.", f"{made_up(rng)}.")) + made_up(rng) + "." + rng.choice(ENDINGS)
+        return local + rng.choice((" @ ", "(@)", "[@]")) + host
+    if kind == 1:
+        return rng.choice((" . ", "[.]", "(.)")).join(own.split("."))
+    if kind == 2:
+        return rng.choice((".", " . ", "_")).join(d[i : i + 4] for i in range(0, len(d), 4))
+    bare = d[-10:]
+    return rng.choice(("00" + own[1:], f"({bare[:3]}) {bare[3:6]}-{bare[6:]}", f"{bare[:3]} {bare[3:6]} {bare[6:]}", own.replace("-", ".").replace("+", "")))
+
+
 def rewritten(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text with its spans written in another of the usual ways, so that the tagger does not only know the base patterns."""
-    out, new, at, size = [], [], 0, 0
+    """The text with each of its spans in another form, chosen by the turn, so that the tagger does not only know the base patterns."""
+    out, new, at, size, rng = [], [], 0, 0, random.Random(turn)
     for kind, a, b in sorted(spans, key=lambda s: s[1]):
         if a < at:
             continue
-        own = text[a:b]
-        if kind == 3:
-            own = ("00" + own[1:], own[1:].lstrip("0123456789 ").strip() or own, own.replace("-", ".").replace("+", ""))[turn % 3]
-        elif kind == 2:
-            d = digits(own)
-            own = (".", " . ", "_")[turn % 3].join(d[i : i + 4] for i in range(0, len(d), 4))
-        elif kind == 1:
-            own = (" . ", "[.]", "(.)")[turn % 3].join(own.split("."))
-        else:
-            own = own.replace("@", (" @ ", "(@)", "[@]")[turn % 3])
+        own = form(kind, text[a:b], rng)
         out += [text[at:a], own]
         size += a - at
         new.append((kind, size, size + len(own)))
@@ -145,10 +162,14 @@ def rewritten(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[
 
 
 def labelled(texts: list[str], limit: int = TRAIN_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and tags from base spans, and again with the spans rewritten; windows without a span stay as they are."""
+    """
+    Windows and tags from base spans, and twice again with the spans rewritten, as a hash of the text says, whatever texts are
+    labelled with it; windows without a span stay as they are.
+    """
     ids, tags = [], []
-    for k, text in enumerate(texts):
-        for turn in (None, k):
+    for text in texts:
+        turn = zlib.crc32(text.encode())
+        for turn in (None, turn, turn + 1):
             spans = base_spans(text)
             # A shorter kind inside a longer one would clear its tags: longer ones are written last.
             own, spans = (text, spans) if turn is None else rewritten(text, spans, turn)
@@ -170,7 +191,8 @@ def labelled(texts: list[str], limit: int = TRAIN_WINDOWS) -> tuple[np.ndarray,
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Tagger | None:
     """
     A tagger trained on the base spans of at most ``train_docs`` documents that have a digit or at sign, the first by a
-    hash of the row; None if they hold no span. Long texts give their whole windows, of which at most 3,000 are used.
+    hash of the row; None if they hold no span. A long text gives at most a tenth of
+    TRAIN_WINDOWS windows, and at most TRAIN_WINDOWS are used in all.
     """
     signed = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text", "doc_id").alias("place"))
     # The hashes alone are ordered; texts are read again for the few that are chosen.
@@ -189,9 +211,12 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Tagger | None:
         return None
     ids = np.concatenate([np.frombuffer(r["ids"], np.int16).reshape(-1, LENGTH) for r in found])
     tags = np.concatenate([np.frombuffer(r["tags"], np.int8).reshape(-1, LENGTH) for r in found]).astype(np.int64)
-    order = np.random.default_rng(3).permutation(len(ids))[:TRAIN_WINDOWS]
-    if not tags[order].any():
+    order = np.random.default_rng(3).permutation(len(ids))
+    spanned = tags[order].any(axis=1)
+    if not spanned.any():
         return None
+    order = np.concatenate((order[spanned][: TRAIN_WINDOWS - TRAIN_WINDOWS // 5], order[~spanned][: TRAIN_WINDOWS // 5]))
+    order = np.random.default_rng(4).permutation(order)
     tagger = Tagger()
     tagger.fit(ids[order].astype(np.int64), tags[order])
     return tagger
