@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harness.queries_core import OWNED, UNOWNED
 from harness.registry import plain_types, query
 from harness.views import DUCK_VIEWS, Inputs
-from tidemark.plans import catalog, governance, metadata, reports, space
+from tidemark.plans import catalog, governance, marts, metadata, reports, space
 from tidemark.session import scratch_path
-from tidemark.sinks.csv_out import write_report
 from tidemark.sinks.tables import save_table, snapshot
 from tidemark.sources.listing import parse_collection_listing, parse_stage_listing
 
 YEAR = 2000  # the year the usage register reports on
+OWN_DATABASES, SERVING_ROOT = ["db_log"], "/serving"
 
 # ---------------------------------------------------------------- oracle pieces
 
@@ -135,115 +137,86 @@ FROM {x_tenant} LEFT JOIN facts USING (tenantcode) LEFT JOIN multi USING (tenant
 # ---------------------------------------------------------------- frames of the governance jobs
 
 
-class Governance:
-    """The marts over one set of inputs; each is built from the ones it needs."""
-
-    def __init__(self, t: Inputs):
-        self.t = t
-
-    def info(self) -> DataFrame:
-        return governance.tenant_info(self.t("x_tenant"), self.t("x_dataset"), self.t("x_serving_dim"))
-
-    def tables(self) -> DataFrame:
-        return catalog.table_sizes(self.t("x_catalog"), self.t("x_dataset"), self.t("x_owner"), ["db_log"])
-
-    def lake(self) -> DataFrame:
-        return governance.lake_mb(self.t("x_tenant"), self.tables())
-
-    def csv(self) -> DataFrame:
-        return governance.csv_mb(self.t("x_tenant"), self.t("x_dataset"), self.t("x_dim_dataset"))
-
-    def binary(self) -> DataFrame:
-        return governance.binary_mb(self.t("x_tenant"), self.t("x_dataset"), self.t("x_dim_dataset"))
-
-    def bytes(self) -> DataFrame:
-        return space.collection_bytes(self.t("x_dataset"), parse_collection_listing(self.t("x_space"), "/serving"))
-
-    def serving(self) -> DataFrame:
-        return governance.serving_mb(self.t("x_tenant"), self.t("x_dataset"), self.t("x_serving_dim"), self.bytes())
-
-    def stage_bytes(self) -> DataFrame:
-        return parse_stage_listing(self.t("x_stage"))
-
-    def stage(self) -> DataFrame:
-        return governance.stage_mb(self.t("x_tenant"), self.stage_bytes())
+_SOURCE_NAMES = {
+    "tenants": "x_tenant", "datasets": "x_dataset", "streams": "x_stream", "serving_dim": "x_serving_dim", "dataset_sizes": "x_dim_dataset",
+    "catalog": "x_catalog", "owners": "x_owner", "space_lines": "x_space", "stage_lines": "x_stage", "calls": "x_calls", "register": "x_register",
+}
+_LOADS = ("2024-01-01 02:00:00", "2024-01-02 02:00:00")
 
-    def objects(self) -> DataFrame:
-        return governance.object_counts(self.t("x_tenant"), self.t("x_stream"))
 
-    def card(self) -> DataFrame:
-        return governance.tenant_card(
-            self.info(), self.lake(), self.csv(), self.binary(), self.serving(), self.stage(), self.objects()
-        )
+class Governance:
+    """The governance marts over one set of inputs."""
 
-    def monthly(self) -> DataFrame:
-        return governance.calls_monthly(self.t("x_calls"))
+    def __init__(self, t: Inputs):
+        self.t, self.root = t, scratch_path(t.spark, "marts")
+        self.marts = marts.governance_marts(YEAR, OWN_DATABASES, SERVING_ROOT)
+        self.mart = marts.planned(self.marts, self.source)
 
-    def calls(self) -> DataFrame:
-        return governance.calls(self.monthly(), self.info())
+    def source(self, name: str) -> DataFrame:
+        return self.t(_SOURCE_NAMES[name])
 
-    def listed(self) -> DataFrame:
-        return governance.dataset_list(self.t("x_tenant"), self.t("x_dataset"))
+    def load(self, load_time: str, *wanted: str) -> marts.Frames:
+        return marts.load_marts(self.t.spark, self.marts, self.source, self.root, load_time, self.prefix(), wanted or None)
 
-    def usage(self) -> DataFrame:
-        return governance.usage_register(self.card(), self.listed(), self.calls(), self.t("x_register"), YEAR)
+    def prefix(self) -> str:
+        return f"g{self.root[-32:]}_"
 
-    def records(self) -> DataFrame:
-        t = self.t
-        return governance.records_by_tenant(
-            t("x_tenant"), t("x_dataset"), t("x_dim_dataset"), t("x_serving_dim"), self.listed()
-        )
+    def report(self, name: str) -> DataFrame:
+        """A report, written and read back, nulls being empty text."""
+        written = marts.export_reports(self.mart, f"{self.root}/reports", _LOADS[1], [name])
+        reader = self.t.spark.read.option("header", True).option("sep", ";").option("escape", '"').option("multiLine", True)
+        return reader.csv(written[name]).fillna("")
 
 
 @query("tenant_info", TENANT_INFO)
 def tenant_info(t: Inputs) -> DataFrame:
-    return Governance(t).info()
+    return governance.tenant_info(t("x_tenant"), t("x_dataset"), t("x_serving_dim"))
 
 
 @query("catalog_sizes_flagged", TABLE_SIZES)
 def catalog_sizes_flagged(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "mart")
-    return save_table(Governance(t).tables(), f"table_sizes_{path[-32:]}", path)
+    return save_table(Governance(t).mart("info_dim_hive_table_tenant"), f"table_sizes_{path[-32:]}", path)
 
 
 @query("size_mb_by_tenant", LAKE_MB)
 def size_mb_by_tenant(t: Inputs) -> DataFrame:
-    return Governance(t).lake()
+    return governance.lake_mb(t("x_tenant"), catalog.table_sizes(t("x_catalog"), t("x_dataset"), t("x_owner"), OWN_DATABASES))
 
 
 @query("csv_size_by_tenant", CSV_MB)
 def csv_size_by_tenant(t: Inputs) -> DataFrame:
-    return Governance(t).csv()
+    return governance.csv_mb(t("x_tenant"), t("x_dataset"), t("x_dim_dataset"))
 
 
 @query("binary_size", BINARY_MB)
 def binary_size(t: Inputs) -> DataFrame:
-    return Governance(t).binary()
+    return governance.binary_mb(t("x_tenant"), t("x_dataset"), t("x_dim_dataset"))
 
 
 @query("collection_bytes", COLLECTION_BYTES)
 def collection_bytes(t: Inputs) -> DataFrame:
-    return Governance(t).bytes()
+    return space.collection_bytes(t("x_dataset"), parse_collection_listing(t("x_space"), SERVING_ROOT))
 
 
 @query("prorated_size", SERVING_MB)
 def prorated_size(t: Inputs) -> DataFrame:
-    return Governance(t).serving()
+    return governance.serving_mb(t("x_tenant"), t("x_dataset"), t("x_serving_dim"), Governance(t).mart("solr_tot_bytes"))
 
 
 @query("stage_bytes", STAGE_BYTES)
 def stage_bytes(t: Inputs) -> DataFrame:
-    return Governance(t).stage_bytes()
+    return parse_stage_listing(t("x_stage"))
 
 
 @query("stage_size_by_tenant", STAGE_MB)
 def stage_size_by_tenant(t: Inputs) -> DataFrame:
-    return Governance(t).stage()
+    return governance.stage_mb(t("x_tenant"), parse_stage_listing(t("x_stage")))
 
 
 @query("distinct_counts", OBJECT_COUNTS)
 def distinct_counts(t: Inputs) -> DataFrame:
-    return Governance(t).objects()
+    return governance.object_counts(t("x_tenant"), t("x_stream"))
 
 
 _TOTAL = 'CAST(round("dimTotale" * 10) AS bigint) AS tenths'
@@ -251,38 +224,38 @@ _TOTAL = 'CAST(round("dimTotale" * 10) AS bigint) AS tenths'
 
 @query("tenant_sizes_total", f'SELECT * EXCLUDE ("dimTotale"), {_TOTAL} FROM {{o_card}}')
 def tenant_sizes_total(t: Inputs) -> DataFrame:
-    card = Governance(t).card()
+    card = Governance(t).mart("info_tenant_completo")
     return card.withColumn("tenths", F.round(F.col("dimTotale") * 10).cast("bigint")).drop("dimTotale")
 
 
 @query("calls_monthly", "SELECT * REPLACE (CAST(ultima_chiamata AS string) AS ultima_chiamata) FROM {o_monthly}")
 def calls_monthly(t: Inputs) -> DataFrame:
-    return plain_types(Governance(t).monthly())
+    return plain_types(governance.calls_monthly(t("x_calls")))
 
 
 @query("calls_yearly_avg", "SELECT * REPLACE (CAST(ultima_chiamata AS string) AS ultima_chiamata) FROM {o_calls}")
 def calls_yearly_avg(t: Inputs) -> DataFrame:
-    return plain_types(Governance(t).calls())
+    return plain_types(Governance(t).mart("info_chiamate_mese"))
 
 
 @query("yearly_calls", f"SELECT DISTINCT tenantcode, media_chiamate_anno AS odata FROM {{o_calls}} WHERE anno = {YEAR}")
 def yearly_calls(t: Inputs) -> DataFrame:
-    return governance.calls_of_year(Governance(t).calls(), YEAR)
+    return governance.calls_of_year(Governance(t).mart("info_chiamate_mese"), YEAR)
 
 
 @query("dataset_list", DATASET_LIST)
 def dataset_list(t: Inputs) -> DataFrame:
-    return Governance(t).listed()
+    return governance.dataset_list(t("x_tenant"), t("x_dataset"))
 
 
 @query("ordered_list", DATASET_LIST)
 def ordered_list(t: Inputs) -> DataFrame:
-    return reports.report_datasets(Governance(t).listed())
+    return reports.report_datasets(governance.dataset_list(t("x_tenant"), t("x_dataset")))
 
 
 @query("usage_register", f'SELECT * EXCLUDE ("dimTotale"), {_TOTAL} FROM {{o_usage}}')
 def usage_register(t: Inputs) -> DataFrame:
-    usage = Governance(t).usage()
+    usage = Governance(t).mart("info_registro_fruizione")
     return usage.withColumn("tenths", F.round(F.col("dimTotale") * 10).cast("bigint")).drop("dimTotale")
 
 
@@ -291,20 +264,12 @@ def usage_register(t: Inputs) -> DataFrame:
     "SELECT * REPLACE (CAST(last_update_speedlayer AS string) AS last_update_speedlayer) FROM {o_records}",
 )
 def records_by_tenant(t: Inputs) -> DataFrame:
-    return plain_types(Governance(t).records())
+    return plain_types(Governance(t).mart("info_dim_dataset_tenant"))
 
 
 # ---------------------------------------------------------------- reports
 
 
-def _reread(t: Inputs, report: DataFrame) -> DataFrame:
-    """Write the report and read its text back, nulls being empty text."""
-    path = scratch_path(t.spark, "report")
-    write_report(report, path)
-    reader = t.spark.read.option("header", True).option("sep", ";").option("escape", '"').option("multiLine", True)
-    return reader.csv(path).fillna("")
-
-
 def _number(name: str, scale: int):
     """A decimal-comma text as a whole number of the given fraction, so that both engines compare exactly."""
     value = F.translate(F.nullif(F.col(name), F.lit("")), ",", ".").cast("double")
@@ -321,7 +286,7 @@ def _text(*names: str) -> str:
         CAST(round("dimTotale" * 10) AS bigint) AS "dimTotale", CAST(round(odata * 1000000) AS bigint) AS odata FROM {{o_usage}}""",
 )
 def report_register(t: Inputs) -> DataFrame:
-    report = _reread(t, reports.report_register(Governance(t).usage(), t("x_register")))
+    report = Governance(t).report("registro_di_fruizione")
     return report.withColumns({"dimTotale": _number("dimTotale", 10), "odata": _number("odata", 1_000_000)})
 
 
@@ -335,7 +300,7 @@ _SIZES = '"hive_dim_MB" "hdfs_csv_dim_MB" "bin_dim_MB" solrtenantcollmb hdfs_sta
         CAST(round("dimTotale" * 10) AS bigint) AS "dimTotale" FROM {{o_card}}""",
 )
 def report_sizes(t: Inputs) -> DataFrame:
-    return _reread(t, reports.report_sizes(Governance(t).card())).withColumn("dimTotale", _number("dimTotale", 10))
+    return Governance(t).report("dimensioni_tenant").withColumn("dimTotale", _number("dimTotale", 10))
 
 
 @query(
@@ -346,8 +311,7 @@ def report_sizes(t: Inputs) -> DataFrame:
         FROM {{o_calls}} c JOIN {{o_usage}} u ON u.tenantcode = c.tenantcode WHERE tenantname <> ''""",
 )
 def report_calls(t: Inputs) -> DataFrame:
-    marts = Governance(t)
-    report = _reread(t, reports.report_calls(marts.calls(), marts.usage()))
+    report = Governance(t).report("report_chiamate")
     last = F.substring("ultima_chiamata", 1, 19)
     return report.withColumns({"media_al_sec": _number("media_al_sec", 10**12), "ultima_chiamata": last})
 
@@ -358,7 +322,7 @@ def report_calls(t: Inputs) -> DataFrame:
         FROM {{o_list}}""",
 )
 def report_datasets(t: Inputs) -> DataFrame:
-    return _reread(t, reports.report_datasets(Governance(t).listed()))
+    return Governance(t).report("report_elenco_dataset")
 
 
 @query(
@@ -367,10 +331,46 @@ def report_datasets(t: Inputs) -> DataFrame:
         coalesce(strftime(last_update_speedlayer, '%Y-%m-%dT%H:%M:%S'), '') AS last_update_speedlayer FROM {{o_records}}""",
 )
 def report_records(t: Inputs) -> DataFrame:
-    report = _reread(t, reports.report_records(Governance(t).records()))
+    report = Governance(t).report("report_dim_dataset_tenant")
     return report.withColumn("last_update_speedlayer", F.substring("last_update_speedlayer", 1, 19))
 
 
+# what each mart says of a tenant after the second load, read through the views; the histories hold both loads
+_SAYS = {
+    "info_tenant": ("o_info", "count(dataultimoaggiornamento)"),
+    "info_dim_hive_table_tenant": ("o_tables", "count(*)"),
+    "info_tenant_completo": ("o_card", 'CAST(round(max(dimTotale) * 10) AS bigint)'),
+    "info_chiamate_mese": ("o_calls", "CAST(sum(num_chiamate_mese) AS bigint)"),
+    "info_elenco_dataset": ("o_list", "CAST(sum(codice_dataset) AS bigint)"),
+    "info_registro_fruizione": ("o_usage", "max(dataset)"),
+    "info_dim_dataset_tenant": ("o_records", "max(num_records_hdfs)"),
+}
+_KEPT = {"solr_tot_bytes": ("o_bytes", "count(solr_byte)"), "area_stage_bytes": ("o_stage_bytes", "CAST(sum(CAST(byte AS bigint)) AS bigint)")}
+
+
+def _told(mart: str, table: str, value: str, load: str = "NULL") -> str:
+    return f"SELECT '{mart}' AS mart, {load} AS load_time, tenantcode, {value} AS value FROM {table} GROUP BY tenantcode"
+
+
+@query(
+    "governance_load",
+    " UNION ALL ".join(
+        [_told(mart, f"{{{view}}}", value) for mart, (view, value) in _SAYS.items()]
+        + [_told(mart, f"{{{view}}}", value, f"'{load}'") for mart, (view, value) in _KEPT.items() for load in _LOADS]
+    ),
+)
+def governance_load(t: Inputs) -> DataFrame:
+    g = Governance(t)
+    g.load(_LOADS[0], *_KEPT)
+    g.load(_LOADS[1])
+    g.load(_LOADS[1])  # finds all its marts complete and changes nothing
+    told = [t.spark.sql(_told(mart, g.prefix() + mart, value, "CAST(NULL AS string)")) for mart, (_, value) in _SAYS.items()]
+    for mart, (_, value) in _KEPT.items():
+        history = marts.history(t.spark, g.root, mart).groupBy(F.col("ts_inserimento").cast("string").alias("load_time"), "tenantcode")
+        told.append(history.agg(F.expr(value).alias("value")).select(F.lit(mart).alias("mart"), "load_time", "tenantcode", "value"))
+    return reduce(DataFrame.unionByName, told)
+
+
 # ---------------------------------------------------------------- metadata marts
 
 _SOURCES = (
@@ -493,8 +493,6 @@ def mart_api(t: Inputs) -> DataFrame:
     return metadata.mart_api(_catalogue(t))
 
 
-_LOADS = ("2024-01-01 02:00:00", "2024-01-02 02:00:00")
-
 
 @query(
     "snapshot_history",

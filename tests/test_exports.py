@@ -261,8 +261,8 @@ def test_listing(spark, rows, raw):
 def test_report_text(spark, tmp_path):
     df = spark.createDataFrame([("a;b", None, 1)], "x string, y string, n int")
     write_report(df, str(tmp_path / "r"), single_file=True)
-    part, = (tmp_path / "r").glob("part-*.csv")
-    assert part.read_text() == '"x";"y";"n"\n"a;b";"";"1"\n'
+    part, = (tmp_path / "r").glob("part-*.txt")
+    assert part.read_text() == '"x";"y";"n"\n"a;b";;1\n'
 
 
 def test_write_tasks(spark):

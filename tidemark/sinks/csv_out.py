@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.files import Files
 from tidemark.functions.objectid import part_id
@@ -96,13 +97,46 @@ def final_names(files: DataFrame, folder: Column, oid: Column, code: Column, ver
     return files.select(F.col("file").alias("source"), F.concat_ws("/", folder, name).alias("target"))
 
 
+# as the CSV writer prints times with and without a zone
+TIMES = {T.TimestampType: "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", T.TimestampNTZType: "yyyy-MM-dd'T'HH:mm:ss.SSS"}
+
+
+def report_lines(df: DataFrame, sep: str = ";") -> tuple[str, Column]:
+    """Header and the line of each row: text, times and flags between quotes, numbers without, nulls as nothing.
+
+    Quotes inside a value are doubled, so empty text (``""``) and null stay apart.
+    """
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    values = []
+    for field in df.schema:
+        value = F.col(f"`{field.name}`")
+        time = TIMES.get(type(field.dataType))
+        text = F.date_format(value, time) if time else value.cast("string")
+        values.append(F.coalesce(text if isinstance(field.dataType, T.NumericType) else quoted(text), F.lit("")))
+    names = sep.join('"' + c.replace('"', '""') + '"' for c in df.columns)
+    return names, F.concat_ws(sep, *values)
+
+
+_LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row's place in its partition there
+
+
 def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Semicolon separated report, nulls as empty text.
+    """Semicolon separated report, values by their types (see ``report_lines``), in the report's order, each file with a header.
 
-    The built-in writer cannot quote text only, so every value is quoted. ``single_file`` gathers the finished
-    report (one row per tenant or month, not data rows) in one file, in the report's order: a sorted frame has its
-    ranges in its partitions, which are put together one after another.
+    ``single_file`` gathers the finished report (a row per tenant, month or data set) in one file: its rows are numbered in
+    their order, which the one writing task sorts them by. Otherwise each file holds one range of the order. A report without
+    rows is one file that holds the header.
     """
-    rows = df.coalesce(1) if single_file else df
-    writer = rows.write.mode("overwrite").option("header", True).option("sep", ";").option("quoteAll", True)
-    writer.option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)
+    header, line = report_lines(df)
+    lines = df.select(line.alias("value"), F.monotonically_increasing_id().alias("place"))
+    if single_file:
+        lines = lines.repartition(1).sortWithinPartitions("place").select("value", F.monotonically_increasing_id().alias("place"))
+    first = F.col("place").bitwiseAND(_LOW_BITS) == 0
+    headed = lines.select(F.when(first, F.concat_ws("\n", F.lit(header), "value")).otherwise(F.col("value")).alias("value"))
+    headed.write.mode("overwrite").option("compression", "none").text(path)
+    files = Files(df.sparkSession)
+    if not any(f["length"] for f in files.details(path)):
+        files.write_text(f"{path}/part-header.txt", header + "\n")
