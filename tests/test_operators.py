@@ -66,6 +66,34 @@ def test_dense_row_ids_with_one_hot_value_and_empty_parts(spark):
     assert with_dense_row_id(df.where("k = 2"), "n").count() == 0
 
 
+@pytest.mark.parametrize("ranges, few_files", [(1, 0), (1, 1000), (200, 0), (200, 1000)])
+def test_dense_row_ids_over_ranges(spark, ranges, few_files):
+    df = spark.range(0, 2000, 1, 9).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("_metadata"), F.lit("x").alias("a.b"))
+    found = with_dense_row_id(df, "n", ["k"], ranges, few_files=few_files)
+    assert found.columns == ["k", "_metadata", "a.b", "n"]
+    got = [(r["k"], r["_metadata"]) for r in found.orderBy("n").collect()]
+    assert [r["n"] for r in found.orderBy("n").collect()] == list(range(1, 2001))
+    assert got == sorted((7 if i % 3 == 0 else i % 50, i) for i in range(2000))  # equal rows in the order of arrival
+
+
+def test_dense_row_ids_spread_one_hot_value(spark):
+    df = spark.range(0, 3000, 1, 6).select(F.lit(1).alias("k"), "id")
+    found = with_dense_row_id(df, "n", ["k"], rows_per_range=300)
+    per_file = [spark.read.parquet(f).count() for f in found.inputFiles() if "rowid-offsets" not in f]
+    assert len(per_file) >= 8 and max(per_file) < 1000
+    assert [r["id"] for r in found.orderBy("n").collect()] == list(range(3000))
+
+
+def test_dense_row_ids_over_several_files_of_a_task(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        found = with_dense_row_id(spark.range(0, 2500, 1, 2), "n", ["id"], 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(found.inputFiles()) >= 250
+    assert [(r["id"], r["n"]) for r in found.orderBy("n").collect()] == [(i, i + 1) for i in range(2500)]
+
+
 def test_merges(spark, rows):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
