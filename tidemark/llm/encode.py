@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from tidemark.llm import common, words
 
@@ -21,6 +25,10 @@ _THREE = np.zeros(256, bool)
 _THREE[0xE1:0xF0] = True
 CACHE = 1 << 20  # pieces remembered by one Python worker, about 40 bytes each
 JOINED = 256  # pieces encoded in one call
+HELD = 1 << 25  # characters of pre-tokens remembered by one Python worker
+
+# Fixed value: the split pattern of byte-level tokenizers, as it reads for ASCII.
+ASCII_SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 
 
 def tokenizer_path(name: str) -> str:
@@ -101,6 +109,10 @@ class Encoder:
             sizes.append([len(ids[-1])])
         return joined + alone, np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
 
+    def full(self, more: int) -> bool:
+        """Whether so many pieces more are too many, or the ids of those met are: a text without white space is one piece."""
+        return sum(len(t[0]) for t in self.tiers) + more > self.cache or self.used > 16 * self.cache
+
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts, sizes, known = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         for own, at, n in self.tiers:
@@ -133,7 +145,7 @@ class Encoder:
         """Ids and bounds of the rows, slice by slice; ``end`` is appended to every row."""
         for _, _, own, edges, hashes, firsts in pieces(data, bounds):
             codes, keys = pd.factorize(hashes)
-            if sum(len(t[0]) for t in self.tiers) + len(keys) > self.cache:
+            if self.full(len(keys)):
                 self.clear()
             starts, sizes, known = self.look(keys)
             if not known.all():
@@ -153,7 +165,76 @@ class Encoder:
             yield ids, rows
 
 
+class PreTokens(Encoder):
+    """
+    Pre-tokens of texts, as the tokenizer's own pre-tokenizer cuts them: ``encode`` gives their numbers, ``names`` their
+    texts and ``keys`` the hashes of these, valid until the next slice is asked for. Special strings are pre-tokens of their
+    own. Only byte-level pre-tokenizers without a normalizer are taken apart; with any other a piece stays whole.
+    """
+
+    def __init__(self, path: str, cache: int = CACHE >> 2):
+        super().__init__(path, cache)
+        with open(path) as file:
+            settings = json.load(file)
+        added = settings.get("added_tokens") or []
+        own = settings.get("pre_tokenizer") or {}
+        plain = not any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+        split = own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
+        self.taken_apart = plain and split and settings.get("normalizer") is None
+        contents = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, contents)) or '(?!)'})")
+        self.ascii = re.compile(ASCII_SPLIT)
+
+    def clear(self):
+        super().clear()
+        self.numbers: dict[str, int] = {}
+        self.names: list[str] = []
+        self.keys = np.zeros(0, np.uint64)
+        self.held = 0
+
+    def full(self, more: int) -> bool:
+        return super().full(more) or len(self.names) > self.cache or self.held > HELD
+
+    def split(self, text: str) -> list[str]:
+        if not self.taken_apart:
+            return [text]
+        out = []
+        for i, part in enumerate(self.special.split(text)):
+            if i % 2:
+                out.append(part)
+            elif part.isascii():
+                out += self.ascii.findall(part)
+            else:
+                out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
+        return out
+
+    def fresh(self, texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Order, numbers of pre-tokens and their counts; pieces that can be joined are split as one text, ASCII apart from others."""
+        joined = [i for i, t in enumerate(texts) if self.taken_apart and t[0] in " \t\n\r" and not t[-1].isspace()]
+        simple = [i for i in joined if texts[i].isascii()]
+        rest = sorted(set(joined).difference(simple))
+        alone = sorted(set(range(len(texts))).difference(joined))
+        parts, sizes = [], []
+        for members, at_once in ((simple, JOINED), (rest, JOINED), (alone, 1)):
+            for at in range(0, len(members), at_once):
+                group = [texts[i] for i in members[at : at + at_once]]
+                got = self.split("".join(group))
+                begins = np.cumsum([0, *map(len, got)])[:-1]
+                edges = np.cumsum([0, *map(len, group)])
+                sizes.append(np.diff(np.searchsorted(begins, edges, "left")))
+                parts += got
+        numbers = np.array([self.numbers.setdefault(part, len(self.numbers)) for part in parts], np.uint32)
+        new = list(islice(self.numbers, len(self.names), None))
+        if new:
+            data, bounds = common.text_buffer(pa.array(new, pa.string()))
+            self.keys = np.concatenate((self.keys, words.span_hashes(data, bounds[:-1], bounds[1:])))
+            self.names += new
+            self.held += sum(map(len, new))
+        return simple + rest + alone, numbers, np.concatenate(sizes).astype(np.int64)
+
+
 _encoders: dict[str, Encoder] = {}
+_splitters: dict[str, PreTokens] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -161,3 +242,10 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def splitter(path: str) -> PreTokens:
+    """The splitter of this Python worker, which goes on from task to task."""
+    if path not in _splitters:
+        _splitters[path] = PreTokens(path)
+    return _splitters[path]

@@ -17,7 +17,8 @@ COMMON = 1 << 19  # counts of the commonest pre-tokens sent to every task: at mo
 def count_tokens(docs: DataFrame, tokenizer: str, common_pieces: int = COMMON) -> DataFrame:
     """
     doc_id, n_bytes (UTF-8) and n_tokens of every text, as the tokenizers library counts them, without special tokens of
-    its own. A pre-token is a stretch of text between two places where a character is followed by white space.
+    its own. Pre-tokens are those of the library's byte-level pre-tokenizer, also in texts without white space; with
+    another kind of tokenizer, stretches of text between two places where a character is followed by white space.
 
     1. Distinct pre-tokens with their frequencies, added up before and after one shuffle.
     2. The library counts the tokens of each distinct pre-token once; the table is written.
@@ -32,17 +33,14 @@ def count_tokens(docs: DataFrame, tokenizer: str, common_pieces: int = COMMON) -
     docs = common.need(docs, doc_id="bigint", text="string")
 
     def distinct(batches):
+        splitter = encode.splitter(tokenizer)
         for batch in batches:
             data, bounds = common.text_buffer(batch.column("text"))
-            for _, _, own, edges, hashes, _ in encode.pieces(data, bounds):
-                codes, keys = pd.factorize(hashes)
-                if not len(keys):
-                    continue
-                where = np.zeros(len(keys), np.int64)
-                where[codes[::-1]] = np.arange(len(codes))[::-1]
-                raw = own.tobytes()
-                texts = pa.array([raw[edges[i] : edges[i + 1]] for i in where], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([texts, pa.array(np.bincount(codes, minlength=len(keys)))], ["piece", "n"])
+            for numbers, _ in splitter.encode(data, bounds):
+                n = np.bincount(numbers)
+                found = np.flatnonzero(n)
+                texts = [splitter.names[i] for i in found.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(n[found])], ["piece", "n"])
 
     def counted(batches):
         encoder = encode.Encoder(tokenizer)
@@ -71,10 +69,14 @@ def count_tokens(docs: DataFrame, tokenizer: str, common_pieces: int = COMMON) -
     def known(batches):
         keys, tokens = sent.value
         number = TaskContext.get().partitionId() << 40
+        splitter = encode.splitter(tokenizer)
         for batch in batches:
             data, bounds = common.text_buffer(batch.column("text"))
-            for a, b, _, _, hashes, firsts in encode.pieces(data, bounds):
-                codes, own = pd.factorize(hashes)
+            b = 0
+            for numbers, firsts in splitter.encode(data, bounds):
+                a, b = b, b + len(firsts) - 1
+                codes, own = pd.factorize(numbers)
+                own = splitter.keys[own]
                 at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
                 hit = keys[at] == own if len(keys) else np.zeros(len(own), bool)
                 counts = np.where(hit, tokens[at] if len(keys) else 0, 0).astype(np.int64)[codes]
