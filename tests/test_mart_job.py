@@ -111,3 +111,13 @@ def test_dated_reports_in_order(spark, tmp_path):
     part, = (tmp_path / "dimensioni_tenant_20240304_050607").glob("part-*")
     lines = part.read_text().splitlines()
     assert len(lines) == 201 and lines[1] == '"T00000";"1,5";"1,5";"1,5";"1,5";"1,5";1;1;1;"1,5"' and lines[1:] == sorted(lines[1:])
+
+
+def test_large_single_file_report_is_cut_into_ranges(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 3).select(F.concat(F.lit("x" * 50), F.col("id")).alias("t"), F.col("id").alias("n"))
+    write_report(df.orderBy(F.desc("n")), str(tmp_path / "r"), single_file=True, bytes_per_file=10_000)
+    texts = [p.read_text().splitlines() for p in sorted((tmp_path / "r").glob("part-*"))]
+    assert len(texts) == 6
+    assert all(t[0] == '"t";"n"' for t in texts)
+    assert max(map(len, texts)) < 300
+    assert [int(line.rsplit(";", 1)[1]) for t in texts for line in t[1:]] == list(range(999, -1, -1))
