@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import marts
+from tidemark.plans import marts, reports
 from tidemark.plans.marts import Mart
 from tidemark.sinks.csv_out import write_report
 
@@ -121,3 +121,15 @@ def test_large_single_file_report_is_cut_into_ranges(spark, tmp_path):
     assert all(t[0] == '"t";"n"' for t in texts)
     assert max(map(len, texts)) < 300
     assert [int(line.rsplit(";", 1)[1]) for t in texts for line in t[1:]] == list(range(999, -1, -1))
+
+
+def test_report_of_equal_call_rates_has_an_order_to_cut(spark):
+    calls = spark.range(0, 2000, 1, 4).selectExpr("concat('T', id) AS tenantcode", "2000L AS anno", "1L AS mese", "1L AS num_chiamate_mese", "1L AS fruitori_distinti",
+                                                  "0.5D AS media_al_sec", "NULL AS ultima_chiamata", "1D AS media_chiamate_anno", "'' AS datadisattivazione")
+    usage = spark.range(2000).selectExpr("concat('T', id) AS tenantcode", "'e' AS idecosystem", "concat('n', id) AS tenantname", "'yes' AS in_consuntivo", "'no' AS pagante")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = reports.report_calls(calls, usage).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 1500
