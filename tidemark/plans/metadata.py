@@ -44,28 +44,28 @@ def mart_tenant(src: Tables) -> DataFrame:
 
 
 def _managed_sources(src: Tables, components: str) -> DataFrame:
-    """Data sources with their managing tenant's id and the comma lists of component names, tags and sharing tenants.
+    """Data sources with their managing tenant and the comma lists of component names, tags and sharing tenants.
 
-    Everything here is keyed by data source and version, so one partitioning serves all the joins.
+    Everything here is keyed by data source and version, so one partitioning serves all the joins. Tenants, of whom there may
+    be too many to broadcast, meet the narrow relations and not the finished rows.
     """
-    relations = src["tenant_data_source"].where(F.col("isactive") == 1)
-    managers = relations.where(F.col("ismanager") == 1).select(*SOURCE, F.col("id_tenant").alias("idtenant"))
+    tenants = src["tenant"].select("id_tenant", "tenantcode")
+    relations = src["tenant_data_source"].where(F.col("isactive") == 1).join(tenants, "id_tenant")
+    managers = relations.where(F.col("ismanager") == 1).select(*SOURCE, F.col("id_tenant").alias("idtenant"), "tenantcode")
     tags = src["source_tag"].join(src["tag"], "id_tag")
-    shares = relations.join(src["tenant"].select("id_tenant", "tenantcode"), "id_tenant")
     return (
         src["data_source"]
         .join(managers, SOURCE)
         .join(comma_list(src["component"], SOURCE, "name", components), SOURCE, "left")
         .join(comma_list(tags, SOURCE, "tagcode", "elencotag"), SOURCE, "left")
-        .join(comma_list(shares, SOURCE, "tenantcode", "elencoshare"), SOURCE, "left")
+        .join(comma_list(relations, SOURCE, "tenantcode", "elencoshare"), SOURCE, "left")
     )
 
 
 def _described(sources: DataFrame, src: Tables) -> DataFrame:
-    """Add tenant, status, domain and, where set, licence."""
+    """Add status, domain and, where set, licence."""
     return (
-        sources.join(src["tenant"].select(F.col("id_tenant").alias("idtenant"), "tenantcode"), "idtenant")
-        .join(src["status"], "id_status")
+        sources.join(src["status"], "id_status")
         .join(src["subdomain"], "id_subdomain")
         .join(src["domain"], "id_domain")
         .join(src["license"], "id_license", "left")
@@ -100,13 +100,18 @@ def _datasets(src: Tables) -> DataFrame:
     binaries = src["dataset"].groupBy(F.col("id_data_source").alias("id_data_source_binary")).agg(
         F.max("iddataset").alias("binaryiddataset")
     )
-    own = src["dataset"].withColumnRenamed("description", "descrds")
-    keyed = _managed_sources(src, "elencocampi").join(own, SOURCE).join(newest, "id_data_source")
+    # by data source and version, because the finished rows are wide
+    attached = src["dataset"].select(*SOURCE, "id_data_source_binary").join(binaries, "id_data_source_binary")
+    pair = F.struct("id_data_source_binary", "binaryiddataset")
+    attached = attached.groupBy(*SOURCE).agg(F.map_from_entries(F.collect_set(pair)).alias("_binaries"))
+    own = src["dataset"].withColumnRenamed("description", "descrds").join(attached, SOURCE, "left")
+    own = own.withColumn("binaryiddataset", F.col("_binaries")[F.col("id_data_source_binary")]).drop("_binaries")
+    current = {**src, "data_source": src["data_source"].join(newest, "id_data_source")}
+    keyed = _managed_sources(current, "elencocampi").join(own, SOURCE)
     return (
         _described(keyed, src)
         .join(src["dataset_type"], "id_dataset_type")
         .join(src["dataset_subtype"], "id_dataset_subtype")
-        .join(binaries, "id_data_source_binary", "left")
     )
 
 
@@ -150,14 +155,13 @@ def mart_dataset_extended(src: Tables) -> DataFrame:
 
 def mart_api(src: Tables) -> DataFrame:
     objects = src["smart_object"].select("id_smart_object", "socode")
-    streams = src["stream"].select(*SOURCE, "idstream", "streamcode", "id_smart_object")
+    streams = src["stream"].select(*SOURCE, "idstream", "streamcode", "id_smart_object").join(objects, "id_smart_object", "left")
+    owners = src["tenant_data_source"].select(*SOURCE, "id_tenant").join(src["tenant"].select("id_tenant", "tenantcode"), "id_tenant")
     full = (
         src["api"].join(src["data_source"].select(*SOURCE), SOURCE)
         .join(src["dataset"].select(*SOURCE, "iddataset"), SOURCE, "left")
         .join(streams, SOURCE, "left")
-        .join(objects, "id_smart_object", "left")
-        .join(src["tenant_data_source"].select(*SOURCE, "id_tenant"), SOURCE)
-        .join(src["tenant"].select("id_tenant", "tenantcode"), "id_tenant")
+        .join(owners, SOURCE)
     )
     return full.select(
         "idapi", "apiname", "apicode", "id_tenant", "tenantcode", "apitype", "apisubtype", "entitynamespace",
