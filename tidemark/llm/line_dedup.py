@@ -11,8 +11,9 @@ from tidemark.llm import common, groups, words
 
 THRESHOLD = 0.8
 EVERY_LINE = 1  # a caller may set a higher floor: lines of fewer distinct words then stay
-BUCKET_BITS, HASH_BITS, PIECE_BITS = 20, 42, 14
+BUCKET_BITS, HASH_BITS, PIECE_BITS = 20, 42, 10
 BLOCK = 2000  # members of a token's block
+COARSE = 48  # tokens of a set for which a bitmap of 64 bits is enough
 
 
 def buckets(hashes: np.ndarray) -> np.ndarray:
@@ -52,10 +53,25 @@ def digests(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return words.mix(np.diff(sums[begins])).view(np.int64)
 
 
-def bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """One bit a token in 64: two sets differ in at least as many tokens as their bitmaps differ in bits."""
-    bits = np.left_shift(np.uint64(1), words.mix(tokens) >> np.uint64(58))
-    return np.bitwise_or.reduceat(bits, begins[:-1]) if len(begins) > 1 else np.zeros(0, np.uint64)
+def bitmaps(tokens: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """
+    Parities of the tokens that fall on each of 64 bits: two sets differ in at least as many tokens as their bitmaps differ
+    in bits, and unlike bits that are only set, parities don't fill up. A set of more than ``COARSE`` tokens has 128 of them:
+    the second value holds the upper 64, the first the upper and lower ones together; smaller sets have 0 there.
+    """
+    if len(begins) < 2:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    mixed = words.mix(tokens)
+    bits = np.left_shift(np.uint64(1), mixed >> np.uint64(58))
+    upper = np.bitwise_xor.reduceat(np.where((mixed & np.uint64(1)).astype(bool), bits, np.uint64(0)), begins[:-1])
+    return np.bitwise_xor.reduceat(bits, begins[:-1]), np.where(np.diff(begins) > COARSE, upper, np.uint64(0))
+
+
+def differing(coarse: np.ndarray, fine: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The bits in which the bitmaps of members a and b differ: of the 128 where both have them, else of the 64."""
+    folded, upper = coarse[a] ^ coarse[b], fine[a] ^ fine[b]
+    both = (n[a] > COARSE) & (n[b] > COARSE)
+    return np.where(both, np.bitwise_count(folded ^ upper) + np.bitwise_count(upper), np.bitwise_count(folded)).astype(np.int64)
 
 
 def may_differ(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -67,31 +83,29 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
     """Class (0: rarest) of each of 2^20 buckets of words, from the counts over all texts. The table's size is fixed."""
 
     def count(batches):
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)  # of the whole task
         for batch in batches:
             data, bounds = common.text_buffer(batch.column("text"))
             for a, b in common.slices(bounds, words.SLICE):
                 hashes, _, _ = words.words(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
                 counts += np.bincount(buckets(hashes), minlength=len(counts))
-        some = np.flatnonzero(counts)
-        for at in range(0, len(some), 1 << 16):
-            part = some[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["bucket", "n"])
+        pieces = counts.astype(np.uint32).reshape(-1, 1 << PIECE_BITS)
+        some = np.flatnonzero(pieces.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([pieces[g].tobytes() for g in some], pa.binary())], ["g", "counts"])
 
     def classes(table):
-        out = []
-        g, bucket, n = (table.column(c).to_numpy() for c in ("g", "bucket", "n"))
-        bounds = groups.group_bounds(g)
+        g = table.column("g").to_numpy()
+        bounds, out = groups.group_bounds(g), []
         for at, to in zip(bounds[:-1], bounds[1:], strict=True):
-            own = np.zeros(1 << PIECE_BITS, np.uint8)
-            own[bucket[at:to] & ((1 << PIECE_BITS) - 1)] = np.minimum(63, np.floor(2 * np.log2(n[at:to])))
-            out.append(own.tobytes())
+            n = np.zeros(1 << PIECE_BITS, np.int64)
+            for own in table.column("counts").slice(at, to - at).to_pylist():
+                n += np.frombuffer(own, np.uint32)
+            out.append(np.minimum(63, np.floor(2 * np.log2(np.maximum(n, 1)))).astype(np.uint8).tobytes())
         return pa.RecordBatch.from_arrays([pa.array(g[bounds[:-1]]), pa.array(out, pa.binary())], ["g", "classes"])
 
-    counted = docs.select("text").mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("g", F.shiftright("bucket", PIECE_BITS).cast("bigint"))
+    counted = docs.select("text").mapInArrow(count, "g bigint, counts binary")
     rarity = np.zeros((1 << (BUCKET_BITS - PIECE_BITS), 1 << PIECE_BITS), np.uint8)
-    for row in groups.in_groups(counted, "g", lambda: classes, "g bigint, classes binary").collect():  # 64 rows of 16 KB
+    for row in groups.in_groups(counted, "g", lambda: classes, "g bigint, classes binary").collect():  # 1,024 rows of 1 KB
         rarity[row["g"]] = np.frombuffer(row["classes"], np.uint8)
     return rarity.ravel()
 
@@ -99,7 +113,7 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
 def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> DataFrame:
     """
     A row for each line of at least ``min_words`` distinct words (line: its number) and one for each document (line -1,
-    n: its lines with words). ``prefix`` holds the rarest tokens, of which a similar line shares at least one; it is
+    n: its lines with words, n_long: those of at least ``min_words``). ``prefix`` holds the rarest tokens, of which a similar line shares at least one; it is
     empty where the task has met the same set of tokens before, and for sets so small that only equal ones are similar.
     """
 
@@ -111,7 +125,7 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
                 tokens, begins, row, number = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
                 d1 = digests(tokens, begins)
-                bitmap = bitmaps(tokens, begins).view(np.int64)
+                bitmap, fine = (x.view(np.int64) for x in bitmaps(tokens, begins))
                 chosen = np.flatnonzero(n >= min_words)
                 new = np.array([d not in seen and not seen.add(d) for d in d1[chosen].tolist()], bool) if len(chosen) else np.zeros(0, bool)
                 length = np.where(new & may_differ(n[chosen], threshold), n[chosen] - np.ceil(threshold * n[chosen] - 1e-9).astype(np.int64) + 1, 0)
@@ -120,14 +134,14 @@ def line_table(docs: DataFrame, rarity, threshold: float, min_words: int) -> Dat
                 prefix = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(tokens[at].view(np.int64)))
                 which = pa.array(row[chosen] + a)
                 columns = [batch.column(c).take(which) for c in ("doc_id", "r1", "r2")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(number[chosen].astype(np.int32)), pa.array(n[chosen].astype(np.int32)), pa.array(d1[chosen]), pa.array(bitmap[chosen]), prefix], names)
-                per_doc = np.bincount(row, minlength=b - a).astype(np.int32)
-                none = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), prefix.type)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("doc_id", "r1", "r2")], pa.array(np.full(b - a, -1, np.int32)), pa.array(per_doc), *none], names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(number[chosen].astype(np.int32)), pa.array(n[chosen].astype(np.int32)), pa.array(d1[chosen]), pa.array(bitmap[chosen]), pa.array(fine[chosen]), prefix, pa.nulls(len(chosen), pa.int32())], names)
+                per_doc, long = (np.bincount(r, minlength=b - a).astype(np.int32) for r in (row, row[chosen]))
+                none = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), pa.int64(), prefix.type)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("doc_id", "r1", "r2")], pa.array(np.full(b - a, -1, np.int32)), pa.array(per_doc), *none, pa.array(long)], names)
 
-    names = ["doc_id", "r1", "r2", "line", "n", "d1", "bitmap", "prefix"]
+    names = ["doc_id", "r1", "r2", "line", "n", "d1", "bitmap", "fine", "prefix", "n_long"]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("r2"))
-    return keyed.mapInArrow(run, "doc_id bigint, r1 bigint, r2 bigint, line int, n int, d1 bigint, bitmap bigint, prefix array<bigint>")
+    return keyed.mapInArrow(run, "doc_id bigint, r1 bigint, r2 bigint, line int, n int, d1 bigint, bitmap bigint, fine bigint, prefix array<bigint>, n_long int")
 
 
 def unpacked(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,12 +149,14 @@ def unpacked(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return block >> 42, (block >> 21) & 0x1FFFFF, block & 0x1FFFFF
 
 
-def filtered(g, n, position, bitmap, side, apart, threshold) -> tuple[np.ndarray, np.ndarray]:
+def filtered(g, n, position, bitmap, side, apart, threshold, fine=None) -> tuple[np.ndarray, np.ndarray]:
     """
     Members that may be similar, as pairs, of all groups at once (rows sorted by group and size): near in size, with enough
     tokens left after the common one (if it is the first they share, these hold all others), and with bitmaps that differ
-    in few enough bits. ``apart``: the group is two blocks, and only pairs across them are its own.
+    in few enough bits. ``apart``: the group is two blocks, and only pairs across them are its own. Without ``fine`` the
+    bitmaps have 64 bits.
     """
+    fine = np.zeros(len(g), np.uint64) if fine is None else fine
     base = (np.cumsum(np.concatenate(([0], g[1:] != g[:-1]))) if len(g) else g) << 32
     times = np.searchsorted(base + n, base + np.floor(n / threshold + 1e-9).astype(np.int64), "right") - np.arange(len(n)) - 1
     done, out_a, out_b = np.cumsum(times), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -152,7 +168,7 @@ def filtered(g, n, position, bitmap, side, apart, threshold) -> tuple[np.ndarray
         need = np.ceil(threshold / (1 + threshold) * (n[a] + n[b]) - 1e-9)
         ok = (np.minimum(n[a] - position[a], n[b] - position[b]) >= need) & (~apart[a] | (side[a] != side[b]))
         a, b, need = a[ok], b[ok], need[ok]
-        ok = np.bitwise_count(bitmap[a] ^ bitmap[b]) <= n[a] + n[b] - 2 * need
+        ok = differing(bitmap, fine, n, a, b) <= n[a] + n[b] - 2 * need
         out_a.append(a[ok])
         out_b.append(b[ok])
     return np.concatenate(out_a), np.concatenate(out_b)
@@ -169,11 +185,12 @@ def members_with_partners(rows: DataFrame, threshold: float) -> DataFrame:
             d1, shape, block = (table.column(c).to_numpy() for c in ("d1", "shape", "block"))
             n, position, (side, low, high) = shape >> 32, shape & 0xFFFFFFFF, unpacked(block)
             bitmap = table.column("bitmap").to_numpy().view(np.uint64)
+            fine = table.column("fine").to_numpy().view(np.uint64) if "fine" in table.column_names else np.zeros(len(g), np.uint64)
             order = np.lexsort((d1, n, g))
             order = order[np.concatenate(([True], (g[order][1:] != g[order][:-1]) | (d1[order][1:] != d1[order][:-1])))]
             same = g[order][1:] == g[order][:-1]
             order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]  # groups of one go
-            a, b = filtered(g[order], n[order], position[order], bitmap[order], side[order], low[order] != high[order], threshold)
+            a, b = filtered(g[order], n[order], position[order], bitmap[order], side[order], low[order] != high[order], threshold, fine[order])
             keep = np.zeros(len(order), bool)
             keep[a] = keep[b] = True
             chosen = order[keep]
@@ -243,12 +260,13 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
        them. Any fixed order makes the join exact; rarity makes it cheap.
     2. Lines with equal sets are one set from here on, and later ones go whatever their length. Sets of 1 to 3 words are
        similar to equal ones only (at 0.8), so that is all for them. Each larger set sends its prefix, the tokens of which
-       a similar set shares at least one, with its size, the token's place and a 64-bit bitmap.
+       a similar set shares at least one, with its size, the token's place and a bitmap of 64 or 128 parities.
     3. In a token's group length, positional and bitmap filters leave the sets that may have a partner. Pairs never become
        rows. A token with many sets is dealt out in blocks of bounded size, each pair of blocks apart.
-    4. Groups with the same members, on the same sides of a pair of blocks, count once. The sets are fetched in one more pass over the texts, through a Bloom
-       filter of fixed size and a join, and similarity is computed exactly, in order, until an earlier match is found: in
-       one group of each set, then, for sets still without a match, in all their others.
+    4. Groups with the same members, on the same sides of a pair of blocks, count once. The sets are fetched and written
+       once, in a pass over the texts that hold their first lines (through Bloom filters of fixed size and a join), and
+       similarity is computed exactly, in order, until an earlier match is found: in one group of each set, then, for sets
+       still without a match, in all their others.
 
     Null or empty text: no lines. Rows equal in doc_id and text are one document and get the same result. Null doc_ids
     come first. An empty table gives no rows. Other columns are ignored.
@@ -259,35 +277,59 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     lines = common.written(line_table(docs, rarity, threshold, min_words), "dedup-lines")
 
     shape = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("position").cast("bigint")).alias("shape")
-    tokens = lines.filter("size(prefix) > 0").select("d1", "n", "bitmap", F.posexplode("prefix").alias("position", "token")).select("d1", shape, "bitmap", "token")
-    # A token's group is no larger than the count of its bucket, so only tokens of the upper classes can need blocks.
-    upper = F.shiftright("token", HASH_BITS) >= int(np.floor(2 * np.log2(BLOCK + 1)))
-    large = tokens.filter(upper).groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+
+    def tokens_of(chosen):
+        return chosen.select("d1", "n", "bitmap", "fine", F.posexplode("prefix").alias("position", "token")).select("d1", shape, "bitmap", "fine", "token")
+
+    def is_upper(token):
+        return F.shiftright(token, HASH_BITS) >= int(np.floor(2 * np.log2(BLOCK + 1)))
+
+    # A token's group is no larger than the count of its bucket, so only tokens of the upper classes can need blocks. They
+    # stand at the end of a prefix.
+    prefixes = lines.filter("size(prefix) > 0")
+    lower = tokens_of(prefixes).filter(~is_upper("token"))
+    tokens = tokens_of(prefixes.filter(is_upper(F.element_at("prefix", -1)))).filter(is_upper("token"))
+    large = tokens.groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
     large = common.written(large.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "dedup-large")
-    dealt = tokens.filter(upper).join(large, "token", "left").withColumn("side", F.coalesce(F.pmod("d1", "blocks"), F.lit(0)))
+    dealt = tokens.join(large, "token", "left").withColumn("side", F.coalesce(F.pmod("d1", "blocks"), F.lit(0)))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("blocks", F.lit(1)).cast("bigint") - 1)))
     low, high = F.least("side", "other"), F.greatest("side", "other")
     block = F.shiftleft("side", 42).bitwiseOR(F.shiftleft(low, 21)).bitwiseOR(high)
     whole = F.lit(0).cast("bigint")
-    dealt = dealt.select(F.xxhash64("token", low, high).alias("g"), "d1", "shape", "bitmap", block.alias("block")).unionByName(
-        tokens.filter(~upper).select(F.xxhash64("token", whole, whole).alias("g"), "d1", "shape", "bitmap", whole.alias("block"))
+    dealt = dealt.select(F.xxhash64("token", low, high).alias("g"), "d1", "shape", "bitmap", "fine", block.alias("block")).unionByName(
+        lower.select(F.xxhash64("token", whole, whole).alias("g"), "d1", "shape", "bitmap", "fine", whole.alias("block"))
     )
     met = common.written(members_with_partners(dealt, threshold), "dedup-candidates")
     common.release(spark)
-    def sets_of(wanted):
-        sent = spark.sparkContext.broadcast(common.bloom(wanted, "d1"))
-        found = docs.select("text").mapInArrow(lambda batches: fetch(batches, sent), "d1 bigint, tokens array<bigint>")
-        return found.join(wanted, "d1", "left_semi").groupBy("d1").agg(F.first("tokens").alias("tokens"))
+
+    firsts = lines.filter("line >= 0").groupBy("d1").agg(F.min(F.struct("doc_id", "r1", "r2", "line")).alias("first"), F.count("*").alias("times"))
+    firsts = common.written(firsts.select("d1", "first.*", "times"), "dedup-firsts")
+    # A set needs one earlier match, and a similar pair meets in most of its groups. So each set is first tried in the
+    # largest of the groups in which it isn't the earliest, and only those without a match in the others.
+    blocks = F.col("block").bitwiseAND((1 << 42) - 1)
+    once = met.groupBy("s", blocks.alias("blocks")).agg(F.min("g").alias("g")).select("g")
+    placed = met.join(once, "g").join(firsts.drop("times"), "d1").select("g", "d1", "block", "doc_id", "r1", "r2", "line")
+    placed = common.written(placed, "dedup-placed")
+    common.discard(met, large)
+    at = F.struct("doc_id", "r1", "r2", "line")
+    heads = placed.groupBy("g").agg(F.min(at).alias("head"), F.count("*").alias("m"))
+    probes = common.written(placed.join(heads, "g").filter(at > F.col("head")).select("d1", "g", "m"), "dedup-probes")
+    tried = common.written(probes.groupBy("d1").agg(F.max(F.struct("m", "g")).alias("best")).select(F.col("best.g").alias("g")).distinct(), "dedup-tried")
+    common.release(spark)
 
     def fetch(batches, sent):
-        field = common.bloom_field(sent.value)
+        sets_field, rows_field = (common.bloom_field(x) for x in sent.value)
         for batch in batches:
+            held = common.in_bloom(rows_field, batch.column("r1").to_numpy())
+            if not held.any():
+                continue
+            batch = batch.filter(pa.array(held))
             data, bounds = common.text_buffer(batch.column("text"))
             for a, b in common.slices(bounds, words.SLICE):
                 tokens, begins, _, _ = lines_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], rarity.value)
                 n = np.diff(begins)
                 d1 = digests(tokens, begins)
-                chosen = np.flatnonzero((n >= min_words) & may_differ(n, threshold) & common.in_bloom(field, d1))
+                chosen = np.flatnonzero((n >= min_words) & may_differ(n, threshold) & common.in_bloom(sets_field, d1))
                 _, first = np.unique(d1[chosen], return_index=True)
                 chosen = chosen[first]
                 ends = np.cumsum(n[chosen])
@@ -295,46 +337,34 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(tokens[at].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(d1[chosen]), lists], ["d1", "tokens"])
 
-    firsts = lines.filter("line >= 0").groupBy("d1").agg(F.min(F.struct("doc_id", "r1", "r2", "line")).alias("first"))
-    firsts = common.written(firsts.select("d1", "first.*"), "dedup-firsts")
-    # A set needs one earlier match, and a similar pair meets in most of its groups. So each set is first tried in the
-    # largest of the groups in which it isn't the earliest, and only those without a match in the others.
-    blocks = F.col("block").bitwiseAND((1 << 42) - 1)
-    once = met.groupBy("s", blocks.alias("blocks")).agg(F.min("g").alias("g")).select("g")
-    placed = met.join(once, "g").join(firsts, "d1").select("g", "d1", "block", "doc_id", "r1", "r2", "line")
-    placed = common.written(placed, "dedup-placed")
-    common.discard(met, large)
-    at = F.struct("doc_id", "r1", "r2", "line")
-    heads = placed.groupBy("g").agg(F.min(at).alias("head"), F.count("*").alias("m"))
-    probes = common.written(placed.join(heads, "g").filter(at > F.col("head")).select("d1", "g", "m"), "dedup-probes")
-    tried = common.written(probes.groupBy("d1").agg(F.max(F.struct("m", "g")).alias("best")).select(F.col("best.g").alias("g")).distinct(), "dedup-tried")
+    # The sets are read where their first lines stand; other rows need no second look.
+    wanted = placed.select("d1", "r1").distinct()
+    sent = spark.sparkContext.broadcast((common.bloom(wanted, "d1"), common.bloom(wanted, "r1")))
+    found = docs.select("text", F.xxhash64("doc_id", "text").alias("r1")).mapInArrow(lambda batches: fetch(batches, sent), "d1 bigint, tokens array<bigint>")
+    sets = common.written(found.join(wanted.select("d1"), "d1", "left_semi").dropDuplicates(["d1"]), "dedup-sets")
     common.release(spark)
 
     def tested(groups_, label):
-        members = common.written(placed.join(groups_, "g", "left_semi"), f"dedup-{label}-members")
-        if members.isEmpty():
-            return members.select("d1")
-        sets = sets_of(members.select("d1").distinct())
+        members = placed.join(groups_, "g", "left_semi")
         out = common.written(matched_sets(members.join(sets, "d1"), threshold).distinct(), f"dedup-{label}")
-        common.discard(members)
         common.release(spark)
         return out
 
     matched = tested(tried, "matched")
     others = probes.join(matched, "d1", "left_anti").join(tried, "g", "left_anti").select("g").distinct()
     rest = tested(others, "rest")
-    common.discard(placed, probes, tried)
+    common.discard(placed, probes, tried, sets)
     matched = matched.unionByName(rest).distinct()
 
-    judged = lines.filter("line >= 0").select("doc_id", "r1", "r2", "line", "d1").join(
-        firsts.join(matched.withColumn("matched", F.lit(True)), "d1", "left").select("d1", F.struct("doc_id", "r1", "r2", "line").alias("first"), "matched"), "d1"
-    )
-    copied = F.col("matched").isNotNull() | ~F.struct("doc_id", "r1", "r2", "line").eqNullSafe(F.col("first"))
+    # Most sets are those of one line and have no match; they need no look at their lines.
+    some = firsts.join(matched.withColumn("matched", F.lit(True)), "d1", "left").filter("matched or times > 1").select("d1", at.alias("first"), "matched")
+    judged = lines.filter("line >= 0").select("doc_id", "r1", "r2", "line", "d1").join(some, "d1")
+    copied = judged.filter(F.col("matched").isNotNull() | ~at.eqNullSafe(F.col("first")))
     # Repeated rows repeat their lines; a set of line numbers holds each once.
-    gone = judged.groupBy("r1", "r2").agg(F.array_sort(F.collect_set(F.when(copied, F.col("line")))).alias("removed"), F.size(F.collect_set("line")).cast("bigint").alias("n_long"))
+    gone = copied.groupBy("r1", "r2").agg(F.array_sort(F.collect_set("line")).alias("removed"))
     empty = F.array().cast("array<int>")
-    return lines.filter("line = -1").select("doc_id", "r1", "r2", F.col("n").cast("bigint").alias("n_lines")).join(gone, ["r1", "r2"], "left").select(
-        "doc_id", "r1", "r2", "n_lines", F.coalesce("n_long", F.lit(0)).alias("n_long"), F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
+    return lines.filter("line = -1").select("doc_id", "r1", "r2", F.col("n").cast("bigint").alias("n_lines"), F.col("n_long").cast("bigint").alias("n_long")).join(gone, ["r1", "r2"], "left").select(
+        "doc_id", "r1", "r2", "n_lines", "n_long", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
     )
 
 
