@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__  # noqa: F401
 from harness.registry import QUERIES
 from tidemark.operators.latest import latest_versions
-from tidemark.plans import governance
+from tidemark.plans import governance, marts
 from tidemark.session import bucketed
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -83,3 +83,15 @@ def test_records_of_repeated_serving_keys(spark, rows, facts):
 def test_lines_and_orders_are_dealt_out_once(spark, unbroadcast, name):
     found = plan(QUERIES[name](spark, SF))
     assert not re.search(r"hashpartitioning\((l|o)_orderkey#", found) and "lasttimeid" in found and "max(l_shipdate" not in found
+
+
+def test_a_load_leaves_no_shuffles_of_its_marts(spark, tmp_path):
+    listed = [marts.Mart("a", lambda f: f("src").groupBy("k").count(), keys=("k",)), marts.Mart("b", lambda f: f("src").groupBy("k").count())]
+    source, before = spark.range(1000).select((F.col("id") % 50).alias("k")), shuffle_files(spark)
+    frames = marts.load_marts(spark, listed, lambda _: source, str(tmp_path), "2024", f"disk{os.getpid()}_", buckets=2)
+    try:
+        assert shuffle_files(spark) <= before and frames("a").count() == frames("b").count() == 50
+    finally:
+        for name in ("a", "b"):
+            spark.sql(f"DROP VIEW IF EXISTS disk{os.getpid()}_{name}")
+            spark.sql(f"DROP TABLE IF EXISTS disk{os.getpid()}_{name}__2024")
