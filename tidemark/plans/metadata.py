@@ -47,18 +47,20 @@ def _managed_sources(src: Tables, components: str) -> DataFrame:
     """Data sources with their managing tenant and the comma lists of component names, tags and sharing tenants.
 
     Everything here is keyed by data source and version, so one partitioning serves all the joins. Tenants, of whom there may
-    be too many to broadcast, meet the narrow relations and not the finished rows.
+    be too many to broadcast, meet the narrow relations once, and managers come from the same rows as the sharing tenants.
     """
     tenants = src["tenant"].select("id_tenant", "tenantcode")
-    relations = src["tenant_data_source"].where(F.col("isactive") == 1).join(tenants, "id_tenant")
-    managers = relations.where(F.col("ismanager") == 1).select(*SOURCE, F.col("id_tenant").alias("idtenant"), "tenantcode")
+    relations = src["tenant_data_source"].where(F.col("isactive") == 1).select(*SOURCE, "id_tenant", "ismanager").join(tenants, "id_tenant")
+    manager = F.when(F.col("ismanager") == 1, F.struct(F.col("id_tenant").alias("idtenant"), "tenantcode"))
+    # dealt out as rows, which are smaller than the lists that tasks would make of the few they see
+    shares = comma_list(relations.repartition(*SOURCE), SOURCE, "tenantcode", "elencoshare", F.collect_list(manager).alias("_managers"))
+    managed = shares.select(*SOURCE, "elencoshare", F.inline("_managers"))
     tags = src["source_tag"].join(src["tag"], "id_tag")
     return (
         src["data_source"]
-        .join(managers, SOURCE)
+        .join(managed, SOURCE)
         .join(comma_list(src["component"], SOURCE, "name", components), SOURCE, "left")
         .join(comma_list(tags, SOURCE, "tagcode", "elencotag"), SOURCE, "left")
-        .join(comma_list(relations, SOURCE, "tenantcode", "elencoshare"), SOURCE, "left")
     )
 
 
@@ -96,7 +98,7 @@ def mart_stream(src: Tables) -> DataFrame:
 
 def _datasets(src: Tables) -> DataFrame:
     """Shared part of the two dataset marts."""
-    newest = src["data_source"].groupBy("id_data_source").agg(F.max("datasourceversion").alias("_newest"))
+    newest = src["data_source"].groupBy("id_data_source").agg(F.max("datasourceversion").alias("datasourceversion"))
     binaries = src["dataset"].groupBy(F.col("id_data_source").alias("id_data_source_binary")).agg(
         F.max("iddataset").alias("binaryiddataset")
     )
@@ -106,8 +108,8 @@ def _datasets(src: Tables) -> DataFrame:
     attached = attached.groupBy(*SOURCE).agg(F.map_from_entries(F.collect_set(pair)).alias("_binaries"))
     own = src["dataset"].withColumnRenamed("description", "descrds").join(attached, SOURCE, "left")
     own = own.withColumn("binaryiddataset", F.col("_binaries")[F.col("id_data_source_binary")]).drop("_binaries")
-    current = {**src, "data_source": src["data_source"].join(newest, "id_data_source")}
-    keyed = _managed_sources(current, "elencocampi").join(own, SOURCE)
+    # marked by data source and version as well: only the newest versions' keys are dealt out, not the sources
+    keyed = _managed_sources(src, "elencocampi").join(own, SOURCE).join(newest.withColumn("_newest", F.lit(True)), SOURCE, "left")
     return (
         _described(keyed, src)
         .join(src["dataset_type"], "id_dataset_type")
@@ -117,7 +119,7 @@ def _datasets(src: Tables) -> DataFrame:
 
 def _dataset_columns() -> list[Column]:
     is_installed = F.coalesce(F.col("statuscode") == "inst", F.lit(False))
-    current = (F.col("datasourceversion") == F.col("_newest")) & is_installed
+    current = F.col("_newest").isNotNull() & is_installed
     return [
         F.col("iddataset"), F.col("datasetcode"), F.col("datasourceversion").cast("int").alias("datasetversion"),
         F.col("idtenant"), F.col("tenantcode"), F.col("dataset_type").alias("tipo"),
