@@ -37,6 +37,11 @@ def test_data_sources_are_not_dealt_out_by_number(spark, name):
     assert shuffles(spark, name, "id_data_source") == 2  # the newest versions and the attachments, grouped
 
 
+@needs_data
+def test_streams_are_dealt_out_once(spark):
+    assert shuffles(spark, "mart_stream", "l_linestatus, l_orderkey, l_linenumber") == 0
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(views.BY_SOURCE))
 def test_laid_out_views_have_the_rows_of_their_text(spark, rows, tmp_path, name):
