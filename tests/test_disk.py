@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
+from harness import queries_marts, views
 from harness.registry import QUERIES
 from tidemark.operators.latest import latest_versions
 from tidemark.plans import governance, marts
@@ -79,12 +80,24 @@ def test_records_of_repeated_serving_keys(spark, rows, facts):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["tenant_sizes_total"])
-def test_lines_and_orders_are_dealt_out_once(spark, unbroadcast, name):
-    found = plan(QUERIES[name](spark, SF))
+def test_lines_and_orders_are_dealt_out_once(spark, unbroadcast):
+    found = plan(QUERIES["tenant_sizes_total"](spark, SF))
     assert not re.search(r"hashpartitioning\((l|o)_orderkey#", found) and "lasttimeid" in found and "max(l_shipdate" not in found
 
 
+@needs_data
+def test_register_sorts_for_few_joins_at_once(spark, unbroadcast):
+    found = plan(QUERIES["usage_register"](spark, SF))
+    assert not re.search(r"hashpartitioning\((l|o)_orderkey#", found) and "idvirtualentity" not in found
+
+
+@needs_data
+@pytest.mark.parametrize("report", ["registro_di_fruizione"])
+def test_reports_use_the_same_copies(spark, unbroadcast, report):
+    g = queries_marts.Governance(views.Inputs(spark, SF), whole=True)
+    assert not re.search(r"hashpartitioning\((l|o)_orderkey#", plan(marts.REPORTS[report](g.mart)))
+
+
 def test_a_load_leaves_no_shuffles_of_its_marts(spark, tmp_path):
     listed = [marts.Mart("a", lambda f: f("src").groupBy("k").count(), keys=("k",)), marts.Mart("b", lambda f: f("src").groupBy("k").count())]
     source, before = spark.range(1000).select((F.col("id") % 50).alias("k")), shuffle_files(spark)
