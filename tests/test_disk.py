@@ -92,7 +92,7 @@ def test_register_sorts_for_few_joins_at_once(spark, unbroadcast):
 
 
 @needs_data
-@pytest.mark.parametrize("report", ["registro_di_fruizione"])
+@pytest.mark.parametrize("report", ["registro_di_fruizione", "dimensioni_tenant"])
 def test_reports_use_the_same_copies(spark, unbroadcast, report):
     g = queries_marts.Governance(views.Inputs(spark, SF), whole=True)
     assert not re.search(r"hashpartitioning\((l|o)_orderkey#", plan(marts.REPORTS[report](g.mart)))
